@@ -236,7 +236,8 @@ def quality_frames(x: Layers) -> list[DataFrame]:
         "MSTR_PROVEEDORES": (s["MSTR_PROVEEDORES"], silver.typed_unique(s["MSTR_PROVEEDORES"], "MSTR_PROVEEDORES"),
                              x.suppliers, None),
         "MSTR_TIENDAS": (s["MSTR_TIENDAS"], silver.typed_unique(s["MSTR_TIENDAS"], "MSTR_TIENDAS"), x.stores, None),
-        "TRANS_VENTAS": (s["TRANS_VENTAS"], x.sales_clean, x.sales, x.sales_split[1]),
+        "TRANS_VENTAS": (s["TRANS_VENTAS"], silver.typed_unique(s["TRANS_VENTAS"], "TRANS_VENTAS", SALES_ORDER),
+                         x.sales, x.sales_split[1]),
         "INV_STOCK_DIARIO": (s["INV_STOCK_DIARIO"], silver.typed_unique(s["INV_STOCK_DIARIO"], "INV_STOCK_DIARIO"),
                              x.stock, None),
         "POST_DEVOLUCIONES": (s["POST_DEVOLUCIONES"], silver.typed_unique(s["POST_DEVOLUCIONES"], "POST_DEVOLUCIONES",
