@@ -219,7 +219,27 @@ BUILDERS = {
 }
 
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All seven source frames (lazy) keyed by source table name."""
-    t = read_tables(spark, sf_dir)
-    return {name: build(t) for name, build in BUILDERS.items()}
+class SourceTables(dict):
+    """The seven source frames keyed by source table name, each derived on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._dir, self._tables = spark, sf_dir, None
+
+    def _given(self) -> dict[str, DataFrame]:
+        if self._tables is None:
+            self._tables = read_tables(self._spark, self._dir)
+        return self._tables
+
+    def __missing__(self, name: str) -> DataFrame:
+        frame = BUILDERS[name](self._given())
+        self[name] = frame
+        return frame
+
+    def items(self):
+        return [(name, self[name]) for name in BUILDERS]
+
+
+def source_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
+    """All seven source frames keyed by source table name (derived lazily)."""
+    return SourceTables(spark, sf_dir)
