@@ -8,24 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def dedupe_latest(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), count_as: str | None = None
+) -> DataFrame:
     """One row per key: the greatest row by ``order_by`` then every other column,
     each descending with nulls last. Null keys form one group.
 
     Expressed as ``groupBy(keys).agg(max(struct(order..., rest...)))``: a
     declarative aggregate, so each map task keeps one row per key before the
     shuffle (a hot key never reaches one reducer whole) and the survivor is the
-    same on every run and every action.
+    same on every run and every action. ``count_as`` adds the number of source
+    rows of each key (for quality metrics, in the same pass).
     """
     keys = list(keys)
     order = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     ranked = [*order, *rest]
+    extra = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     if not ranked:
-        return df.select(*keys).distinct()
-    best = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"))
+        return df.groupBy(*keys).agg(*extra) if extra else df.select(*keys).distinct()
+    best = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"), *extra)
     by_name = {c: F.col(f"_best.{c}") for c in ranked}
-    return best.select(*[F.col(c) if c in keys else by_name[c].alias(c) for c in df.columns])
+    cols = [F.col(c) if c in keys else by_name[c].alias(c) for c in df.columns]
+    return best.select(*cols, *([F.col(count_as)] if count_as else []))
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

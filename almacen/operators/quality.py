@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almacen.functions.columns import rounded_ratio
@@ -19,30 +19,30 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def quality_metrics(
     table: str,
-    raw: DataFrame,
     deduped: DataFrame,
-    accepted: DataFrame,
-    rejected: DataFrame | None,
+    rows_col: str,
+    accepted: Column | None = None,
     null_columns: Sequence[str] = (),
     run_id: str | None = None,
     run_ts=None,
 ) -> DataFrame:
-    """total, duplicates, accepted, rejected, pct conformed, null analysis (JSON).
+    """One audit row from one aggregate over the deduplicated frame.
 
-    All counts are aggregates of one-row frames (no driver round trip);
-    pct = round(accepted / total * 100, 2) HALF_UP, 0 when the table is empty.
+    ``rows_col`` holds the number of source rows behind each kept row (see
+    ``dedupe_latest(count_as=...)``), ``accepted`` is the row's outcome (all
+    accepted when None). total, duplicates, accepted, rejected, pct conformed
+    = round(accepted / total * 100, 2) HALF_UP (0 when empty), and the null
+    count of each of ``null_columns`` as JSON.
     """
-    total = raw.agg(F.count(F.lit(1)).alias("total_records"))
-    unique = deduped.agg(F.count(F.lit(1)).alias("_unique"), *[
-        F.count_if(F.col(c).isNull()).alias(c) for c in null_columns
-    ])
-    acc = accepted.agg(F.count(F.lit(1)).alias("accepted_records"))
-    if rejected is None:
-        rej = acc.select(F.lit(0).cast("long").alias("rejected_records"))
-    else:
-        rej = rejected.agg(F.count(F.lit(1)).alias("rejected_records"))
+    ok = F.lit(True) if accepted is None else accepted
+    row = deduped.agg(
+        F.coalesce(F.sum(rows_col), F.lit(0)).cast("long").alias("total_records"),
+        F.count(F.lit(1)).alias("_unique"),
+        F.count_if(ok).alias("accepted_records"),
+        F.count_if(~ok).alias("rejected_records"),
+        *[F.count_if(F.col(c).isNull()).alias(c) for c in null_columns],
+    )
     nulls = F.to_json(F.struct(*[F.col(c) for c in null_columns])) if null_columns else F.lit("{}")
-    row = total.crossJoin(unique).crossJoin(acc).crossJoin(rej)
     return row.select(
         F.lit(run_id).cast("string").alias("execution_id"),
         F.lit(table).alias("table_name"),

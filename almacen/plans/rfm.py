@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from almacen.config import CHURN_SEGMENTS, DEFAULT_GOLD, GoldConfig
 from almacen.operators.joins import checked_broadcast
 from almacen.operators.ntile import ntiles_exact
-from almacen.session import reliable_checkpoint
 
 
 def reference_date(sales: DataFrame, as_of: dt.date | None = None, date_col: str = "fec_trans") -> Column:
@@ -22,35 +21,46 @@ def reference_date(sales: DataFrame, as_of: dt.date | None = None, date_col: str
 
 
 def rfm_base(
-    sales: DataFrame, ref: Column, days: int = 90, include_anonymous: bool = True, ids_unique: bool = True
+    sales: DataFrame,
+    ref: Column,
+    days: int = 90,
+    include_anonymous: bool = True,
+    ids_unique: bool = True,
+    with_ref: bool = False,
 ) -> DataFrame:
     """Per member over sales in ``[ref - days, ref]``: recency days, frequency, monetary (decimal).
 
     ``ids_unique``: sales come deduplicated by ``id_trans`` (silver), so a plain
     count equals the distinct count and saves one shuffle; pass False for raw
     input. ``include_anonymous=False`` drops the null member before scoring.
+    ``with_ref`` keeps the reference date as column ``fec_calculo_rfm``.
     """
     recent = sales.filter(F.col("fec_trans") >= F.date_sub(ref, days))
     if not include_anonymous:
         recent = recent.filter(F.col("id_miembro").isNotNull())
     freq = F.count("id_trans") if ids_unique else F.count_distinct("id_trans")
-    return recent.groupBy("id_miembro").agg(
+    aggs = [
         F.datediff(ref, F.max("fec_trans")).alias("recency_dias"),
         freq.alias("frequency_trans"),
         F.sum("vr_total_trans").alias("monetary_val"),
-    )
+    ]
+    if with_ref:
+        aggs.append(F.max(ref).alias("fec_calculo_rfm"))
+    return recent.groupBy("id_miembro").agg(*aggs)
 
 
 def rfm_scores(base: DataFrame, tiles: int = 5, tie_key: str = "id_miembro", materialize=None) -> DataFrame:
     """r (recency desc), f (frequency asc), m (monetary asc) tiles; ties by member id asc, null first.
 
-    The three tiles share one pass for cut points and bucket keys; ``materialize``
-    (default: reliable checkpoint) cuts the lineage of the keyed frame, which
-    four later steps read.
+    The three tiles share one pass for cut points and bucket keys; the base is
+    read by the cut points, three histograms and the numbering, so
+    ``materialize`` (e.g. ``reliable_checkpoint``, written to the shared
+    ``spark.checkpoint.dir``) computes it once and cuts its lineage.
     """
     specs = [("recency_dias", False, "r_score"), ("frequency_trans", True, "f_score"), ("monetary_val", True, "m_score")]
-    mat = materialize if materialize is not None else reliable_checkpoint
-    return ntiles_exact(base, tiles, specs, tie_key, materialize=mat)
+    if materialize is not None:
+        base = materialize(base)
+    return ntiles_exact(base, tiles, specs, tie_key)
 
 
 def segment_name(rules, default: str) -> Column:
@@ -62,8 +72,13 @@ def segment_name(rules, default: str) -> Column:
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
 
 
-def rfm_segments(scores: DataFrame, members: DataFrame, ref: Column, cfg: GoldConfig = DEFAULT_GOLD) -> DataFrame:
-    """Segment code and name; inner join to the member hash drops groups without a member."""
+def rfm_segments(
+    scores: DataFrame, members: DataFrame, ref: Column | None = None, cfg: GoldConfig = DEFAULT_GOLD
+) -> DataFrame:
+    """Segment code and name; inner join to the member hash drops groups without a member.
+
+    The calculation date is ``ref``, or the scores' ``fec_calculo_rfm`` column when ``ref`` is None.
+    """
     code = F.concat(
         F.lit("R"), F.col("r_score").cast("string"), F.lit("-F"), F.col("f_score").cast("string"),
         F.lit("-M"), F.col("m_score").cast("string"),
@@ -85,7 +100,7 @@ def rfm_segments(scores: DataFrame, members: DataFrame, ref: Column, cfg: GoldCo
         "m_score",
         "segmento_rfm",
         "nombre_segmento",
-        ref.alias("fec_calculo_rfm"),
+        (F.col("fec_calculo_rfm") if ref is None else ref).alias("fec_calculo_rfm"),
     )
 
 
@@ -94,7 +109,8 @@ def churn_flag(segments: DataFrame, churn_segments=CHURN_SEGMENTS) -> DataFrame:
     return segments.withColumn("alerta_churn", F.col("nombre_segmento").isin(list(churn_segments)))
 
 
-def rfm(sales: DataFrame, members: DataFrame, cfg: GoldConfig = DEFAULT_GOLD) -> DataFrame:
+def rfm(sales: DataFrame, members: DataFrame, cfg: GoldConfig = DEFAULT_GOLD, materialize=None) -> DataFrame:
+    """Base, exact distributed tiles and segments in one plan (GD:223-272)."""
     ref = reference_date(sales, cfg.as_of)
-    base = rfm_base(sales, ref, cfg.rfm_days, cfg.rfm_include_anonymous)
-    return rfm_segments(rfm_scores(base, cfg.rfm_tiles), members, ref, cfg)
+    base = rfm_base(sales, ref, cfg.rfm_days, cfg.rfm_include_anonymous, with_ref=True)
+    return rfm_segments(rfm_scores(base, cfg.rfm_tiles, materialize=materialize), members, None, cfg)

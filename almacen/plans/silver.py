@@ -16,10 +16,10 @@ from almacen.operators.impute import impute_from_group
 from almacen.operators.integrity import Reference, check_references
 
 
-def typed_unique(df: DataFrame, table: str, order_by: Sequence[str] = ()) -> DataFrame:
+def typed_unique(df: DataFrame, table: str, order_by: Sequence[str] = (), count_as: str | None = None) -> DataFrame:
     """Contract types (lenient) then one row per primary key, newest first."""
     schema, key = S.SOURCES[table]
-    return dedupe_latest(apply_contract(df, schema), [key], order_by)
+    return dedupe_latest(apply_contract(df, schema), [key], order_by, count_as)
 
 
 def members(raw: DataFrame, cfg: SilverConfig = DEFAULT_SILVER, order_by: Sequence[str] = ()) -> DataFrame:

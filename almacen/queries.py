@@ -20,8 +20,10 @@ from almacen.config import DEFAULT_GOLD, DEFAULT_SILVER, GoldConfig, SilverConfi
 from almacen.operators.contract import apply_contract
 from almacen.operators.dedupe import dedupe_latest
 from almacen.operators.impute import impute_from_group
+from almacen.operators.integrity import accepted_condition, flag_references
 from almacen.operators.quality import null_counts, quality_metrics
 from almacen.plans import dims, facts, kpis, rfm, silver
+from almacen.session import reliable_checkpoint
 from almacen.sources import bronze
 from almacen.sources.testdata import SALES_HELPERS, source_tables
 
@@ -134,13 +136,21 @@ class Layers:
     def rfm_base(self) -> DataFrame:
         return rfm.rfm_base(self.sales, self.ref_date, self.gcfg.rfm_days, self.gcfg.rfm_include_anonymous)
 
+    @cached_property
+    def rfm_scored(self) -> DataFrame:
+        """Scores over a base that carries its reference date, checkpointed once
+        (cut points, three histograms and the numbering all read it)."""
+        base = rfm.rfm_base(self.sales, self.ref_date, self.gcfg.rfm_days, self.gcfg.rfm_include_anonymous,
+                            with_ref=True)
+        return rfm.rfm_scores(base, self.gcfg.rfm_tiles, materialize=reliable_checkpoint)
+
     @cached_property
     def rfm_scores(self) -> DataFrame:
-        return rfm.rfm_scores(self.rfm_base, self.gcfg.rfm_tiles)
+        return self.rfm_scored.drop("fec_calculo_rfm")
 
     @cached_property
     def rfm_segments(self) -> DataFrame:
-        return rfm.rfm_segments(self.rfm_scores, self.members, self.ref_date, self.gcfg)
+        return rfm.rfm_segments(self.rfm_scored, self.members, None, self.gcfg)
 
 
 def _q(build: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -228,25 +238,19 @@ QUALITY_NULL_COLUMNS = {
 
 
 def quality_frames(x: Layers) -> list[DataFrame]:
-    s = x.src
-    raw_typed = {
-        "CRM_MIEMBROS": (s["CRM_MIEMBROS"], silver.typed_unique(s["CRM_MIEMBROS"], "CRM_MIEMBROS"), x.members, None),
-        "MSTR_ARTICULOS": (s["MSTR_ARTICULOS"], silver.typed_unique(s["MSTR_ARTICULOS"], "MSTR_ARTICULOS"),
-                           x.products, None),
-        "MSTR_PROVEEDORES": (s["MSTR_PROVEEDORES"], silver.typed_unique(s["MSTR_PROVEEDORES"], "MSTR_PROVEEDORES"),
-                             x.suppliers, None),
-        "MSTR_TIENDAS": (s["MSTR_TIENDAS"], silver.typed_unique(s["MSTR_TIENDAS"], "MSTR_TIENDAS"), x.stores, None),
-        "TRANS_VENTAS": (s["TRANS_VENTAS"], silver.typed_unique(s["TRANS_VENTAS"], "TRANS_VENTAS", SALES_ORDER),
-                         x.sales, x.sales_split[1]),
-        "INV_STOCK_DIARIO": (s["INV_STOCK_DIARIO"], silver.typed_unique(s["INV_STOCK_DIARIO"], "INV_STOCK_DIARIO"),
-                             x.stock, None),
-        "POST_DEVOLUCIONES": (s["POST_DEVOLUCIONES"], silver.typed_unique(s["POST_DEVOLUCIONES"], "POST_DEVOLUCIONES",
-                                                                           RETURNS_ORDER), x.returns, None),
-    }
-    return [
-        quality_metrics(t, raw, deduped, acc, rej, QUALITY_NULL_COLUMNS[t], QUERY_RUN_ID, QUERY_RUN_TS)
-        for t, (raw, deduped, acc, rej) in raw_typed.items()
-    ]
+    """One single-pass audit row per source table (sales: split flags on the deduped rows)."""
+    out = []
+    for table, frame in x.src.items():
+        order = SALES_ORDER if table == "TRANS_VENTAS" else RETURNS_ORDER if table == "POST_DEVOLUCIONES" else ()
+        deduped = silver.typed_unique(frame, table, order, count_as="_rows")
+        ok = None
+        if table == "TRANS_VENTAS":
+            refs = silver.sales_references(x.products, x.stores)
+            deduped = flag_references(deduped, "id_trans", refs)
+            ok = accepted_condition(refs)
+        out.append(quality_metrics(table, deduped, "_rows", ok, QUALITY_NULL_COLUMNS[table], QUERY_RUN_ID,
+                                   QUERY_RUN_TS))
+    return out
 
 
 def q_dq_metrics(x: Layers) -> DataFrame:
@@ -365,8 +369,7 @@ def q_kpi_avg_ticket(x: Layers) -> DataFrame:
 
 
 def q_kpi_conversion(x: Layers) -> DataFrame:
-    events = x.spark.read.parquet(f"{x.sf_dir.rstrip('/')}/events.parquet")
-    return kpis.conversion(events)
+    return kpis.conversion(x.src.given["events"])
 
 
 def q_kpi_returns_root_cause(x: Layers) -> DataFrame:

@@ -34,8 +34,21 @@ RETURN_STATES = ("APROBADO", "PENDIENTE", "RECHAZADO")  # by l_suppkey % 3
 # ---------------------------------------------------------------------------
 
 
-def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+class GivenTables(dict):
+    """The given Parquet tables of one folder, each opened on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._dir = spark, sf_dir.rstrip("/")
+
+    def __missing__(self, name: str) -> DataFrame:
+        frame = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        self[name] = frame
+        return frame
+
+
+def read_tables(spark: SparkSession, sf_dir: str) -> GivenTables:
+    return GivenTables(spark, sf_dir)
 
 
 def pick(index: Column, values) -> Column:
@@ -224,15 +237,10 @@ class SourceTables(dict):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
-        self._spark, self._dir, self._tables = spark, sf_dir, None
-
-    def _given(self) -> dict[str, DataFrame]:
-        if self._tables is None:
-            self._tables = read_tables(self._spark, self._dir)
-        return self._tables
+        self.given = read_tables(spark, sf_dir)
 
     def __missing__(self, name: str) -> DataFrame:
-        frame = BUILDERS[name](self._given())
+        frame = BUILDERS[name](self.given)
         self[name] = frame
         return frame
 
