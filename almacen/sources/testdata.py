@@ -7,6 +7,7 @@ Everything stays lazy: the derived frames grow with the given tables.
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # helper columns of the sales and returns fixtures (dedupe order, not business columns)
 SALES_HELPERS = ("x_supp", "x_ship")
+SPREAD_MIN_BYTES = 1 << 20
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture mapping
@@ -35,14 +37,27 @@ RETURN_STATES = ("APROBADO", "PENDIENTE", "RECHAZADO")  # by l_suppkey % 3
 
 
 class GivenTables(dict):
-    """The given Parquet tables of one folder, each opened on first use."""
+    """The given Parquet tables of one folder, each opened on first use.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Each given file holds a single row group, which Spark cannot split: the
+    whole table would be read, joined and pre-aggregated by one task. A table
+    whose scan has fewer partitions than the session's parallelism is spread
+    with a round-robin repartition when its file has at least
+    ``SPREAD_MIN_BYTES``; large inputs (many row groups, many splits) and tiny
+    tables are left as they are.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
         super().__init__()
-        self._spark, self._dir = spark, sf_dir.rstrip("/")
+        self._spark, self._dir, self._spread = spark, sf_dir.rstrip("/"), spread
 
     def __missing__(self, name: str) -> DataFrame:
-        frame = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        path = f"{self._dir}/{name}.parquet"
+        frame = self._spark.read.parquet(path)
+        if self._spread and os.path.isfile(path) and os.path.getsize(path) >= SPREAD_MIN_BYTES:
+            cores = self._spark.sparkContext.defaultParallelism
+            if frame.rdd.getNumPartitions() < cores:
+                frame = frame.repartition(cores)
         self[name] = frame
         return frame
 
