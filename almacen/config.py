@@ -106,9 +106,12 @@ class GoldConfig:
 
 @dataclass(frozen=True)
 class JoinConfig:
-    """Row bound under which a dimension may be broadcast (checked, never assumed)."""
+    """Bounds under which a dimension may be broadcast (checked, never assumed):
+    at most ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` by the
+    schema's upper row width."""
 
     broadcast_max_rows: int = 2_000_000
+    broadcast_max_bytes: int = 64 << 20
     null_key_salts: int = 64
 
 

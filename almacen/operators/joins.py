@@ -6,20 +6,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almacen.config import DEFAULT_JOIN
 
+# Bytes per value assumed when bounding a broadcast (strings and nested values
+# counted generously, since the bound must hold for the real rows).
+_WIDTH = {T.StringType: 64, T.BinaryType: 64, T.DecimalType: 16, T.LongType: 8, T.DoubleType: 8,
+          T.TimestampType: 8, T.TimestampNTZType: 8, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
+          T.ShortType: 2, T.ByteType: 1, T.BooleanType: 1}
+
+
+def row_width(schema: T.StructType) -> int:
+    """Upper estimate of one row's bytes: 8 bytes of row overhead plus each field."""
+    return 8 + sum(_WIDTH.get(type(f.dataType), 256) for f in schema.fields)
+
 
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise the plain frame
-    (sort-merge join with AQE skew handling, or AQE's own runtime broadcast)."""
-    limit = DEFAULT_JOIN.broadcast_max_rows if max_rows is None else max_rows
-    return F.broadcast(df) if fits(df, limit) else df
+def broadcast_row_bound(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> int:
+    """Rows allowed for a broadcast of ``df``: the row cap, lowered by the byte cap."""
+    rows = DEFAULT_JOIN.broadcast_max_rows if max_rows is None else max_rows
+    limit_bytes = DEFAULT_JOIN.broadcast_max_bytes if max_bytes is None else max_bytes
+    return max(0, min(rows, limit_bytes // row_width(df.schema)))
+
+
+def checked_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint only behind a size check (rows, and rows x row width);
+    otherwise the plain frame (sort-merge join with AQE skew handling, or
+    AQE's own broadcast from measured runtime sizes)."""
+    return F.broadcast(df) if fits(df, broadcast_row_bound(df, max_rows, max_bytes)) else df
 
 
 def salted_left_join(
@@ -38,8 +57,7 @@ def salted_left_join(
     match) get a salt from a hash of ``row_id``, so they spread over all
     partitions instead of landing in one; ``right`` has salt 0.
     """
-    limit = DEFAULT_JOIN.broadcast_max_rows if max_rows is None else max_rows
-    if fits(right, limit):
+    if fits(right, broadcast_row_bound(right, max_rows)):
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
     n = salts or DEFAULT_JOIN.null_key_salts
     salt = F.when(F.col(left_key).isNull(), 1 + F.pmod(F.xxhash64(*row_id), F.lit(n))).otherwise(F.lit(0))
