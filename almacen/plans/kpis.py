@@ -74,12 +74,17 @@ def stock_coverage(stock: DataFrame, sales: DataFrame, ref: Column, days: int =
     )
 
 
-def avg_ticket(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """Per channel and level-1 category: net sales / distinct transactions."""
+def avg_ticket(sales: DataFrame, products: DataFrame, ids_unique: bool = True) -> DataFrame:
+    """Per channel and level-1 category: net sales / distinct transactions.
+
+    Silver sales are unique by ``id_trans``, so a plain count is the distinct
+    count (no expand, one shuffle less); pass ``ids_unique=False`` otherwise.
+    """
     a = checked_broadcast(products.select(F.col("art_id").alias("_a_id"), F.col("id_categ_n1").alias("categoria_nivel_1")))
     j = sales.join(a, sales["art_id"] == a["_a_id"], "inner")
     agg = j.groupBy("canal_venta", "categoria_nivel_1").agg(
-        F.sum("vr_total_trans").alias("_net"), F.count_distinct("id_trans").alias("transacciones")
+        F.sum("vr_total_trans").alias("_net"),
+        (F.count("id_trans") if ids_unique else F.count_distinct("id_trans")).alias("transacciones"),
     )
     return agg.select(
         "canal_venta", "categoria_nivel_1", "transacciones",
