@@ -41,6 +41,13 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int
     return F.broadcast(df) if fits(df, broadcast_row_bound(df, max_rows, max_bytes)) else df
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    except (TypeError, ValueError):
+        return 200
+
+
 def salted_left_join(
     left: DataFrame,
     right: DataFrame,
@@ -55,11 +62,14 @@ def salted_left_join(
     A checked-small ``right`` is broadcast (no shuffle of ``left``). Otherwise both
     sides are shuffled on ``(key, salt)``: rows with a null key (they can never
     match) get a salt from a hash of ``row_id``, so they spread over all
-    partitions instead of landing in one; ``right`` has salt 0.
+    partitions instead of landing in one; ``right`` has salt 0. The default
+    number of salts is the session's shuffle partition count (at least
+    ``JoinConfig.null_key_salts``), so a null key holding a third of the rows
+    is spread over every reducer.
     """
     if fits(right, broadcast_row_bound(right, max_rows)):
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
-    n = salts or DEFAULT_JOIN.null_key_salts
+    n = salts or max(DEFAULT_JOIN.null_key_salts, _shuffle_partitions(left))
     salt = F.when(F.col(left_key).isNull(), 1 + F.pmod(F.xxhash64(*row_id), F.lit(n))).otherwise(F.lit(0))
     l2 = left.withColumn("_salt_l", salt.cast("int"))
     r2 = right.withColumn("_salt_r", F.lit(0))

@@ -23,24 +23,29 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a fresh scratch folder is set.
+    Only when the session names none and runs a local master (tests) a fresh
+    scratch folder is set; a cluster without the setting is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. remote sessions: the server side owns the folder
+        return conf_dir
     if conf_dir:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(conf_dir)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(conf_dir)
         return conf_dir
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local one cannot serve a cluster")
     local = tempfile.mkdtemp(prefix="almacen-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 
