@@ -36,18 +36,12 @@ RETURN_STATES = ("APROBADO", "PENDIENTE", "RECHAZADO")  # by l_suppkey % 3
 # ---------------------------------------------------------------------------
 
 
-def _row_groups(path: str) -> int:
-    """Row groups of a local Parquet file (footer only); the unit Spark can split a scan into."""
-    import pyarrow.parquet as pq
-
-    return pq.ParquetFile(path).metadata.num_row_groups
-
-
-def _parallelism(spark: SparkSession) -> int:
+def _scan_splits(spark: SparkSession, frame: DataFrame) -> tuple[int, int]:
+    """(input partitions of the scan, session parallelism); (0, 0) without a local context."""
     try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - sessions without a local context keep the plain scan
-        return 0
+        return frame.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - sessions without RDD access keep the plain scan
+        return 0, 0
 
 
 class GivenTables(dict):
@@ -55,7 +49,7 @@ class GivenTables(dict):
 
     Each given file holds a single row group, which Spark cannot split: the
     whole table would be read, joined and pre-aggregated by one task. A table
-    whose file has fewer row groups than the session's parallelism is spread
+    whose scan has fewer partitions than the session's parallelism is spread
     with a round-robin repartition when its file has at least
     ``SPREAD_MIN_BYTES``; large inputs (many row groups, many splits) and tiny
     tables are left as they are.
@@ -69,8 +63,8 @@ class GivenTables(dict):
         path = f"{self._dir}/{name}.parquet"
         frame = self._spark.read.parquet(path)
         if self._spread and os.path.isfile(path) and os.path.getsize(path) >= SPREAD_MIN_BYTES:
-            cores, groups = _parallelism(self._spark), _row_groups(path)
-            if groups < cores:
+            splits, cores = _scan_splits(self._spark, frame)
+            if splits < cores:
                 frame = frame.repartition(cores)
         self[name] = frame
         return frame

@@ -15,8 +15,6 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from almacen.sources.testdata import TABLES  # noqa: E402
-
 VIEWS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -85,4 +83,3 @@ if __name__ == "__main__":
     res = compare(spark, sf, sys.argv[2:] or None)
     bad = {k: v for k, v in res.items() if v[0] not in ("ok", "rows-only")}
     print("SUMMARY", len(res) - len(bad), "/", len(res), "ok;", "bad:", sorted(bad))
-    _ = TABLES
