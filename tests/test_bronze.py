@@ -74,3 +74,18 @@ def test_raw_stream_available_now(spark):
     typed_increments(spark, root, "MSTR_TIENDAS", S.STORES, lambda df, i: seen.append(df.count()),
                      name=os.path.basename(root))
     assert sum(seen) == 50  # the second run reads only the new day
+
+
+def test_catalog_tables_overwrite_append_and_buckets(spark):
+    from almacen.sources.sinks import append_rows, read_table, write_table
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id_trans long, v string")
+    write_table(df, "t_ventas_prueba", bucket_by=(4, ["id_trans"]))
+    write_table(df.limit(1), "t_ventas_prueba", bucket_by=(4, ["id_trans"]))  # overwrite
+    assert read_table(spark, "t_ventas_prueba").count() == 1
+    append_rows(df, "t_audit_prueba")
+    append_rows(df, "t_audit_prueba")
+    assert read_table(spark, "t_audit_prueba").count() == 6
+    # bucketed on the join key: an aggregate by that key needs no shuffle of the table
+    plan = read_table(spark, "t_ventas_prueba").groupBy("id_trans").count()._jdf.queryExecution().executedPlan()
+    assert "Exchange hashpartitioning" not in plan.toString()

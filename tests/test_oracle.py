@@ -24,3 +24,19 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert df.columns == ["sk_cliente", "recency_dias", "frequency_trans", "monetary_val", "r_score", "f_score",
                           "m_score", "segmento_rfm", "nombre_segmento", "fec_calculo_rfm"]
+
+
+def test_all_queries_on_empty_tables(spark, tmp_path_factory):
+    """Every registered query runs on zero-row copies of the given tables and
+    agrees with its oracle (empty or one-row results, no errors)."""
+    import pyarrow.parquet as pq
+
+    from tests.oracle_check import VIEWS
+
+    empty = tmp_path_factory.mktemp("empty-sf")
+    for name in VIEWS:
+        table = pq.read_table(f"{SF}/{name}.parquet").slice(0, 0)
+        pq.write_table(table, str(empty / f"{name}.parquet"))
+    results = compare(spark, str(empty), verbose=False)
+    bad = {k: v for k, v in results.items() if v[0] != "ok"}
+    assert not bad, bad
