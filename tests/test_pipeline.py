@@ -25,3 +25,25 @@ def test_run_medallion_end_to_end(spark):
     assert fact.join(dim, fact.sk_producto == dim.sk_producto, "left_anti").count() == 0
     seg = store.read(spark, "fact_rfm_clientes")
     assert seg.groupBy("nombre_segmento").count().agg({"count": "sum"}).collect()[0][0] == seg.count()
+
+
+def test_bucketed_catalog_store_joins_without_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from almacen.plans.pipeline import Store, co_located
+
+    store = Store("", as_path=False, buckets=co_located(4))
+    sales = spark.range(100).select(F.col("id").alias("id_trans"), (F.col("id") * 2).alias("precio_unitario_venta"))
+    rets = spark.range(0, 100, 3).select(F.col("id").alias("id_devolucion"), F.col("id").alias("id_trans_origen"))
+    store.write(sales, "trans_ventas")
+    store.write(rets, "post_devoluciones")
+    v, d = store.read(spark, "trans_ventas"), store.read(spark, "post_devoluciones")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # large-table behaviour on tiny data
+    try:
+        joined = d.join(v, d.id_trans_origen == v.id_trans, "left")
+        assert joined.count() == 34
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
