@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almacen.operators.joins import salted_left_join
+from almacen.operators.joins import broadcast_row_bound, fits_many, salted_left_join
 
 
 @dataclass(frozen=True)
@@ -28,15 +28,17 @@ def flag_references(df: DataFrame, id_col: str, refs: Sequence[Reference]) -> Da
     size check, else a shuffle join with null keys salted. Every input row comes
     out exactly once.
     """
+    key_sets = [
+        ref.keys.select(F.col(ref.key).alias(f"_k_{ref.label}"))
+        .where(F.col(f"_k_{ref.label}").isNotNull())
+        .distinct()
+        .withColumn(f"_ok_{ref.label}", F.lit(True))
+        for ref in refs
+    ]
+    small = fits_many([(k, broadcast_row_bound(k)) for k in key_sets])  # one job for all size checks
     out = df
-    for ref in refs:
-        keys = (
-            ref.keys.select(F.col(ref.key).alias(f"_k_{ref.label}"))
-            .where(F.col(f"_k_{ref.label}").isNotNull())
-            .distinct()
-            .withColumn(f"_ok_{ref.label}", F.lit(True))
-        )
-        out = salted_left_join(out, keys, ref.column, f"_k_{ref.label}", row_id=df.columns)
+    for ref, keys, is_small in zip(refs, key_sets, small):
+        out = salted_left_join(out, keys, ref.column, f"_k_{ref.label}", row_id=df.columns, small=is_small)
         out = out.drop(f"_k_{ref.label}")
         out = out.withColumn(f"_ok_{ref.label}", F.coalesce(F.col(f"_ok_{ref.label}"), F.lit(False)))
     return out.withColumn("_ok_id", F.col(id_col).isNotNull())

@@ -27,6 +27,18 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_many(items: Sequence[tuple[DataFrame, int]]) -> list[bool]:
+    """``fits`` for several frames in one job: one-row limited counts, cross-joined."""
+    if not items:
+        return []
+    counts = None
+    for i, (df, n) in enumerate(items):
+        c = df.limit(n + 1).agg(F.count(F.lit(1)).alias(f"_c{i}"))
+        counts = c if counts is None else counts.crossJoin(c)
+    row = counts.collect()[0]
+    return [row[f"_c{i}"] <= n for i, (_, n) in enumerate(items)]
+
+
 def broadcast_row_bound(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> int:
     """Rows allowed for a broadcast of ``df``: the row cap, lowered by the byte cap."""
     rows = DEFAULT_JOIN.broadcast_max_rows if max_rows is None else max_rows
@@ -56,6 +68,7 @@ def salted_left_join(
     row_id: Sequence[str],
     salts: int | None = None,
     max_rows: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key``, safe for a hot null key.
 
@@ -65,9 +78,12 @@ def salted_left_join(
     partitions instead of landing in one; ``right`` has salt 0. The default
     number of salts is the session's shuffle partition count (at least
     ``JoinConfig.null_key_salts``), so a null key holding a third of the rows
-    is spread over every reducer.
+    is spread over every reducer. ``small`` passes a size check already made
+    (e.g. by :func:`fits_many`).
     """
-    if fits(right, broadcast_row_bound(right, max_rows)):
+    if small is None:
+        small = fits(right, broadcast_row_bound(right, max_rows))
+    if small:
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
     n = salts or max(DEFAULT_JOIN.null_key_salts, _shuffle_partitions(left))
     salt = F.when(F.col(left_key).isNull(), 1 + F.pmod(F.xxhash64(*row_id), F.lit(n))).otherwise(F.lit(0))
