@@ -99,3 +99,24 @@ def test_dim_date_covers_every_day(spark):
     got = dims.dim_date(df, "d").orderBy("fecha").collect()
     assert [r.sk_fecha for r in got] == [20240227, 20240228, 20240229, 20240301, 20240302]
     assert got[0].dia_semana == "Tuesday" and got[2].mes == 2
+
+
+def test_customer_pii_options(spark):
+    import hashlib
+
+    from almacen.config import SilverConfig
+    from almacen.plans import silver
+
+    raw = spark.createDataFrame(
+        [(7, D(2024, 1, 1), "Lima", "Femenino", None, "App", 0, None)],
+        "id_miembro int, fec_registro date, id_ciudad string, genero string, rango_edad string, canal_pref string, "
+        "activo int, fec_ultima_compra date",
+    )
+    salted = silver.members(raw, SilverConfig(pii_salt="s1")).collect()[0]
+    assert salted.id_miembro_hash == hashlib.sha256(b"s17").hexdigest()
+    assert (salted.genero, salted.rango_edad, salted.activo) == ("F", "30-45", False)
+    m = silver.members(raw)
+    ref = F.lit(D(2024, 1, 31))
+    assert "id_miembro_bk" not in dims.dim_customers(m, ref, keep_raw_id=False).columns
+    masked = dims.mask_columns(dims.dim_customers(m, ref), ["id_miembro_bk"]).collect()[0]
+    assert masked.id_miembro_bk == "n" and masked.antiguedad_dias == 30
