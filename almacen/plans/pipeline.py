@@ -197,9 +197,10 @@ def run_medallion(
     gcfg: GoldConfig = DEFAULT_GOLD,
     order_by: dict[str, tuple[str, ...]] | None = None,
     now: dt.datetime | None = None,
+    store: Store | None = None,
 ) -> Store:
-    """Silver then gold into ``root`` (PL: bronze, silver, gold in sequence)."""
-    store = Store(root)
+    """Silver then gold into ``root`` or ``store`` (PL: bronze, silver, gold in sequence)."""
+    store = store or Store(root)
     ts = now or dt.datetime.now()
     run_silver(spark, sources, store, RunContext(ts.strftime("EXEC_%Y%m%d_%H%M%S"), ts), scfg, order_by)
     run_gold(spark, store, gcfg, RunContext(ts.strftime(GOLD_RUN_FORMAT), ts))

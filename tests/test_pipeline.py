@@ -47,3 +47,16 @@ def test_bucketed_catalog_store_joins_without_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_run_medallion_catalog_store_with_buckets(spark):
+    from almacen.plans.pipeline import Store, co_located
+
+    src = source_tables(spark, "/root/testdata/sf0.001")
+    order = {"TRANS_VENTAS": SALES_ORDER, "POST_DEVOLUCIONES": RETURNS_ORDER}
+    store = Store("", as_path=False, buckets=co_located(4))
+    run_medallion(spark, src, "", order_by=order, now=dt.datetime(2024, 5, 1, 8, 0, 0), store=store)
+    assert spark.table("fact_devoluciones").count() == spark.table("post_devoluciones").count()
+    assert spark.table("fact_rfm_clientes").count() > 0
+    detail = spark.sql("DESCRIBE TABLE EXTENDED trans_ventas").collect()
+    assert any(r.col_name == "Bucket Columns" and "id_trans" in r.data_type for r in detail)
