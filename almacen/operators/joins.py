@@ -86,8 +86,11 @@ def salted_left_join(
     if small:
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
     n = salts or max(DEFAULT_JOIN.null_key_salts, _shuffle_partitions(left))
+    # One struct key (key, salt) on both sides: a separate literal salt column on
+    # the right would be constant-folded out of the join keys, and the shuffle
+    # would again hash on the key alone.
     salt = F.when(F.col(left_key).isNull(), 1 + F.pmod(F.xxhash64(*row_id), F.lit(n))).otherwise(F.lit(0))
-    l2 = left.withColumn("_salt_l", salt.cast("int"))
-    r2 = right.withColumn("_salt_r", F.lit(0))
-    cond = (l2[left_key] == r2[right_key]) & (l2["_salt_l"] == r2["_salt_r"])
-    return l2.join(r2, cond, "left").drop("_salt_l", "_salt_r")
+    key_type = left.schema[left_key].dataType
+    l2 = left.withColumn("_jk_l", F.struct(F.col(left_key).alias("k"), salt.cast("int").alias("s")))
+    r2 = right.withColumn("_jk_r", F.struct(F.col(right_key).cast(key_type).alias("k"), F.lit(0).alias("s")))
+    return l2.join(r2, l2["_jk_l"] == r2["_jk_r"], "left").drop("_jk_l", "_jk_r")

@@ -114,3 +114,18 @@ def test_quality_metrics_single_pass(spark):
     assert q.pct_conformed == 50.0 and q.null_analysis == '{"v":1}'
     empty = quality_metrics("E", counted.limit(0), "_rows").collect()[0]
     assert (empty.total_records, empty.pct_conformed) == (0, 0.0)
+
+
+def test_null_keys_spread_over_reducers(spark):
+    left = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 10 == 0, F.col("id") % 7).cast("int").alias("k"))
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(7)], "rk int, v string")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep every reducer partition visible
+    try:
+        joined = salted_left_join(left, right, "k", "rk", ["id"], max_rows=1)  # force the shuffle path
+        nulls = joined.filter(F.col("k").isNull()).select(F.spark_partition_id().alias("p"))
+        used = nulls.distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert joined.count() == 2000
+    assert used >= 6  # 1,800 null-key rows over the 8 shuffle partitions, not one
