@@ -58,10 +58,15 @@ def blocks(texts: list[bytes], limit: int = 1 << 20):
         yield lo, len(texts)
 
 
-def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+# lower case for A-Z, a space for every other ASCII character that is no letter or digit
+PLAIN = bytes(c + 32 if 65 <= c < 91 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
+
+
+def word_hashes(texts: list[bytes], lower: bool = False, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """(hash of every word, first word of each text plus the total, byte start and end of every word).
 
-    Byte offsets count in the texts joined by one newline.
+    Byte offsets count in the texts joined by one newline. For each of ``prefixes``
+    follow the hashes of the words' first so many bytes (0 for words that aren't longer).
     """
     buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     if lower:
@@ -76,9 +81,13 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
         run[0] = 0
         np.cumsum(_BYTE[buf] * power[: len(buf)], out=run[1:])
         words = mix((run[end] - run[start]) * inverse[start] + (end - start).astype(np.uint64))
+        more = []
+        for k in prefixes:
+            h = mix((run[np.minimum(start + k, end)] - run[start]) * inverse[start] + np.uint64((k << 32) + 1))
+            more.append(np.where(end - start > k, h, np.uint64(0)))
     at = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=at[1:])
-    return words, np.searchsorted(start, at), start, end
+    return words, np.searchsorted(start, at), start, end, *more
 
 
 def grams(words: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
@@ -102,13 +111,17 @@ def grams(words: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
         return mix(out + np.uint64(n))
 
 
-def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of each ``width`` consecutive values."""
+def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
+    """Place of the least (the first of equals) of each ``width`` consecutive values."""
     if len(x) < width:
-        return np.empty(0, dtype=x.dtype)
-    size, m = 1, x
+        return np.empty(0, dtype=np.int64)
+    size, at = 1, np.arange(len(x))
+
+    def lower(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(x[a] <= x[b], a, b)
+
     while size * 2 <= width:
-        m = np.minimum(m[:-size], m[size:])
+        at = lower(at[:-size], at[size:])
         size *= 2
     rest = width - size
-    return np.minimum(m[: len(m) - rest], m[rest:]) if rest else m
+    return lower(at[: len(at) - rest], at[rest:]) if rest else at

@@ -26,10 +26,10 @@ from almacen.llm.common import id_text, materialize, prepare, scratch_path, shuf
 
 SEQ_LEN, BATCH_ROWS = 2048, 256
 END_ID = 1
-CACHE_WORDS = 400_000  # words whose ids a Python worker remembers
+CACHE_WORDS = 300_000  # words whose ids a Python worker remembers, at least; twice as many at most
 
 _tokenizers: dict = {}
-_words: dict[str, dict[str, bytes]] = {}
+_encoders: dict[str, _Encoder] = {}
 
 MANIFEST = "shard int, tokens_path string, docs_path string, n_docs long, n_tokens long"
 
@@ -50,24 +50,91 @@ def id_type(path: str) -> np.dtype:
     return np.dtype("<u2" if _tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4")
 
 
-def encode_texts(texts: list[str], path: str, dtype: np.dtype) -> list[bytes]:
-    """The ids of every text, without special tokens, as ``dtype`` bytes.
+class _Encoder:
+    """Ids of white-space separated words, each encoded once by the library and remembered.
 
-    This vocabulary splits at white space and drops it, so a text's ids are
-    those of its parts between spaces and newlines; each new part goes through the
-    library once and is remembered.
+    The vocabulary drops white space and splits words into runs of letters, digits
+    and other characters before it merges, so a text's ids are those of its words, and a word
+    with a mark at its end is the word and the mark. Words of letters only are one
+    run each: they are encoded many at a time and told apart by the vocabulary's
+    end-of-word suffix. Two generations of remembered words bound the memory.
     """
-    known = _words.setdefault(path, {})
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    split = [t.replace("\n", " ").split(" ") for t in texts]
-    new = list({w for words in split for w in words}.difference(known))
-    if new:
-        tok = _tokenizer(path)
-        for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, dtype=dtype).tobytes()
-    look = known.__getitem__
-    return [b"".join(map(look, words)) for words in split]
+
+    def __init__(self, path: str, dtype: np.dtype):
+        self.tok, self.dtype = _tokenizer(path), dtype
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        vocab = self.tok.get_vocab()
+        suffix = self.tok.model.end_of_word_suffix
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+
+    def _each(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tok.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.young[w] = np.array(e.ids, dtype=self.dtype).tobytes()
+
+    def _bulk(self, words: list[str]) -> None:
+        parts = [words[i : i + 400] for i in range(0, len(words), 400)]
+        made = self.tok.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, e in zip(parts, made, strict=True):
+            ids = np.array(e.ids, dtype=self.dtype)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part):  # some word is not one run after all
+                self._each(part)
+                continue
+            data, at = ids.tobytes(), 0
+            for w, stop in zip(part, (stops * self.dtype.itemsize).tolist(), strict=True):
+                self.young[w] = data[at:stop]
+                at = stop
+
+    def _know(self, words: set[str]) -> None:
+        new = set()
+        for w in words.difference(self.young):
+            if (ids := self.old.get(w)) is not None:
+                self.young[w] = ids
+            else:
+                new.add(w)
+        plain = [w for w in new if w.isalpha()]
+        self._bulk(plain)
+        self._each([w for w in new if not w.isalpha()])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.young) > CACHE_WORDS:
+            self.young, self.old = {}, self.young
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        compound = {}
+        simple = set()
+        for w in {w for words in split for w in words}.difference(self.young):
+            if (ids := self.old.get(w)) is not None:
+                self.young[w] = ids
+                continue
+            core = w
+            # where lower case and composition leave one letter for each: Latin up to U+017F, but for the dotted I
+            if w.isascii() or (w and max(w) <= "\u017f" and "\u0130" not in w):
+                core = w.rstrip(".,;:!?")
+                if not core or not core[-1].isalnum():
+                    core = w
+                tail, core = w[len(core) :], core.lower()
+            else:
+                tail = ""
+            simple.add(core)
+            if tail:
+                simple.add(tail)
+            if tail or core != w:
+                compound[w] = core, tail
+        self._know(simple)
+        known = self.young
+        for w, (core, tail) in compound.items():
+            known[w] = known[core] + known[tail] if tail else known[core]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+
+def encode_texts(texts: list[str], path: str, dtype: np.dtype) -> list[bytes]:
+    """The ids of every text, without special tokens, as ``dtype`` bytes."""
+    if path not in _encoders:
+        _encoders[path] = _Encoder(path, dtype)
+    return _encoders[path].encode(texts)
 
 
 class _Shard:

@@ -42,7 +42,7 @@ def test_drop_copies_and_empty(make_docs):
     left = exact_dedup.drop_copies(make_docs(ROWS))
     assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     got = sorted((r["doc_id"], r["text"]) for r in left.where("doc_id IS NOT NULL").collect())
-    assert [i for i, _ in got] == [4, 5, 7, 8, 9, 10, 11, 13, 14, 14]
+    assert [i for i, _ in got] == [4, 5, 7, 8, 9, 10, 11, 12, 13, 14, 14]  # 12 and 13 look alike, their bytes differ
     assert exact_dedup.exact_groups(make_docs([])).count() == 0
 
 

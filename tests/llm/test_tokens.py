@@ -60,6 +60,17 @@ def test_token_files(spark, make_docs):
     assert seen == ids
 
 
+def test_words_by_parts_equal_whole_texts():
+    rnd = random.Random(8)
+    tok = Tokenizer.from_file(WORD)
+    tok.encode_special_tokens = True
+    alphabet = "abAB'sé\u0301ÉΣσİıſŁ漢1²½.,;:!?-_ \n\t\x1c\x85\u3000🙂ﬁ"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(60))) for _ in range(3000)]
+    got = token_files.encode_texts(texts, WORD, np.dtype("<u2"))
+    for t, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_token_files_empty(spark, make_docs):
     assert token_files.read_documents(stream(spark, make_docs([]))).count() == 0
 
