@@ -52,8 +52,11 @@ CHURN_SEGMENTS = ("En Riesgo", "Abandono")
 # referential-integrity reject reason for sales
 RI_REJECT_REASON = "ERROR_INTEGRIDAD_REFERENCIAL_ART_O_TIENDA"
 NULL_KEY_REJECT_REASON = "ERROR_LLAVE_NULA"
-# bronze lineage constant
+# bronze lineage constants
 SOURCE_SYSTEM = "SQL_ORIGEN"
+INGEST_TS = "FechaIngesta"
+# key of an unknown store or original sale in the sources
+UNKNOWN_KEY = -1
 # run id formats of the silver and gold stages
 SILVER_RUN_FORMAT = "EXEC_%Y%m%d_%H%M%S"
 GOLD_RUN_FORMAT = "EXEC_GOLD_%Y%m%d_%H%M%S"
@@ -95,6 +98,7 @@ class GoldConfig:
     stockout_days: int = STOCKOUT_DAYS
     consumption_mode: str = "all"  # "all" (reference) or "trailing"
     consumption_days: int = 14
+    consumption_calendar_days: bool = False  # divide by the days of the window instead of its sale days
     rfm_days: int = RFM_WINDOW_DAYS
     rfm_tiles: int = RFM_TILES
     rfm_include_anonymous: bool = True
@@ -106,12 +110,8 @@ class GoldConfig:
 
 @dataclass(frozen=True)
 class JoinConfig:
-    """Bounds under which a dimension may be broadcast (checked, never assumed):
-    at most ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` by the
-    schema's upper row width."""
+    """Salts of a hot join key, at least (more where the session shuffles to more partitions)."""
 
-    broadcast_max_rows: int = 2_000_000
-    broadcast_max_bytes: int = 64 << 20
     null_key_salts: int = 64
 
 

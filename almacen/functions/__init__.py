@@ -10,5 +10,4 @@ from almacen.functions.columns import (  # noqa: F401
     normalise_text,
     positive_flag,
     rounded_ratio,
-    to_double,
 )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _col(c: Column | str) -> Column:
@@ -70,21 +71,32 @@ def date_key(col: Column | str) -> Column:
     return F.date_format(_col(col), "yyyyMMdd").cast("int")
 
 
+def edge(df: DataFrame) -> DataFrame:
+    """Decimals to double at the output edge (the reference's money type)."""
+    return df.select(
+        *[
+            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
+def whole_div(a: Column, b: Column) -> Column:
+    """SQL ``a div b``: the whole part of the quotient, in integer arithmetic; null for b = 0."""
+    return F.call_function("div", a, F.when(b != 0, b))
+
+
 def rounded_ratio(num: Column, den: Column, scale: int = 2) -> Column:
     """round(num / den, scale) HALF_UP (ties away from zero), exact for integral
     num and den > 0.
 
-    Integer arithmetic only, so the result does not depend on binary floating
-    point: with ``a = 2 * 10^s * |num| + den`` and ``b = 2 * den`` the rounded
-    magnitude is ``floor(a / b) / 10^s``, and ``a - pmod(a, b)`` divides exactly.
+    Integer arithmetic only (SQL ``div``), so the result does not depend on binary
+    floating point: with ``a = 2 * 10^s * |num| + den`` and ``b = 2 * den`` the
+    rounded magnitude is ``a div b / 10^s``. ``a`` must stay below 2^63.
     """
     unit = 10**scale
     n = num.cast("long")
-    a = F.abs(n) * (2 * unit) + den.cast("long")
+    a = F.abs(n) * F.lit(2 * unit).cast("long") + den.cast("long")
     b = den.cast("long") * 2
-    q = ((a - F.pmod(a, b)) / b).cast("long") * F.signum(n).cast("long")
+    q = whole_div(a, b) * F.when(n < 0, F.lit(-1)).otherwise(F.lit(1))
     return (q.cast("decimal(38,0)") / F.lit(unit)).cast(f"decimal(38,{scale})").cast("double")
-
-
-def to_double(col: Column | str) -> Column:
-    return _col(col).cast("double")

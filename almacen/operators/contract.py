@@ -33,6 +33,16 @@ def apply_contract(df: DataFrame, schema: T.StructType, keep_extra: bool = True)
     return df.select(*cols)
 
 
+def failure_count(df: DataFrame, schema: T.StructType) -> Column:
+    """Number of a row's non-null values that would not convert to the contract's types."""
+    present = set(df.columns)
+    total = F.lit(0).cast("long")
+    for f in schema.fields:
+        if f.name in present and df.schema[f.name].dataType != f.dataType:
+            total = total + (F.col(f.name).isNotNull() & lenient(F.col(f.name), f.dataType).isNull()).cast("long")
+    return total
+
+
 def cast_failures(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row: per contract column, how many non-null values would not convert."""
     present = set(df.columns)

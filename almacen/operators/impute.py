@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almacen.operators.joins import checked_broadcast
-
 
 def group_donors(df: DataFrame, target: str, group: str, order_key: str) -> DataFrame:
     """Per group, the non-null ``target`` of the row with the least ``order_key``.
@@ -28,9 +26,9 @@ def impute_from_group(
     """``target = coalesce(target, donor of the row's group, default)``.
 
     Null groups form one group, as a window partition would. The donor table has
-    one row per group and is broadcast only after a size check.
+    one row per group; AQE broadcasts it when its measured size allows it.
     """
-    donors = checked_broadcast(group_donors(df, target, group, order_key))
+    donors = group_donors(df, target, group, order_key)
     joined = df.join(donors, df[group].eqNullSafe(donors["_donor_group"]), "left")
     filled = F.coalesce(F.col(target), F.col("_donor"), F.lit(default))
     return joined.select(*[filled.alias(c) if c == target else df[c] for c in df.columns])

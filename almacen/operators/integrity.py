@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almacen.operators.joins import broadcast_row_bound, fits_many, salted_left_join
+from almacen.operators.joins import salted_left_join
 
 
 @dataclass(frozen=True)
@@ -19,14 +19,15 @@ class Reference:
     keys: DataFrame
     key: str
     label: str
+    hot: tuple = ()  # values of ``column`` that very many rows may have, such as a key for "unknown"
 
 
 def flag_references(df: DataFrame, id_col: str, refs: Sequence[Reference]) -> DataFrame:
     """Adds one boolean ``_ok_<label>`` per reference and ``_ok_id`` (key not null).
 
-    One left join per reference against its distinct key set: broadcast after a
-    size check, else a shuffle join with null keys salted. Every input row comes
-    out exactly once.
+    One left join per reference against its distinct key set, null and hot keys
+    salted; AQE broadcasts a key set whose measured size allows it. Every input
+    row comes out exactly once.
     """
     key_sets = [
         ref.keys.select(F.col(ref.key).alias(f"_k_{ref.label}"))
@@ -35,10 +36,9 @@ def flag_references(df: DataFrame, id_col: str, refs: Sequence[Reference]) -> Da
         .withColumn(f"_ok_{ref.label}", F.lit(True))
         for ref in refs
     ]
-    small = fits_many([(k, broadcast_row_bound(k)) for k in key_sets])  # one job for all size checks
     out = df
-    for ref, keys, is_small in zip(refs, key_sets, small):
-        out = salted_left_join(out, keys, ref.column, f"_k_{ref.label}", row_id=df.columns, small=is_small)
+    for ref, keys in zip(refs, key_sets, strict=True):
+        out = salted_left_join(out, keys, ref.column, f"_k_{ref.label}", row_id=df.columns, hot=ref.hot)
         out = out.drop(f"_k_{ref.label}")
         out = out.withColumn(f"_ok_{ref.label}", F.coalesce(F.col(f"_ok_{ref.label}"), F.lit(False)))
     return out.withColumn("_ok_id", F.col(id_col).isNotNull())
@@ -79,11 +79,24 @@ def check_references(
     Both come from one flagged frame, so each row has exactly one outcome; write
     them from a materialised flagged frame to scan the input once.
     """
-    flagged = flag_references(df, id_col, refs)
+    return split_flagged(flag_references(df, id_col, refs), df.columns, refs, reason, null_key_reason, run_id, run_ts, detail)
+
+
+def split_flagged(
+    flagged: DataFrame,
+    columns: Sequence[str],
+    refs: Sequence[Reference],
+    reason: str,
+    null_key_reason: str,
+    run_id: str | None = None,
+    run_ts=None,
+    detail: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of a frame from :func:`flag_references`."""
     ok = accepted_condition(refs)
-    accepted = flagged.filter(ok).select(*df.columns)
+    accepted = flagged.filter(ok).select(*columns)
     rejected = flagged.filter(~ok).select(
-        *df.columns,
+        *columns,
         reject_reason(refs, reason, null_key_reason, detail).alias("motivo_rechazo"),
         F.lit(run_id).cast("string").alias("execution_id"),
         (F.lit(run_ts) if run_ts is not None else F.lit(None)).cast("timestamp").alias("rejected_at"),

@@ -1,63 +1,21 @@
-"""Join helpers: checked broadcast and null-key salting."""
+"""Join helpers for skewed keys. Join strategies are left to AQE, which knows the measured sizes."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from almacen.config import DEFAULT_JOIN
 
-# Bytes per value assumed when bounding a broadcast (strings and nested values
-# counted generously, since the bound must hold for the real rows).
-_WIDTH = {T.StringType: 64, T.BinaryType: 64, T.DecimalType: 16, T.LongType: 8, T.DoubleType: 8,
-          T.TimestampType: 8, T.TimestampNTZType: 8, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
-          T.ShortType: 2, T.ByteType: 1, T.BooleanType: 1}
 
-
-def row_width(schema: T.StructType) -> int:
-    """Upper estimate of one row's bytes: 8 bytes of row overhead plus each field."""
-    return 8 + sum(_WIDTH.get(type(f.dataType), 256) for f in schema.fields)
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def fits_many(items: Sequence[tuple[DataFrame, int]]) -> list[bool]:
-    """``fits`` for several frames in one job: one-row limited counts, cross-joined."""
-    if not items:
-        return []
-    counts = None
-    for i, (df, n) in enumerate(items):
-        c = df.limit(n + 1).agg(F.count(F.lit(1)).alias(f"_c{i}"))
-        counts = c if counts is None else counts.crossJoin(c)
-    row = counts.collect()[0]
-    return [row[f"_c{i}"] <= n for i, (_, n) in enumerate(items)]
-
-
-def broadcast_row_bound(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> int:
-    """Rows allowed for a broadcast of ``df``: the row cap, lowered by the byte cap."""
-    rows = DEFAULT_JOIN.broadcast_max_rows if max_rows is None else max_rows
-    limit_bytes = DEFAULT_JOIN.broadcast_max_bytes if max_bytes is None else max_bytes
-    return max(0, min(rows, limit_bytes // row_width(df.schema)))
-
-
-def checked_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a size check (rows, and rows x row width);
-    otherwise the plain frame (sort-merge join with AQE skew handling, or
-    AQE's own broadcast from measured runtime sizes)."""
-    return F.broadcast(df) if fits(df, broadcast_row_bound(df, max_rows, max_bytes)) else df
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _shuffle_partitions(df: DataFrame) -> int:
-    try:
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    except (TypeError, ValueError):
-        return 200
+def _is_hot(key: Column, hot: Sequence) -> Column:
+    return F.coalesce(key.isin(list(hot)), F.lit(False)) if hot else F.lit(False)
 
 
 def salted_left_join(
@@ -67,30 +25,43 @@ def salted_left_join(
     right_key: str,
     row_id: Sequence[str],
     salts: int | None = None,
-    max_rows: int | None = None,
-    small: bool | None = None,
+    hot: Sequence = (),
 ) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right_key``, safe for a hot null key.
+    """``left LEFT JOIN right ON left_key = right_key``, safe for a hot null or sentinel key.
 
-    A checked-small ``right`` is broadcast (no shuffle of ``left``). Otherwise both
-    sides are shuffled on ``(key, salt)``: rows with a null key (they can never
-    match) get a salt from a hash of ``row_id``, so they spread over all
-    partitions instead of landing in one; ``right`` has salt 0. The default
+    Both sides are keyed by ``(key, salt)``. Rows whose key is null (they can never
+    match) or one of the ``hot`` values get a salt from a hash of ``row_id``, so
+    they spread over all partitions instead of landing in one; ``right`` has salt 0, and
+    its rows of a ``hot`` key, if there are any, one copy per salt. The default
     number of salts is the session's shuffle partition count (at least
-    ``JoinConfig.null_key_salts``), so a null key holding a third of the rows
-    is spread over every reducer. ``small`` passes a size check already made
-    (e.g. by :func:`fits_many`).
+    ``JoinConfig.null_key_salts``).
     """
-    if small is None:
-        small = fits(right, broadcast_row_bound(right, max_rows))
-    if small:
-        return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
     n = salts or max(DEFAULT_JOIN.null_key_salts, _shuffle_partitions(left))
     # One struct key (key, salt) on both sides: a separate literal salt column on
     # the right would be constant-folded out of the join keys, and the shuffle
     # would again hash on the key alone.
-    salt = F.when(F.col(left_key).isNull(), 1 + F.pmod(F.xxhash64(*row_id), F.lit(n))).otherwise(F.lit(0))
+    spread = F.col(left_key).isNull() | _is_hot(F.col(left_key), hot)
+    salt = F.when(spread, 1 + F.pmod(F.xxhash64(*row_id), F.lit(n))).otherwise(F.lit(0))
     key_type = left.schema[left_key].dataType
     l2 = left.withColumn("_jk_l", F.struct(F.col(left_key).alias("k"), salt.cast("int").alias("s")))
-    r2 = right.withColumn("_jk_r", F.struct(F.col(right_key).cast(key_type).alias("k"), F.lit(0).alias("s")))
-    return l2.join(r2, l2["_jk_l"] == r2["_jk_r"], "left").drop("_jk_l", "_jk_r")
+    r2 = right.withColumn("_jk_s", F.lit(0))
+    if hot:
+        copies = F.when(_is_hot(F.col(right_key), hot), F.sequence(F.lit(1), F.lit(n))).otherwise(F.array(F.lit(0)))
+        r2 = right.withColumn("_jk_s", F.explode(copies))
+    r2 = r2.withColumn("_jk_r", F.struct(F.col(right_key).cast(key_type).alias("k"), F.col("_jk_s").alias("s")))
+    return l2.join(r2, l2["_jk_l"] == r2["_jk_r"], "left").drop("_jk_l", "_jk_r", "_jk_s")
+
+
+def split_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: Sequence) -> DataFrame:
+    """``left LEFT JOIN right`` with the null and ``hot`` keys joined apart from the others.
+
+    The others keep the plain equi-join (a bucketed layout still needs no
+    shuffle). Rows with a null key get nulls; those with a ``hot`` key meet only the
+    rows of ``right`` that have one. ``right`` is unique by ``right_key``, so these
+    are at most ``len(hot)`` rows, which bounds the broadcast.
+    """
+    key = F.col(left_key)
+    apart = key.isNull() | _is_hot(key, hot)
+    common = left.where(~apart).join(right.where(~_is_hot(F.col(right_key), hot)), key == F.col(right_key), "left")
+    few = F.broadcast(right.where(_is_hot(F.col(right_key), hot)))
+    return common.unionByName(left.where(apart).join(few, key == F.col(right_key), "left"))

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from almacen.functions.columns import whole_div
+
 
 def _count_at_most(df: DataFrame, searches: list[tuple[str, Column, str]], length: int) -> DataFrame:
     """For each ``(cuts, value, out)``: ``out`` = number of elements of the sorted
@@ -63,8 +65,8 @@ def _count_at_most(df: DataFrame, searches: list[tuple[str, Column, str]], lengt
 
 
 def exact_div(a: Column, b: Column) -> Column:
-    """floor(a / b) for a >= 0, b > 0, exact (no floating point)."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    """floor(a / b) for a >= 0, b > 0, in integer arithmetic (SQL ``div``)."""
+    return whole_div(a, b)
 
 
 def tile_of(rn: Column, n: Column, k: int) -> Column:
@@ -83,8 +85,8 @@ def ntiles_exact(
     k: int,
     specs: list[tuple[str, bool, str]],
     tie_key: str,
-    value_cuts: int = 256,
-    key_slots: int = 64,
+    value_cuts: int | None = None,
+    key_slots: int | None = None,
     accuracy: int = 10000,
     materialize=None,
 ) -> DataFrame:
@@ -93,10 +95,14 @@ def ntiles_exact(
     Each tile is over (order by order_col [asc|desc], tie_key asc nulls first).
     All cut points come from one aggregate and all bucket keys from one
     projection; ``materialize`` (e.g. a reliable checkpoint) may cut the lineage
-    of that keyed frame, which is read once per histogram and once for numbering.
+    of that keyed frame, which is read once for the histograms and once per numbering.
+    The default numbers of cuts and slots follow the session's shuffle partitions (two
+    value buckets for each), so a larger cluster numbers in more tasks.
     ``order_col`` and ``tie_key`` must be numeric or date columns; ``tie_key``
     should be unique for a fully defined result.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value_cuts, key_slots = value_cuts or max(16, 2 * partitions), key_slots or max(8, partitions)
     t = F.col(tie_key)
     fv = [i / value_cuts for i in range(1, value_cuts)]
     ft = [i / key_slots for i in range(1, key_slots)]
@@ -134,17 +140,18 @@ def ntiles_exact(
     if materialize is not None:
         keyed = materialize(keyed)
 
+    # one histogram for all orders: (order, bucket) counts, partially aggregated, and their running sums
+    marks = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_p{i}").alias("p"), F.col(f"_s{i}").alias("s")) for i in range(len(specs))])
+    hist = keyed.select(F.explode(marks).alias("m")).groupBy("m.i", "m.p", "m.s").agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy("i").orderBy("p", "s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = hist.select(
+        "i", "p", "s", (F.sum("_c").over(running) - F.col("_c")).alias("_off"),
+        F.sum("_c").over(Window.partitionBy("i")).alias("_n"),
+    )
     out = keyed
-    running = Window.orderBy("_p", "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for i, (_, _, name) in enumerate(specs):
         p, s = f"_p{i}", f"_s{i}"
-        hist = keyed.groupBy(F.col(p).alias("_p"), F.col(s).alias("_s")).agg(F.count(F.lit(1)).alias("_c"))
-        offsets = hist.select(
-            F.col("_p").alias(p),
-            F.col("_s").alias(s),
-            (F.sum("_c").over(running) - F.col("_c")).alias("_off"),
-            F.sum("_c").over(Window.partitionBy()).alias("_n"),
-        )
+        offsets = placed.where(F.col("i") == i).select(F.col("p").alias(p), F.col("s").alias(s), "_off", "_n")
         rn = F.col("_off") + F.row_number().over(Window.partitionBy(p, s).orderBy(*orders[i]))
         out = (
             out.join(F.broadcast(offsets), [p, s], "inner")
@@ -162,8 +169,8 @@ def ntile_exact(
     tie_key: str,
     out: str,
     ascending: bool = True,
-    value_cuts: int = 256,
-    key_slots: int = 64,
+    value_cuts: int | None = None,
+    key_slots: int | None = None,
     accuracy: int = 10000,
 ) -> DataFrame:
     """``df`` plus ``out`` = ntile(k) over (order by order_col [asc|desc], tie_key asc nulls first)."""

@@ -16,7 +16,8 @@ proveedores AS (
 articulos AS (
   SELECT CAST(p.p_partkey AS INTEGER) AS art_id,
          '770' || lpad(CAST(p.p_partkey AS VARCHAR), 9, '0') AS cod_barra,
-         p.p_name AS desc_art, p.p_type AS id_categ_n1, p.p_brand AS id_categ_n2, p.p_size AS id_categ_n3,
+         p.p_name AS desc_art,
+         CASE p.p_partkey % 10 WHEN 1 THEN 'TEC' WHEN 2 THEN 'ROPA' ELSE p.p_type END AS id_categ_n1, p.p_brand AS id_categ_n2, p.p_size AS id_categ_n3,
          CAST(ls.x_supp AS INTEGER) AS id_proveedor,
          CAST(p.p_retailprice AS DECIMAL(12,2)) AS precio_lista,
          CAST(p.p_size AS DECIMAL(8,2)) AS peso_kg,
@@ -52,7 +53,8 @@ miembros AS (
 lineas AS (
   SELECT * FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
 ventas_raw AS (
-  SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS id_trans,
+  SELECT CASE WHEN l_orderkey % 211 = 0 AND l_linenumber = 1 THEN NULL
+              ELSE CAST(l_orderkey * 10 + l_linenumber AS BIGINT) END AS id_trans,
          CASE WHEN o_orderkey % 20 = 0 THEN NULL ELSE CAST(o_custkey AS INTEGER) END AS id_miembro,
          CASE WHEN l_partkey % 97 = 0 THEN -1 WHEN l_partkey % 89 = 0 THEN NULL ELSE CAST(c_nationkey AS INTEGER) END
            AS id_tienda,
@@ -71,7 +73,8 @@ stock_raw AS (
            AS id_snapshot,
          art_id, id_tienda, fec_snapshot,
          CAST((art_id * 7 + id_tienda * 13 + day(fec_snapshot)) % 500 AS INTEGER) AS stock_fisico,
-         CASE WHEN art_id % 9 = 0 THEN NULL ELSE CAST(art_id % 100 AS INTEGER) END AS stock_transito,
+         CASE WHEN art_id % 9 = 0 THEN NULL WHEN art_id % 13 = 0 THEN 'N/D'
+              ELSE CAST(art_id % 100 AS VARCHAR) END AS stock_transito,
          CAST(id_tienda % 50 AS INTEGER) AS stock_reservado,
          CAST(10 + art_id % 40 AS INTEGER) AS stock_minimo_config,
          CAST(100 + art_id % 500 AS INTEGER) AS stock_maximo_config
@@ -133,10 +136,12 @@ articulos_s AS (
 tiendas_s AS (
   SELECT * REPLACE (upper(trim(tipo_tienda)) AS tipo_tienda, CAST(metros_cuadrados AS DOUBLE) AS metros_cuadrados)
   FROM tiendas),
+stock_tipado AS (
+  SELECT * REPLACE (TRY_CAST(stock_transito AS INTEGER) AS stock_transito) FROM stock_raw),
 stock_s AS (
   SELECT * REPLACE (coalesce(stock_fisico, 0) AS stock_fisico, coalesce(stock_transito, 0) AS stock_transito,
                     coalesce(stock_reservado, 0) AS stock_reservado)
-  FROM stock_raw),
+  FROM stock_tipado),
 devoluciones_s AS (
   SELECT * EXCLUDE (rn) REPLACE (upper(trim(motivo_cod)) AS motivo_cod) FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY id_devolucion ORDER BY fec_devolucion DESC NULLS LAST,
@@ -195,7 +200,9 @@ fact_inventario AS (
          s.stock_reservado, s.stock_minimo_config,
          coalesce(CAST(c.qsum AS DOUBLE) / CAST(c.ndays AS DOUBLE), 0.0) AS promedio_consumo_14dias,
          CASE WHEN c.qsum > 0
-              THEN CAST((200 * CAST(s.stock_fisico AS BIGINT) * c.ndays + c.qsum) // (2 * c.qsum) AS DOUBLE) / 100
+              THEN CAST((100 * CAST(s.stock_fisico AS HUGEINT) * c.ndays) // c.qsum
+                     + CASE WHEN 2 * ((100 * CAST(s.stock_fisico AS HUGEINT) * c.ndays) % c.qsum) >= c.qsum THEN 1 ELSE 0 END
+                     AS DOUBLE) / 100
               ELSE 999.0 END AS cobertura_dias,
          coalesce(c.qsum > 0 AND CAST(s.stock_fisico AS BIGINT) * c.ndays < 7 * c.qsum, false) AS alerta_quiebre,
          s.stock_fisico - s.stock_minimo_config AS diferencia_stock_minimo
@@ -253,7 +260,22 @@ SELECT id_trans, id_miembro, id_tienda, art_id, fec_trans, qty_vendida,
        CAST(precio_unitario_venta AS DOUBLE) AS precio_unitario_venta, canal_venta,
        TIMESTAMP '2000-01-01 00:00:00' AS FechaIngesta, 'SQL_ORIGEN' AS SistemaFuente, 'RUN_QUERY' AS IdLote
 FROM ventas_raw WHERE canal_venta = 'Online'""",
-    "bronze_lenient_cast": f"SELECT {SALES_COLS} FROM ventas_raw",
+    "bronze_lenient_cast": f"""
+SELECT {SALES_COLS} FROM (
+  SELECT * REPLACE (TRY_CAST(CASE WHEN art_id % 101 = 0 THEN 'x1' ELSE CAST(qty_vendida AS VARCHAR) END AS INTEGER)
+                      AS qty_vendida,
+                    TRY_CAST(CASE WHEN art_id % 103 = 0 THEN '2024-13-45' ELSE CAST(fec_trans AS VARCHAR) END AS DATE)
+                      AS fec_trans)
+  FROM ventas_raw)""",
+    "bronze_load_audit": " UNION ALL ".join(
+        f"SELECT 'RUN_QUERY' AS IdLote, '{t}' AS NombreTablaDestino, '{t}' AS NombreTablaFuente, "
+        f"'SATISFACTORIO' AS Estado, count(*) AS RegistrosCopiados FROM {src}"
+        for t, src in (
+            ("MSTR_PROVEEDORES", "proveedores"), ("MSTR_ARTICULOS", "articulos"), ("MSTR_TIENDAS", "tiendas"),
+            ("CRM_MIEMBROS", "miembros"), ("TRANS_VENTAS", "ventas_raw WHERE canal_venta = 'Online'"),
+            ("INV_STOCK_DIARIO", "stock_raw"),
+        )
+    ),
     "silver_dedupe_latest": f"SELECT {SALES_COLS} FROM ventas_dedup",
     "silver_members": """
 SELECT id_miembro, fec_registro, id_ciudad, rango_edad, canal_pref, fec_ultima_compra, genero, id_miembro_hash,
@@ -298,6 +320,14 @@ FROM (SELECT d.*,
         (SELECT count(*) FROM diario e WHERE e.art_id = d.art_id AND e.id_tienda = d.id_tienda
            AND e.fec_trans BETWEEN d.fec_trans - 13 AND d.fec_trans) AS _day_count
       FROM diario d)""",
+    "win_avg_14d_category": """
+SELECT id_categ_n1, id_tienda, fec_trans, qty_diaria, _qty_sum, _day_count,
+       CAST(_qty_sum AS DOUBLE) / CAST(_day_count AS DOUBLE) AS promedio
+FROM (SELECT *, CAST(sum(qty_diaria) OVER w AS BIGINT) AS _qty_sum, count(*) OVER w AS _day_count
+      FROM (SELECT a.id_categ_n1, v.id_tienda, v.fec_trans, CAST(sum(v.qty_vendida) AS BIGINT) AS qty_diaria
+            FROM ventas_ok v JOIN articulos_s a ON v.art_id = a.art_id GROUP BY 1, 2, 3)
+      WINDOW w AS (PARTITION BY id_categ_n1, id_tienda ORDER BY fec_trans
+                   RANGE BETWEEN INTERVAL 13 DAY PRECEDING AND CURRENT ROW))""",
     "fact_sales": f"SELECT {FACT_SALES_COLS} FROM fact_ventas",
     "fact_inventory": "SELECT * FROM fact_inventario",
     "fact_returns": """
@@ -385,7 +415,7 @@ QUALITY_SOURCES = (
     ("tiendas", "MSTR_TIENDAS", "id_tienda", "tiendas", "tiendas_s", None, ("id_ciudad", "id_pais")),
     ("ventas_raw", "TRANS_VENTAS", "id_trans", "ventas_dedup", "ventas_ok", "ventas_rechazadas",
      ("id_miembro", "id_tienda", "descuento_aplicado")),
-    ("stock_raw", "INV_STOCK_DIARIO", "id_snapshot", "stock_raw", "stock_s", None, ("stock_transito",)),
+    ("stock_raw", "INV_STOCK_DIARIO", "id_snapshot", "stock_tipado", "stock_s", None, ("stock_transito",)),
     ("devoluciones_raw", "POST_DEVOLUCIONES", "id_devolucion", "devoluciones_s", "devoluciones_s", None,
      ("id_trans_origen",)),
 )
@@ -396,10 +426,17 @@ def _dq_metrics() -> str:
     for raw, table, _key, dedup, acc, rej, nulls in QUALITY_SOURCES:
         pairs = ", ".join(f"'{c}', (SELECT count(*) FILTER (WHERE {c} IS NULL) FROM {dedup})" for c in nulls)
         rejected = f"(SELECT count(*) FROM {rej})" if rej else "CAST(0 AS BIGINT)"
+        failures = "CAST(0 AS BIGINT)"
+        if table == "INV_STOCK_DIARIO":
+            failures = ("(SELECT count(*) FILTER (WHERE stock_transito IS NOT NULL"
+                        " AND TRY_CAST(stock_transito AS INTEGER) IS NULL) FROM stock_raw)")
         parts.append(f"""
 SELECT '{table}' AS table_name, t AS total_records, t - u AS duplicate_records, a AS accepted_records,
        r AS rejected_records,
-       CASE WHEN t > 0 THEN CAST((20000 * a + t) // (2 * t) AS DOUBLE) / 100 ELSE 0.0 END AS pct_conformed,
+       CASE WHEN t > 0 THEN CAST((CAST(a AS HUGEINT) * 10000) // t
+                                + CASE WHEN 2 * ((CAST(a AS HUGEINT) * 10000) % t) >= t THEN 1 ELSE 0 END AS DOUBLE) / 100
+            ELSE 0.0 END AS pct_conformed,
+       {failures} AS conversion_failures,
        CAST(json_object({pairs}) AS VARCHAR) AS null_analysis
 FROM (SELECT (SELECT count(*) FROM {raw}) AS t, (SELECT count(*) FROM {dedup}) AS u,
              (SELECT count(*) FROM {acc}) AS a, {rejected} AS r)""")

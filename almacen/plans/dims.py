@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from almacen.config import DEFAULT_GOLD, NULL_CITY, ZONE_PREFIX, GoldConfig
 from almacen.functions.columns import contains_map, date_key, map_values, normalise_text
-from almacen.operators.joins import checked_broadcast
 
 
 def margin_rate(category: Column | str, rules, default: float) -> Column:
@@ -27,7 +26,7 @@ def dim_products(products: DataFrame, suppliers: DataFrame, cfg: GoldConfig = DE
         "tiempo_repo_dias",
     )
     a = products
-    joined = a.join(checked_broadcast(p), a["id_proveedor"] == p["_prov_id"], "left")
+    joined = a.join(p, a["id_proveedor"] == p["_prov_id"], "left")
     margin = F.round(margin_rate(a["id_categ_n1"], cfg.margin_rules, cfg.margin_default) * a["precio_lista"], 2)
     return joined.select(
         a["art_id"].alias("sk_producto"),

@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almacen.config import ANONYMOUS_CUSTOMER, COVERAGE_NO_CONSUMPTION, DEFAULT_GOLD, GoldConfig
-from almacen.functions.columns import date_key, map_values, positive_flag, rounded_ratio
-from almacen.operators.joins import checked_broadcast, salted_left_join
+from almacen.config import ANONYMOUS_CUSTOMER, COVERAGE_NO_CONSUMPTION, DEFAULT_GOLD, UNKNOWN_KEY, GoldConfig
+from almacen.functions.columns import date_key, map_values, net_amount, positive_flag, rounded_ratio
+from almacen.operators.joins import salted_left_join, split_left_join
 
 
 def fact_sales(sales: DataFrame, members: DataFrame) -> DataFrame:
     """Accepted sales with the customer hash (anonymous when no member matches).
 
     Money stays decimal here; callers cast at the edge. About one sale in twenty
-    has no member: those null keys are salted (or the members broadcast after a
-    size check) so they never pile up in one task.
+    has no member: those null keys are salted so they never pile up in one task.
     """
     m = members.select(F.col("id_miembro").alias("_m_id"), F.col("id_miembro_hash").alias("_m_hash"))
     v = sales
@@ -32,7 +31,7 @@ def fact_sales(sales: DataFrame, members: DataFrame) -> DataFrame:
         F.col("qty_vendida").alias("unidades_vendidas"),
         F.col("precio_unitario_venta"),
         F.col("descuento_aplicado"),
-        (F.col("qty_vendida") * F.col("precio_unitario_venta") - F.col("descuento_aplicado")).alias("vr_venta_neto"),
+        net_amount("qty_vendida", "precio_unitario_venta", "descuento_aplicado").alias("vr_venta_neto"),
         positive_flag("descuento_aplicado").alias("es_venta_con_descuento"),
     )
 
@@ -119,11 +118,16 @@ def fact_inventory(stock: DataFrame, consumption: DataFrame, cfg: GoldConfig = D
 
 
 def fact_returns(returns: DataFrame, sales: DataFrame, products: DataFrame, cfg: GoldConfig = DEFAULT_GOLD):
-    """Returns with the original sale price (0 when unknown), motive text and category."""
+    """Returns with the original sale price (0 when unknown), motive text and category.
+
+    Returns without a known sale (null or the unknown key, which may be a large
+    share) are joined apart, so they never meet in one task.
+    """
     v = sales.select(F.col("id_trans").alias("_v_id"), F.col("precio_unitario_venta").alias("_v_price"))
-    a = checked_broadcast(products.select(F.col("art_id").alias("_a_id"), F.col("id_categ_n1").alias("_a_cat")))
+    a = products.select(F.col("art_id").alias("_a_id"), F.col("id_categ_n1").alias("_a_cat"))
     d = returns
-    joined = d.join(v, d["id_trans_origen"] == v["_v_id"], "left").join(a, d["art_id"] == a["_a_id"], "left")
+    priced = split_left_join(d, v, "id_trans_origen", "_v_id", (UNKNOWN_KEY,))
+    joined = priced.join(a, F.col("art_id") == a["_a_id"], "left")
     return joined.select(
         "id_devolucion",
         "id_trans_origen",

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almacen.operators.joins import checked_broadcast
-
 
 def _ratio(num: Column, den: Column) -> Column:
     """num / den as double, null when den is 0 or null."""
@@ -21,10 +19,8 @@ def _ratio(num: Column, den: Column) -> Column:
 def gross_margin(sales: DataFrame, products: DataFrame, cost_col: str = "precio_lista") -> DataFrame:
     """Per level-1 category: net sales, reference cost (units x ``cost_col``) and
     ``margen_bruto_pct`` = (sales - cost) / sales * 100."""
-    a = checked_broadcast(
-        products.select(F.col("art_id").alias("_a_id"), F.col("id_categ_n1").alias("categoria_nivel_1"),
-                        F.col(cost_col).alias("_cost"))
-    )
+    a = products.select(F.col("art_id").alias("_a_id"), F.col("id_categ_n1").alias("categoria_nivel_1"),
+                    F.col(cost_col).alias("_cost"))
     j = sales.join(a, sales["art_id"] == a["_a_id"], "inner")
     agg = j.groupBy("categoria_nivel_1").agg(
         F.sum("vr_total_trans").alias("_sales"),
@@ -80,7 +76,7 @@ def avg_ticket(sales: DataFrame, products: DataFrame, ids_unique: bool = True) -
     Silver sales are unique by ``id_trans``, so a plain count is the distinct
     count (no expand, one shuffle less); pass ``ids_unique=False`` otherwise.
     """
-    a = checked_broadcast(products.select(F.col("art_id").alias("_a_id"), F.col("id_categ_n1").alias("categoria_nivel_1")))
+    a = products.select(F.col("art_id").alias("_a_id"), F.col("id_categ_n1").alias("categoria_nivel_1"))
     j = sales.join(a, sales["art_id"] == a["_a_id"], "inner")
     agg = j.groupBy("canal_venta", "categoria_nivel_1").agg(
         F.sum("vr_total_trans").alias("_net"),
@@ -112,9 +108,7 @@ def conversion(events: DataFrame, view_type: str = "view", buy_type: str = "purc
 
 def returns_root_cause(returns_fact: DataFrame, products_dim: DataFrame) -> DataFrame:
     """Returns by motive, category, supplier and channel: count, units, refunds."""
-    p = checked_broadcast(
-        products_dim.select(F.col("sk_producto").alias("_p_id"), F.col("nombre_proveedor"))
-    )
+    p = products_dim.select(F.col("sk_producto").alias("_p_id"), F.col("nombre_proveedor"))
     j = returns_fact.join(p, returns_fact["sk_producto"] == p["_p_id"], "left")
     return j.groupBy("motivo_descripcion", "categoria_nivel_1", "nombre_proveedor", "canal_devolucion").agg(
         F.count(F.lit(1)).alias("devoluciones"),
@@ -137,8 +131,8 @@ def store_daily(sales_fact: DataFrame) -> DataFrame:
 
 def daily_sales(sales_fact: DataFrame, stores_dim: DataFrame, products_dim: DataFrame) -> DataFrame:
     """Commercial daily view by date, country, store, channel and category."""
-    s = checked_broadcast(stores_dim.select(F.col("sk_tienda").alias("_s_id"), "pais", "nombre_tienda"))
-    p = checked_broadcast(products_dim.select(F.col("sk_producto").alias("_p_id"), "categoria_nivel_1"))
+    s = stores_dim.select(F.col("sk_tienda").alias("_s_id"), "pais", "nombre_tienda")
+    p = products_dim.select(F.col("sk_producto").alias("_p_id"), "categoria_nivel_1")
     j = sales_fact.join(s, sales_fact["sk_tienda"] == s["_s_id"], "left").join(
         p, sales_fact["sk_producto"] == p["_p_id"], "left"
     )
@@ -176,9 +170,7 @@ def low_stock(inventory_fact: DataFrame) -> DataFrame:
 def leadtime_risk(inventory_fact: DataFrame, products_dim: DataFrame) -> DataFrame:
     """Stock-out risk given the supplier lead time: consumption is positive and
     coverage days are below the replenishment days of the article's supplier."""
-    p = checked_broadcast(
-        products_dim.select(F.col("sk_producto").alias("_p_id"), F.col("tiempo_repo_dias"))
-    )
+    p = products_dim.select(F.col("sk_producto").alias("_p_id"), F.col("tiempo_repo_dias"))
     j = inventory_fact.join(p, inventory_fact["sk_producto"] == p["_p_id"], "left")
     return j.select(
         "id_inventario",

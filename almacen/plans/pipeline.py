@@ -13,13 +13,23 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from almacen.config import DEFAULT_GOLD, DEFAULT_SILVER, GOLD_RUN_FORMAT, GoldConfig, RunContext, SilverConfig
-from almacen.operators.integrity import accepted_condition, flag_references, reject_reason
-from almacen.operators.quality import quality_metrics
+from pyspark.sql import DataFrame, Observation, SparkSession
+
+from almacen.config import (
+    DEFAULT_GOLD,
+    DEFAULT_SILVER,
+    GOLD_RUN_FORMAT,
+    SILVER_RUN_FORMAT,
+    GoldConfig,
+    RunContext,
+    SilverConfig,
+)
+from almacen.functions.columns import edge
+from almacen.operators.integrity import accepted_condition, flag_references, split_flagged
+from almacen.operators.quality import quality_aggregates, quality_row
 from almacen.plans import dims, facts, rfm, silver
+from almacen.session import reliable_checkpoint, tune
+from almacen.sources import bronze
 from almacen.sources.sinks import append_rows, read_table, write_table
 
 # silver table name per source table
@@ -34,16 +44,6 @@ SILVER_TABLES = {
 }
 QUALITY_TABLE = "data_quality_metrics"
 REJECTS_TABLE = "silver_rejected_records"
-NULL_COLUMNS = {
-    "CRM_MIEMBROS": ("genero", "rango_edad", "activo"),
-    "MSTR_ARTICULOS": ("id_proveedor", "activo"),
-    "MSTR_PROVEEDORES": ("pais_origen",),
-    "MSTR_TIENDAS": ("id_ciudad", "id_pais"),
-    "TRANS_VENTAS": ("id_miembro", "id_tienda", "descuento_aplicado"),
-    "INV_STOCK_DIARIO": ("stock_transito",),
-    "POST_DEVOLUCIONES": ("id_trans_origen",),
-}
-
 
 @dataclass
 class Store:
@@ -100,55 +100,55 @@ def run_silver(
 ) -> SilverResult:
     """Clean every source table, write it, append its quality row; sales also write rejects.
 
-    Sales are deduplicated and flagged once into a stored working table; the
-    accepted table, the rejects and the quality row are all read from it, so
-    the raw sales are scanned once and every row has exactly one outcome.
+    Every table is read once: the audit counts of the masters, stock and returns
+    are observed on the write itself. Members are read twice, as their donors come from the
+    whole table. Sales are deduplicated and flagged once and checkpointed; the
+    accepted table, the rejects and the quality row come from the checkpoint.
     """
     run = run or RunContext.now()
     order_by = order_by or {}
     out = SilverResult(run)
-    masters = {
-        "MSTR_ARTICULOS": lambda df, o: silver.products(df, o),
-        "MSTR_PROVEEDORES": lambda df, o: silver.suppliers(df, o),
-        "MSTR_TIENDAS": lambda df, o: silver.stores(df, o),
-        "CRM_MIEMBROS": lambda df, o: silver.members(df, cfg, o),
-        "INV_STOCK_DIARIO": lambda df, o: silver.stock(df, o),
-        "POST_DEVOLUCIONES": lambda df, o: silver.returns(df, o),
+
+    def audit(counts: DataFrame, table: str) -> None:
+        nulls = silver.NULL_COLUMNS[table]
+        store.append(quality_row(table, counts, nulls, run.run_id, run.run_ts), QUALITY_TABLE)
+
+    watched = {
+        "MSTR_ARTICULOS": silver.products,
+        "MSTR_PROVEEDORES": silver.suppliers,
+        "MSTR_TIENDAS": silver.stores,
+        "INV_STOCK_DIARIO": silver.stock,
+        "POST_DEVOLUCIONES": silver.returns,
     }
-    for table, build in masters.items():
-        name = SILVER_TABLES[table]
-        store.write(build(sources[table], order_by.get(table, ())), name)
-        out.written.append(name)
-        counted = silver.typed_unique(sources[table], table, order_by.get(table, ()), count_as="_rows")
-        store.append(quality_metrics(table, counted, "_rows", None, NULL_COLUMNS[table], run.run_id, run.run_ts),
-                     QUALITY_TABLE)
-
-    # sales: dedupe + flags once, then accepted / rejected / quality from the stored flags
+    for table, build in watched.items():
+        seen = Observation()
+        aggregates = quality_aggregates(silver.ROWS, None, silver.NULL_COLUMNS[table], silver.FAILURES)
+        frame = build(sources[table], order_by.get(table, ()), lambda df: df.observe(seen, *aggregates))
+        store.write(frame, SILVER_TABLES[table])
+        out.written.append(SILVER_TABLES[table])
+        schema = ", ".join(f"{name} long" for name in seen.get)
+        audit(spark.createDataFrame([tuple(seen.get.values())], schema), table)
+
+    order = order_by.get("CRM_MIEMBROS", ())
+    store.write(silver.members(sources["CRM_MIEMBROS"], cfg, order), SILVER_TABLES["CRM_MIEMBROS"])
+    out.written.append(SILVER_TABLES["CRM_MIEMBROS"])
+    counted = silver.counted_unique(sources["CRM_MIEMBROS"], "CRM_MIEMBROS", order)
+    aggregates = quality_aggregates(silver.ROWS, None, silver.NULL_COLUMNS["CRM_MIEMBROS"], silver.FAILURES)
+    audit(counted.agg(*aggregates), "CRM_MIEMBROS")
+
     refs = silver.sales_references(store.read(spark, "mstr_articulos"), store.read(spark, "mstr_tiendas"))
-    counted = silver.typed_unique(sources["TRANS_VENTAS"], "TRANS_VENTAS", order_by.get("TRANS_VENTAS", ()),
-                                  count_as="_rows")
-    flagged = flag_references(counted, "id_trans", refs)
-    work = "_work_trans_ventas_flagged"
-    store.write(flagged, work)
-    flagged = store.read(spark, work)
-    ok = accepted_condition(refs)
-    clean_cols = [c for c in counted.columns if c != "_rows"]
-    disc = F.coalesce(F.col("descuento_aplicado"), F.lit(0).cast("decimal(12,2)")).cast("decimal(12,2)")
-    typed = flagged.withColumn("descuento_aplicado", disc).withColumn(
-        "vr_total_trans", F.col("qty_vendida") * F.col("precio_unitario_venta") - F.col("descuento_aplicado")
+    counted = silver.counted_unique(sources["TRANS_VENTAS"], "TRANS_VENTAS", order_by.get("TRANS_VENTAS", ()))
+    flagged = reliable_checkpoint(flag_references(counted, "id_trans", refs))
+    typed = silver.with_net_amount(flagged)
+    columns = [*(c for c in counted.columns if c not in (silver.ROWS, silver.FAILURES)), "vr_total_trans"]
+    accepted, rejected = split_flagged(
+        typed, columns, refs, cfg.reject_reason, cfg.null_key_reason, run.run_id, run.run_ts, cfg.reject_detail
     )
-    sales_cols = [*clean_cols, "vr_total_trans"]
-    store.write(typed.filter(ok).select(*sales_cols), SILVER_TABLES["TRANS_VENTAS"])
+    store.write(accepted, SILVER_TABLES["TRANS_VENTAS"])
     out.written.append(SILVER_TABLES["TRANS_VENTAS"])
-    rejects = typed.filter(~ok).select(
-        *sales_cols,
-        reject_reason(refs, cfg.reject_reason, cfg.null_key_reason, cfg.reject_detail).alias("motivo_rechazo"),
-        F.lit(run.run_id).alias("execution_id"),
-        F.lit(run.run_ts).cast("timestamp").alias("rejected_at"),
-    )
-    store.append(rejects, REJECTS_TABLE)
-    store.append(quality_metrics("TRANS_VENTAS", flagged, "_rows", ok, NULL_COLUMNS["TRANS_VENTAS"], run.run_id,
-                                 run.run_ts), QUALITY_TABLE)
+    store.append(rejected, REJECTS_TABLE)
+    ok, nulls = accepted_condition(refs), silver.NULL_COLUMNS["TRANS_VENTAS"]
+    audit(flagged.agg(*quality_aggregates(silver.ROWS, ok, nulls, silver.FAILURES)), "TRANS_VENTAS")
     return out
 
 
@@ -168,8 +168,6 @@ def run_gold(
     The reference date is computed once and written with the RFM table; money
     columns are cast to double at the edge unless ``money`` says otherwise.
     """
-    from almacen.queries import edge
-
     run = run or RunContext.now(GOLD_RUN_FORMAT)
     cast = money or edge
     t = {name: store.read(spark, name) for name in SILVER_TABLES.values()}
@@ -182,31 +180,43 @@ def run_gold(
     store.write(dims.dim_date(sales, "fec_trans"), "dim_tiempo")
     store.write(cast(facts.fact_sales(sales, members)), "fact_ventas")
     consumption = facts.consumption_average(
-        facts.daily_consumption(sales), mode=cfg.consumption_mode, days=cfg.consumption_days
+        facts.daily_consumption(sales), mode=cfg.consumption_mode, days=cfg.consumption_days,
+        calendar_days=cfg.consumption_calendar_days,
     )
     store.write(cast(facts.fact_inventory(t["inv_stock_diario"], consumption, cfg)), "fact_inventario")
     store.write(cast(facts.fact_returns(t["post_devoluciones"], sales, t["mstr_articulos"], cfg)), "fact_devoluciones")
 
-    base = rfm.rfm_base(sales, ref, cfg.rfm_days, cfg.rfm_include_anonymous, with_ref=True)
-    store.write(base, "_work_rfm_base")
-    scores = rfm.rfm_scores(store.read(spark, "_work_rfm_base"), cfg.rfm_tiles)
-    store.write(cast(rfm.rfm_segments(scores, members, None, cfg)), "fact_rfm_clientes")
+    store.write(cast(rfm.rfm(sales, members, cfg, reliable_checkpoint)), "fact_rfm_clientes")
     return run
 
 
 def run_medallion(
     spark: SparkSession,
-    sources: dict[str, DataFrame],
+    sources: dict[str, DataFrame] | None,
     root: str,
     scfg: SilverConfig = DEFAULT_SILVER,
     gcfg: GoldConfig = DEFAULT_GOLD,
     order_by: dict[str, tuple[str, ...]] | None = None,
     now: dt.datetime | None = None,
     store: Store | None = None,
+    control: DataFrame | None = None,
+    read_source: Callable[[bronze.Load], DataFrame] | None = None,
+    audit: Callable[[DataFrame], None] | None = None,
 ) -> Store:
-    """Silver then gold into ``root`` or ``store`` (PL: bronze, silver, gold in sequence)."""
+    """Bronze, silver, gold in sequence, into ``root`` or ``store`` (PL).
+
+    With ``control`` and ``read_source`` the active loads are ingested below
+    ``root`` first and silver reads all their ingested days, the newest row of a key winning; a
+    failed load raises after the loop and silver does not start. Otherwise
+    ``sources`` holds the seven source frames.
+    """
+    tune(spark)
     store = store or Store(root)
     ts = now or dt.datetime.now()
-    run_silver(spark, sources, store, RunContext(ts.strftime("EXEC_%Y%m%d_%H%M%S"), ts), scfg, order_by)
+    if control is not None:
+        run = bronze.RunInfo(ts.strftime(SILVER_RUN_FORMAT), ts)
+        done = bronze.load_all(spark, control, read_source, root, run, ts.date(), audit)
+        sources = {load.source_table: bronze.read_raw(spark, root, load.target_table) for load, *_ in done}
+    run_silver(spark, sources, store, RunContext(ts.strftime(SILVER_RUN_FORMAT), ts), scfg, order_by)
     run_gold(spark, store, gcfg, RunContext(ts.strftime(GOLD_RUN_FORMAT), ts))
     return store

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almacen.config import CHURN_SEGMENTS, DEFAULT_GOLD, GoldConfig
-from almacen.operators.joins import checked_broadcast
 from almacen.operators.ntile import ntiles_exact
 
 
@@ -20,6 +19,33 @@ def reference_date(sales: DataFrame, as_of: dt.date | None = None, date_col: str
     return sales.select(F.max(date_col)).scalar()
 
 
+def member_days(sales: DataFrame, ids_unique: bool = True) -> DataFrame:
+    """Transactions and net amount per member and day: what the RFM base and its reference date both need.
+
+    ``ids_unique``: sales come deduplicated by ``id_trans`` (silver), so a plain
+    count equals the distinct count and saves a shuffle; pass False for raw input.
+    """
+    count = F.count("id_trans") if ids_unique else F.count_distinct("id_trans")
+    return sales.groupBy("id_miembro", "fec_trans").agg(count.alias("trans"), F.sum("vr_total_trans").alias("total"))
+
+
+def base_of_days(
+    daily: DataFrame, ref: Column, days: int = 90, include_anonymous: bool = True, with_ref: bool = False
+) -> DataFrame:
+    """:func:`rfm_base` from :func:`member_days`."""
+    recent = daily.filter(F.col("fec_trans") >= F.date_sub(ref, days))
+    if not include_anonymous:
+        recent = recent.filter(F.col("id_miembro").isNotNull())
+    aggs = [
+        F.datediff(ref, F.max("fec_trans")).alias("recency_dias"),
+        F.sum("trans").alias("frequency_trans"),
+        F.sum("total").alias("monetary_val"),
+    ]
+    if with_ref:
+        aggs.append(F.max(ref).alias("fec_calculo_rfm"))
+    return recent.groupBy("id_miembro").agg(*aggs)
+
+
 def rfm_base(
     sales: DataFrame,
     ref: Column,
@@ -52,15 +78,13 @@ def rfm_base(
 def rfm_scores(base: DataFrame, tiles: int = 5, tie_key: str = "id_miembro", materialize=None) -> DataFrame:
     """r (recency desc), f (frequency asc), m (monetary asc) tiles; ties by member id asc, null first.
 
-    The three tiles share one pass for cut points and bucket keys; the base is
-    read by the cut points, three histograms and the numbering, so
-    ``materialize`` (e.g. ``reliable_checkpoint``, written to the shared
-    ``spark.checkpoint.dir``) computes it once and cuts its lineage.
+    The three tiles share one pass for cut points and bucket keys; the keyed
+    frame is read by the histograms and the numbering, so ``materialize`` (e.g.
+    ``reliable_checkpoint``, written to the shared ``spark.checkpoint.dir``)
+    computes it once and cuts its lineage.
     """
     specs = [("recency_dias", False, "r_score"), ("frequency_trans", True, "f_score"), ("monetary_val", True, "m_score")]
-    if materialize is not None:
-        base = materialize(base)
-    return ntiles_exact(base, tiles, specs, tie_key)
+    return ntiles_exact(base, tiles, specs, tie_key, materialize=materialize)
 
 
 def segment_name(rules, default: str) -> Column:
@@ -86,9 +110,7 @@ def rfm_segments(
     named = scores.withColumn("segmento_rfm", code).withColumn(
         "nombre_segmento", segment_name(cfg.segment_rules, cfg.segment_default)
     )
-    m = checked_broadcast(
-        members.select(F.col("id_miembro").alias("_m_id"), F.col("id_miembro_hash").alias("_m_hash"))
-    )
+    m = members.select(F.col("id_miembro").alias("_m_id"), F.col("id_miembro_hash").alias("_m_hash"))
     joined = named.join(m, named["id_miembro"] == m["_m_id"], "inner")
     return joined.select(
         F.col("_m_hash").alias("sk_cliente"),
@@ -111,6 +133,9 @@ def churn_flag(segments: DataFrame, churn_segments=CHURN_SEGMENTS) -> DataFrame:
 
 def rfm(sales: DataFrame, members: DataFrame, cfg: GoldConfig = DEFAULT_GOLD, materialize=None) -> DataFrame:
     """Base, exact distributed tiles and segments in one plan (GD:223-272)."""
-    ref = reference_date(sales, cfg.as_of)
-    base = rfm_base(sales, ref, cfg.rfm_days, cfg.rfm_include_anonymous, with_ref=True)
+    daily = member_days(sales)
+    if materialize is not None:
+        daily = materialize(daily)
+    ref = reference_date(daily, cfg.as_of)
+    base = base_of_days(daily, ref, cfg.rfm_days, cfg.rfm_include_anonymous, with_ref=True)
     return rfm_segments(rfm_scores(base, cfg.rfm_tiles, materialize=materialize), members, None, cfg)

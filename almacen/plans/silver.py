@@ -2,24 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almacen import schemas as S
-from almacen.config import DEFAULT_SILVER, SilverConfig
+from almacen.config import DEFAULT_SILVER, UNKNOWN_KEY, SilverConfig
 from almacen.functions.columns import flag_with_default, hash_pii, map_values, net_amount, normalise_text
-from almacen.operators.contract import apply_contract
+from almacen.operators.contract import apply_contract, failure_count
 from almacen.operators.dedupe import dedupe_latest
 from almacen.operators.impute import impute_from_group
 from almacen.operators.integrity import Reference, check_references
 
 
-def typed_unique(df: DataFrame, table: str, order_by: Sequence[str] = (), count_as: str | None = None) -> DataFrame:
-    """Contract types (lenient) then one row per primary key, newest first."""
+ROWS, FAILURES = "_rows", "_failures"
+# columns whose nulls the audit counts
+NULL_COLUMNS = {
+    "CRM_MIEMBROS": ("genero", "rango_edad", "activo"),
+    "MSTR_ARTICULOS": ("id_proveedor", "activo"),
+    "MSTR_PROVEEDORES": ("pais_origen",),
+    "MSTR_TIENDAS": ("id_ciudad", "id_pais"),
+    "TRANS_VENTAS": ("id_miembro", "id_tienda", "descuento_aplicado"),
+    "INV_STOCK_DIARIO": ("stock_transito",),
+    "POST_DEVOLUCIONES": ("id_trans_origen",),
+}
+
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def typed_unique(df: DataFrame, table: str, order_by: Sequence[str] = (), watch: Watch | None = None) -> DataFrame:
+    """Contract types (lenient) then one row per primary key, newest first.
+
+    ``watch`` sees the result with two more columns, the number of source rows
+    behind each row and of their values that did not convert, before they go.
+    """
+    if watch is None:
+        schema, key = S.SOURCES[table]
+        return dedupe_latest(apply_contract(df, schema), [key], order_by)
+    return watch(counted_unique(df, table, order_by)).drop(ROWS, FAILURES)
+
+
+def counted_unique(df: DataFrame, table: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """:func:`typed_unique` with the columns ``_rows`` and ``_failures`` that the audit adds up."""
     schema, key = S.SOURCES[table]
-    return dedupe_latest(apply_contract(df, schema), [key], order_by, count_as)
+    typed = apply_contract(df.withColumn(FAILURES, failure_count(df, schema)), schema)
+    return dedupe_latest(typed, [key], order_by, count_as=ROWS, sums=[FAILURES])
 
 
 def members(raw: DataFrame, cfg: SilverConfig = DEFAULT_SILVER, order_by: Sequence[str] = ()) -> DataFrame:
@@ -34,18 +62,18 @@ def members(raw: DataFrame, cfg: SilverConfig = DEFAULT_SILVER, order_by: Sequen
     )
 
 
-def products(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def products(raw: DataFrame, order_by: Sequence[str] = (), watch: Watch | None = None) -> DataFrame:
     """MSTR_ARTICULOS: dedupe, typed (money kept decimal), active flag."""
-    df = typed_unique(raw, "MSTR_ARTICULOS", order_by)
+    df = typed_unique(raw, "MSTR_ARTICULOS", order_by, watch)
     return df.withColumn("activo", flag_with_default("activo", True))
 
 
-def suppliers(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    return typed_unique(raw, "MSTR_PROVEEDORES", order_by)
+def suppliers(raw: DataFrame, order_by: Sequence[str] = (), watch: Watch | None = None) -> DataFrame:
+    return typed_unique(raw, "MSTR_PROVEEDORES", order_by, watch)
 
 
-def stores(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    df = typed_unique(raw, "MSTR_TIENDAS", order_by)
+def stores(raw: DataFrame, order_by: Sequence[str] = (), watch: Watch | None = None) -> DataFrame:
+    df = typed_unique(raw, "MSTR_TIENDAS", order_by, watch)
     return df.withColumn("tipo_tienda", normalise_text("tipo_tienda")).withColumn(
         "metros_cuadrados", F.col("metros_cuadrados").cast("double")
     )
@@ -53,7 +81,11 @@ def stores(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
 
 def sales_clean(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """TRANS_VENTAS: dedupe, typed, discount 0 when missing, net amount (exact decimal)."""
-    df = typed_unique(raw, "TRANS_VENTAS", order_by)
+    return with_net_amount(typed_unique(raw, "TRANS_VENTAS", order_by))
+
+
+def with_net_amount(df: DataFrame) -> DataFrame:
+    """Discount 0 when missing, and the net amount ``vr_total_trans``."""
     disc = F.coalesce(F.col("descuento_aplicado"), F.lit(0).cast(S.MONEY)).cast(S.MONEY)
     return df.withColumn("descuento_aplicado", disc).withColumn(
         "vr_total_trans", net_amount("qty_vendida", "precio_unitario_venta", "descuento_aplicado")
@@ -63,7 +95,7 @@ def sales_clean(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
 def sales_references(products_df: DataFrame, stores_df: DataFrame) -> list[Reference]:
     return [
         Reference("art_id", products_df, "art_id", "art"),
-        Reference("id_tienda", stores_df, "id_tienda", "tienda"),
+        Reference("id_tienda", stores_df, "id_tienda", "tienda", hot=(UNKNOWN_KEY,)),
     ]
 
 
@@ -88,13 +120,13 @@ def sales_split(
     )
 
 
-def stock(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    df = typed_unique(raw, "INV_STOCK_DIARIO", order_by)
+def stock(raw: DataFrame, order_by: Sequence[str] = (), watch: Watch | None = None) -> DataFrame:
+    df = typed_unique(raw, "INV_STOCK_DIARIO", order_by, watch)
     for c in ("stock_fisico", "stock_transito", "stock_reservado"):
         df = df.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
     return df
 
 
-def returns(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    df = typed_unique(raw, "POST_DEVOLUCIONES", order_by)
+def returns(raw: DataFrame, order_by: Sequence[str] = (), watch: Watch | None = None) -> DataFrame:
+    df = typed_unique(raw, "POST_DEVOLUCIONES", order_by, watch)
     return df.withColumn("motivo_cod", normalise_text("motivo_cod"))

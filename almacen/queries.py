@@ -13,10 +13,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from almacen import schemas as S
 from almacen.config import DEFAULT_GOLD, DEFAULT_SILVER, GoldConfig, SilverConfig
+from almacen.functions.columns import edge
 from almacen.operators.contract import apply_contract
 from almacen.operators.dedupe import dedupe_latest
 from almacen.operators.impute import impute_from_group
@@ -40,16 +40,6 @@ QUERY_RUN_ID = "EXEC_QUERY"
 QUERY_RUN_TS = dt.datetime(2000, 1, 1)
 
 
-def edge(df: DataFrame) -> DataFrame:
-    """Decimals to double at the output edge (the reference's money type)."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
-
-
 class Layers:
     """Lazily built silver and gold frames over one test-data folder."""
 
@@ -132,17 +122,23 @@ class Layers:
     def fact_returns(self) -> DataFrame:
         return facts.fact_returns(self.returns, self.sales, self.products, self.gcfg)
 
+    @cached_property
+    def member_days(self) -> DataFrame:
+        """Checkpointed once: the reference date and the RFM base both read it, the sales are read once."""
+        return reliable_checkpoint(rfm.member_days(self.sales))
+
+    def _base(self, with_ref: bool) -> DataFrame:
+        ref = rfm.reference_date(self.member_days, self.gcfg.as_of)
+        return rfm.base_of_days(self.member_days, ref, self.gcfg.rfm_days, self.gcfg.rfm_include_anonymous, with_ref)
+
     @cached_property
     def rfm_base(self) -> DataFrame:
-        return rfm.rfm_base(self.sales, self.ref_date, self.gcfg.rfm_days, self.gcfg.rfm_include_anonymous)
+        return self._base(with_ref=False)
 
     @cached_property
     def rfm_scored(self) -> DataFrame:
-        """Scores over a base that carries its reference date, checkpointed once
-        (cut points, three histograms and the numbering all read it)."""
-        base = rfm.rfm_base(self.sales, self.ref_date, self.gcfg.rfm_days, self.gcfg.rfm_include_anonymous,
-                            with_ref=True)
-        return rfm.rfm_scores(base, self.gcfg.rfm_tiles, materialize=reliable_checkpoint)
+        """Scores over a base that carries its reference date; the keyed frame is checkpointed once."""
+        return rfm.rfm_scores(self._base(with_ref=True), self.gcfg.rfm_tiles, materialize=reliable_checkpoint)
 
     @cached_property
     def rfm_scores(self) -> DataFrame:
@@ -162,18 +158,33 @@ def _q(build: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str], Da
 
 
 # --- bronze ---------------------------------------------------------------
+BRONZE_RUN = bronze.RunInfo("RUN_QUERY", QUERY_RUN_TS)
+
+
+def _loads(x: Layers) -> list[bronze.Load]:
+    return bronze.collect_loads(bronze.active_loads(bronze.example_control(x.spark)))
+
+
 def q_bronze_extract(x: Layers) -> DataFrame:
-    """Control table -> active loads -> configured column list, filter and lineage of TRANS_VENTAS."""
-    control = bronze.example_control(x.spark)
-    loads = [ld for ld in bronze.collect_loads(bronze.active_loads(control)) if ld.source_table == "TRANS_VENTAS"]
-    run = bronze.RunInfo("RUN_QUERY", QUERY_RUN_TS)
-    return bronze.extract(x.src[loads[0].source_table], loads[0], run)
+    """Control table -> active loads -> configured column list, filter and lineage of the sales load."""
+    load = next(ld for ld in _loads(x) if ld.source_table == "TRANS_VENTAS")
+    return bronze.extract(x.src[load.source_table], load, BRONZE_RUN)
+
+
+def q_bronze_load_audit(x: Layers) -> DataFrame:
+    """The audit of the loop over all active loads: status and rows copied of each."""
+    return bronze.load_summary(_loads(x), lambda load: x.src[load.source_table], BRONZE_RUN)
 
 
 def q_bronze_lenient_cast(x: Layers) -> DataFrame:
-    """Sales delivered as text, typed back by the contract with try_cast (bad values become null)."""
+    """Sales delivered as text, some of it spoiled, typed back by the contract with try_cast (bad values become null)."""
     text = x.src["TRANS_VENTAS"].drop(*SALES_HELPERS)
     text = text.select(*[F.col(c).cast("string").alias(c) for c in text.columns])
+    art = F.col("art_id").cast("int")
+    text = text.withColumns({
+        "qty_vendida": F.when(art % 101 == 0, F.lit("x1")).otherwise(F.col("qty_vendida")),
+        "fec_trans": F.when(art % 103 == 0, F.lit("2024-13-45")).otherwise(F.col("fec_trans")),
+    })
     return apply_contract(text, S.SALES)
 
 
@@ -226,35 +237,24 @@ def q_silver_returns(x: Layers) -> DataFrame:
     return x.returns
 
 
-QUALITY_NULL_COLUMNS = {
-    "CRM_MIEMBROS": ("genero", "rango_edad", "activo"),
-    "MSTR_ARTICULOS": ("id_proveedor", "activo"),
-    "MSTR_PROVEEDORES": ("pais_origen",),
-    "MSTR_TIENDAS": ("id_ciudad", "id_pais"),
-    "TRANS_VENTAS": ("id_miembro", "id_tienda", "descuento_aplicado"),
-    "INV_STOCK_DIARIO": ("stock_transito",),
-    "POST_DEVOLUCIONES": ("id_trans_origen",),
-}
-
-
 def quality_frames(x: Layers) -> list[DataFrame]:
     """One single-pass audit row per source table (sales: split flags on the deduped rows)."""
     out = []
     for table, frame in x.src.items():
         order = SALES_ORDER if table == "TRANS_VENTAS" else RETURNS_ORDER if table == "POST_DEVOLUCIONES" else ()
-        deduped = silver.typed_unique(frame, table, order, count_as="_rows")
+        deduped = silver.counted_unique(frame, table, order)
         ok = None
         if table == "TRANS_VENTAS":
             refs = silver.sales_references(x.products, x.stores)
             deduped = flag_references(deduped, "id_trans", refs)
             ok = accepted_condition(refs)
-        out.append(quality_metrics(table, deduped, "_rows", ok, QUALITY_NULL_COLUMNS[table], QUERY_RUN_ID,
-                                   QUERY_RUN_TS))
+        out.append(quality_metrics(table, deduped, silver.ROWS, ok, silver.NULL_COLUMNS[table], QUERY_RUN_ID,
+                                   QUERY_RUN_TS, silver.FAILURES))
     return out
 
 
 def q_dq_metrics(x: Layers) -> DataFrame:
-    """One audit row per source table: total, duplicates, accepted, rejected, pct, null analysis."""
+    """One audit row per source table: total, duplicates, accepted, rejected, bad values, pct, null analysis."""
     frames = quality_frames(x)
     out = frames[0]
     for f in frames[1:]:
@@ -313,6 +313,13 @@ def q_win_avg_14d(x: Layers) -> DataFrame:
     return x.consumption("trailing")
 
 
+def q_win_avg_14d_category(x: Layers) -> DataFrame:
+    """Trailing 14-day average per level-1 category and store, a grain at which most windows hold several days."""
+    keys = ("id_categ_n1", "id_tienda")
+    sold = x.sales.join(x.products.select(F.col("art_id").alias("_a_id"), "id_categ_n1"), F.col("art_id") == F.col("_a_id"))
+    return facts.consumption_average(facts.daily_consumption(sold, keys), keys, mode="trailing", days=x.gcfg.consumption_days)
+
+
 # --- facts ----------------------------------------------------------------
 def q_fact_sales(x: Layers) -> DataFrame:
     return x.fact_sales

@@ -74,5 +74,5 @@ LOAD_AUDIT = _schema(
 QUALITY = _schema(
     ("execution_id", STR), ("table_name", STR), ("total_records", LONG),
     ("duplicate_records", LONG), ("accepted_records", LONG), ("rejected_records", LONG),
-    ("pct_conformed", DBL), ("null_analysis", STR), ("processed_at", TS),
+    ("conversion_failures", LONG), ("pct_conformed", DBL), ("null_analysis", STR), ("processed_at", TS),
 )

@@ -65,8 +65,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("ALMACEN_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="almacen-warehouse-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    scratch = tempfile.mkdtemp(prefix="almacen-local-")  # one machine: its local folder is shared by all tasks
+    builder = builder.config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+    builder = builder.config("spark.checkpoint.dir", os.environ.get("ALMACEN_CHECKPOINT_DIR", f"{scratch}/checkpoint"))
     for key, value in RECOMMENDED_SQL_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

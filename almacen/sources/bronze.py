@@ -11,18 +11,19 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from almacen import schemas as S
-from almacen.config import SOURCE_SYSTEM
+from almacen.config import INGEST_TS, SOURCE_SYSTEM
 
 CONTROL_COLUMNS = (
     "PkControlCargas", "EsquemaFuente", "NombreTablaFuente", "ColumnasArchivoFuente",
     "FiltrosArchivoFuente", "EsquemaDestino", "NombreTablaDestino",
 )
-INGEST_TS, SOURCE_COL, BATCH_COL = "FechaIngesta", "SistemaFuente", "IdLote"
+SOURCE_COL, BATCH_COL = "SistemaFuente", "IdLote"
 PARTITION_COL = "fecha_ingesta"
+LOADED, FAILED = "SATISFACTORIO", "FALLA"
 
 
 @dataclass(frozen=True)
@@ -107,8 +108,11 @@ def write_raw(df: DataFrame, root: str, table: str, day: dt.date) -> None:
 
 
 def read_raw(spark: SparkSession, root: str, table: str, since: dt.date | None = None) -> DataFrame:
-    """Every ingested day of one table (``since`` prunes older day folders)."""
-    df = spark.read.parquet(raw_path(root, table))
+    """Every ingested day of one table (``since`` prunes older day folders).
+
+    Day files are merged by schema, so a column that a later day added is read (null before).
+    """
+    df = spark.read.option("mergeSchema", "true").parquet(raw_path(root, table))
     if since is not None:
         df = df.filter(F.col(PARTITION_COL) >= F.lit(since).cast("date"))
     return df
@@ -121,6 +125,15 @@ def audit_row(spark: SparkSession, run: RunInfo, load: Load, status: str, rows:
     )
 
 
+class LoadFailed(RuntimeError):
+    """Some loads failed; ``results`` has (load, status, rows, error) of all."""
+
+    def __init__(self, results: list):
+        self.results = results
+        failed = [(load.source_table, error) for load, status, _, error in results if status == FAILED]
+        super().__init__("; ".join(f"{table}: {error}" for table, error in failed))
+
+
 def load_all(
     spark: SparkSession,
     control: DataFrame,
@@ -133,10 +146,9 @@ def load_all(
     """Run every active load in order; a failed load is audited and the rest go on.
 
     Rows copied are counted with an ``Observation`` on the write itself (no
-    second scan). Returns ``(load, status, rows, error)`` per load.
+    second scan). Returns ``(load, status, rows, error)`` per load, or raises
+    :class:`LoadFailed` with them after the last load when any failed.
     """
-    from pyspark.sql import Observation
-
     results = []
     for load in collect_loads(active_loads(control)):
         try:
@@ -144,15 +156,29 @@ def load_all(
             df = extract(read_source(load), load, run).observe(obs, F.count(F.lit(1)).alias("rows"))
             write_raw(df, root, load.target_table, day)
             rows = int(obs.get["rows"])
-            results.append((load, "SATISFACTORIO", rows, None))
+            results.append((load, LOADED, rows, None))
         except Exception as exc:  # noqa: BLE001 - any load failure is audited, the loop goes on
-            results.append((load, "FALLA", None, str(exc)[:4000]))
+            results.append((load, FAILED, None, str(exc)))
         if audit is not None:
             _, status, rows, error = results[-1]
             audit(audit_row(spark, run, load, status, rows, error))
+    if any(status == FAILED for _, status, _, _ in results):
+        raise LoadFailed(results)
     return results
 
 
+def load_summary(loads: Iterable[Load], read_source: Callable[[Load], DataFrame], run: RunInfo) -> DataFrame:
+    """What the loop would copy: batch, target, source, status and rows of each load, without writing."""
+    out = None
+    for load in loads:
+        row = extract(read_source(load), load, run).agg(F.count(F.lit(1)).alias("RegistrosCopiados")).select(
+            F.lit(run.run_id).alias("IdLote"), F.lit(load.target_table).alias("NombreTablaDestino"),
+            F.lit(load.source_table).alias("NombreTablaFuente"), F.lit(LOADED).alias("Estado"), "RegistrosCopiados",
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def example_control(spark: SparkSession, tables: Iterable[str] = tuple(S.SOURCES)) -> DataFrame:
     """A control table with one active load per source table; sales are limited
     to a column list and a channel filter, returns are configured inactive."""

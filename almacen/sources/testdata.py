@@ -7,7 +7,6 @@ Everything stays lazy: the derived frames grow with the given tables.
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +18,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # helper columns of the sales and returns fixtures (dedupe order, not business columns)
 SALES_HELPERS = ("x_supp", "x_ship")
-SPREAD_MIN_BYTES = 1 << 20
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture mapping
@@ -36,37 +34,15 @@ RETURN_STATES = ("APROBADO", "PENDIENTE", "RECHAZADO")  # by l_suppkey % 3
 # ---------------------------------------------------------------------------
 
 
-def _scan_splits(spark: SparkSession, frame: DataFrame) -> tuple[int, int]:
-    """(input partitions of the scan, session parallelism); (0, 0) without a local context."""
-    try:
-        return frame.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - sessions without RDD access keep the plain scan
-        return 0, 0
-
-
 class GivenTables(dict):
-    """The given Parquet tables of one folder, each opened on first use.
-
-    Each given file holds a single row group, which Spark cannot split: the
-    whole table would be read, joined and pre-aggregated by one task. A table
-    whose scan has fewer partitions than the session's parallelism is spread
-    with a round-robin repartition when its file has at least
-    ``SPREAD_MIN_BYTES``; large inputs (many row groups, many splits) and tiny
-    tables are left as they are.
-    """
+    """The given Parquet tables of one folder, each opened on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
-        self._spark, self._dir, self._spread = spark, sf_dir.rstrip("/"), spread
+        self._spark, self._dir = spark, sf_dir.rstrip("/")
 
     def __missing__(self, name: str) -> DataFrame:
-        path = f"{self._dir}/{name}.parquet"
-        frame = self._spark.read.parquet(path)
-        if self._spread and os.path.isfile(path) and os.path.getsize(path) >= SPREAD_MIN_BYTES:
-            splits, cores = _scan_splits(self._spark, frame)
-            if splits < cores:
-                frame = frame.repartition(cores)
-        self[name] = frame
+        self[name] = frame = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
         return frame
 
 
@@ -106,7 +82,7 @@ def articles(t: dict[str, DataFrame]) -> DataFrame:
         key.cast("int").alias("art_id"),
         F.concat(F.lit("770"), F.lpad(key.cast("string"), 9, "0")).alias("cod_barra"),
         F.col("p_name").alias("desc_art"),
-        F.col("p_type").alias("id_categ_n1"),
+        F.when(key % 10 == 1, F.lit("TEC")).when(key % 10 == 2, F.lit("ROPA")).otherwise(F.col("p_type")).alias("id_categ_n1"),
         F.col("p_brand").alias("id_categ_n2"),
         F.col("p_size").alias("id_categ_n3"),
         F.col("x_supp").cast("int").alias("id_proveedor"),
@@ -172,7 +148,9 @@ def sales(t: dict[str, DataFrame], helpers: bool = True) -> DataFrame:
         F.when(F.col("o_orderstatus") == CHANNELS[0][0], F.lit(CHANNELS[0][1])),
     )
     cols = [
-        (F.col("l_orderkey") * 10 + line).cast("long").alias("id_trans"),
+        F.when((F.col("l_orderkey") % 211 == 0) & (line == 1), F.lit(None).cast("long"))
+        .otherwise((F.col("l_orderkey") * 10 + line).cast("long"))
+        .alias("id_trans"),
         F.when(F.col("o_orderkey") % 20 == 0, F.lit(None).cast("int"))
         .otherwise(F.col("o_custkey").cast("int"))
         .alias("id_miembro"),
@@ -219,7 +197,10 @@ def stock(t: dict[str, DataFrame]) -> DataFrame:
         store,
         day,
         ((art * 7 + store * 13 + F.dayofmonth(day)) % 500).cast("int").alias("stock_fisico"),
-        F.when(art % 9 == 0, F.lit(None).cast("int")).otherwise(art % 100).alias("stock_transito"),
+        F.when(art % 9 == 0, F.lit(None).cast("string"))
+        .when(art % 13 == 0, F.lit("N/D"))
+        .otherwise((art % 100).cast("string"))
+        .alias("stock_transito"),
         (store % 50).cast("int").alias("stock_reservado"),
         (10 + art % 40).cast("int").alias("stock_minimo_config"),
         (100 + art % 500).cast("int").alias("stock_maximo_config"),

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from almacen.operators.contract import apply_contract
-from almacen.session import checkpoint_dir
 from almacen.sources.bronze import PARTITION_COL, raw_path
 
 
@@ -31,19 +30,21 @@ def typed_increments(
     table: str,
     schema: T.StructType,
     handle: Callable[[DataFrame, int], None],
-    name: str | None = None,
+    checkpoint: str,
 ) -> None:
     """Process every raw file not seen before, then stop (``availableNow``).
 
     Each micro-batch is typed by the contract and passed to ``handle(df,
-    batch_id)``; progress is kept under the session's shared checkpoint folder,
-    so a rerun (or a restart after a lost driver) continues where it stopped.
+    batch_id)``; progress is kept in ``checkpoint``, a folder of this stream on
+    shared storage that outlives the session, so a rerun (or a restart after a
+    lost driver) continues where it stopped.
     """
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream_{name or table}"
+    if not checkpoint:
+        raise ValueError("a lasting checkpoint folder is needed: without it every run reads all days again")
     query = (
         raw_stream(spark, root, table, schema)
         .transform(lambda df: apply_contract(df, schema))
-        .writeStream.option("checkpointLocation", ckpt)
+        .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(handle)
         .start()

@@ -1,7 +1,7 @@
 import datetime as dt
-import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from almacen import schemas as S
@@ -37,8 +37,9 @@ def test_load_all_writes_days_and_audits_failures(spark):
     def read_source(load):
         return src[load.source_table]
 
-    res = bronze.load_all(spark, control, read_source, root, RUN, dt.date(2024, 5, 1), audits.append)
-    status = {ld.source_table: (st, n) for ld, st, n, _ in res}
+    with pytest.raises(bronze.LoadFailed, match="NO_EXISTE") as failed:  # after the other loads
+        bronze.load_all(spark, control, read_source, root, RUN, dt.date(2024, 5, 1), audits.append)
+    status = {ld.source_table: (st, n) for ld, st, n, _ in failed.value.results}
     assert status["MSTR_TIENDAS"] == ("SATISFACTORIO", 25)
     assert status["MSTR_PROVEEDORES"][0] == "SATISFACTORIO" and status["NO_EXISTE"][0] == "FALLA"
     assert len(audits) == 3 and audits[-1].collect()[0].Estado == "FALLA"
@@ -48,6 +49,27 @@ def test_load_all_writes_days_and_audits_failures(spark):
     assert bronze.read_raw(spark, root, "MSTR_TIENDAS", since=dt.date(2024, 5, 2)).count() == 25
 
 
+def test_failed_load_keeps_its_whole_error(spark):
+    text = "e" * 10_000
+
+    def read_source(load):
+        raise ValueError(text)
+
+    control = bronze.example_control(spark, ["MSTR_TIENDAS"])
+    audits = []
+    with pytest.raises(bronze.LoadFailed):
+        bronze.load_all(spark, control, read_source, "/nowhere", RUN, dt.date(2024, 5, 1), audits.append)
+    assert audits[0].collect()[0].MensajeError == text
+
+
+def test_days_are_merged_by_schema(spark):
+    root = tempfile.mkdtemp(prefix="almacen-bronze-")
+    one = spark.createDataFrame([(1,)], "id_tienda int")
+    bronze.write_raw(one, root, "T", dt.date(2024, 5, 1))
+    bronze.write_raw(one.withColumn("nuevo", F.lit("x")), root, "T", dt.date(2024, 5, 2))
+    assert sorted(str(r.nuevo) for r in bronze.read_raw(spark, root, "T").collect()) == ["None", "x"]
+
+
 def test_jdbc_round_trip_embedded_derby(spark):
     url = "jdbc:derby:memory:almacen_test;create=true"
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
@@ -66,13 +88,15 @@ def test_raw_stream_available_now(spark):
     root = tempfile.mkdtemp(prefix="almacen-stream-")
     src = source_tables(spark, SF)
     bronze.write_raw(src["MSTR_TIENDAS"], root, "MSTR_TIENDAS", dt.date(2024, 5, 1))
+    with pytest.raises(ValueError, match="checkpoint"):
+        typed_increments(spark, root, "MSTR_TIENDAS", S.STORES, print, checkpoint="")
     seen = []
     typed_increments(spark, root, "MSTR_TIENDAS", S.STORES, lambda df, i: seen.append(df.count()),
-                     name=os.path.basename(root))
+                     checkpoint=f"{root}/progress")
     assert sum(seen) == 25
     bronze.write_raw(src["MSTR_TIENDAS"], root, "MSTR_TIENDAS", dt.date(2024, 5, 2))
     typed_increments(spark, root, "MSTR_TIENDAS", S.STORES, lambda df, i: seen.append(df.count()),
-                     name=os.path.basename(root))
+                     checkpoint=f"{root}/progress")
     assert sum(seen) == 50  # the second run reads only the new day
 
 

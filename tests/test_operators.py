@@ -1,6 +1,10 @@
 import datetime as dt
 import hashlib
+from decimal import Decimal
+from fractions import Fraction
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from almacen import schemas as S
@@ -9,8 +13,9 @@ from almacen.operators.contract import apply_contract, cast_failures
 from almacen.operators.dedupe import dedupe_latest
 from almacen.operators.impute import impute_from_group
 from almacen.operators.integrity import Reference, check_references
-from almacen.operators.joins import checked_broadcast, fits, salted_left_join
+from almacen.operators.joins import salted_left_join, split_left_join
 from almacen.operators.quality import quality_metrics
+from almacen.plans import silver
 
 
 def _key(r):
@@ -95,15 +100,18 @@ def test_check_references_one_outcome_per_row(spark):
     assert acc.count() + rej.count() == sales.count()
 
 
-def test_salted_left_join_matches_plain_join_both_paths(spark):
-    left = spark.createDataFrame([(i, None if i % 3 == 0 else i % 5) for i in range(60)], "id long, k int")
-    right = spark.createDataFrame([(k, f"v{k}") for k in range(4)], "rk int, v string")
-    expect = rows(left.join(right, left.k == right.rk, "left"), "id", "v")
-    for limit in (10, 1):  # broadcast path, then the salted shuffle path
-        got = salted_left_join(left, right, "k", "rk", ["id"], salts=4, max_rows=limit)
-        assert rows(got, "id", "v") == expect
-    assert fits(right, 4) and not fits(right, 3)
-    assert checked_broadcast(right, 3).count() == 4
+def test_joins_of_hot_keys_match_the_plain_join(spark):
+    left = spark.createDataFrame([(i, None if i % 3 == 0 else -1 if i % 7 == 0 else i % 5) for i in range(90)], "id long, k int")
+    for keys in (range(4), range(-1, 4), ()):  # the sentinel unknown, known, no keys at all
+        right = spark.createDataFrame([(k, f"v{k}") for k in keys], "rk int, v string")
+        expect = rows(left.join(right, left.k == right.rk, "left"), "id", "k", "rk", "v")
+        for got in (
+            salted_left_join(left, right, "k", "rk", ["id"], salts=4),
+            salted_left_join(left, right, "k", "rk", ["id"], salts=4, hot=(-1,)),
+            split_left_join(left, right, "k", "rk", (-1,)),
+        ):
+            assert got.columns == ["id", "k", "rk", "v"]
+            assert rows(got) == expect
 
 
 def test_quality_metrics_single_pass(spark):
@@ -111,21 +119,53 @@ def test_quality_metrics_single_pass(spark):
     counted = dedupe_latest(raw, ["k"], [], count_as="_rows")
     q = quality_metrics("T", counted, "_rows", F.col("k") != 3, ["v"], "run", dt.datetime(2024, 1, 1)).collect()[0]
     assert (q.total_records, q.duplicate_records, q.accepted_records, q.rejected_records) == (4, 1, 2, 1)
-    assert q.pct_conformed == 50.0 and q.null_analysis == '{"v":1}'
+    assert q.pct_conformed == 50.0 and q.null_analysis == '{"v":1}' and q.conversion_failures == 0
     empty = quality_metrics("E", counted.limit(0), "_rows").collect()[0]
     assert (empty.total_records, empty.pct_conformed) == (0, 0.0)
 
 
-def test_null_keys_spread_over_reducers(spark):
-    left = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 10 == 0, F.col("id") % 7).cast("int").alias("k"))
-    right = spark.createDataFrame([(k, f"v{k}") for k in range(7)], "rk int, v string")
-    old = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep every reducer partition visible
+def test_null_and_sentinel_keys_spread_over_reducers(spark):
+    left = spark.range(3000).select(
+        F.col("id"), F.when(F.col("id") % 10 == 0, F.col("id") % 7).when(F.col("id") % 2 == 0, F.lit(-1)).cast("int").alias("k")
+    )
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(-1, 7)], "rk int, v string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for k, v in zip(old, ("false", "-1"), strict=True):  # keep every reducer partition visible, and the shuffle join
+        spark.conf.set(k, v)
     try:
-        joined = salted_left_join(left, right, "k", "rk", ["id"], max_rows=1)  # force the shuffle path
-        nulls = joined.filter(F.col("k").isNull()).select(F.spark_partition_id().alias("p"))
-        used = nulls.distinct().count()
+        joined = salted_left_join(left, right, "k", "rk", ["id"], hot=(-1,))
+        used = [joined.where(w).select(F.spark_partition_id()).distinct().count() for w in ("k IS NULL", "k = -1")]
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", old)
-    assert joined.count() == 2000
-    assert used >= 6  # 1,800 null-key rows over the 8 shuffle partitions, not one
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert joined.count() == 3000 and joined.where("v = 'v-1'").count() == 1200
+    assert min(used) >= 6  # over the 8 shuffle partitions, not in one
+
+
+def test_newest_ingest_wins_without_an_order(spark):
+    days = spark.createDataFrame(
+        [(1, "a", 500, dt.datetime(2024, 1, 1)), (1, "a", 400, dt.datetime(2024, 1, 2)), (2, "b", 9, None)],
+        "id_tienda int, nom_tienda string, metros_cuadrados int, FechaIngesta timestamp",
+    )
+    out = silver.typed_unique(days, "MSTR_TIENDAS")
+    assert rows(out, "id_tienda", "metros_cuadrados") == [(1, 400), (2, 9)]
+    assert rows(silver.typed_unique(days, "MSTR_TIENDAS", ["metros_cuadrados"]), "metros_cuadrados") == [(9,), (400,)]
+
+
+def test_audit_counts_values_that_do_not_convert(spark):
+    raw = spark.createDataFrame([("1", "x", "5"), ("1", "y", "6"), ("2", None, "n/a"), ("3", "7", None)],
+                                "id_tienda string, activo string, metros_cuadrados string")
+    q = quality_metrics("T", silver.counted_unique(raw, "MSTR_TIENDAS"), silver.ROWS, failures_col=silver.FAILURES)
+    got = q.collect()[0]
+    assert (got.total_records, got.duplicate_records, got.conversion_failures) == (4, 1, 3)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(-4 * 10**16, 4 * 10**16), st.integers(1, 4 * 10**12)), min_size=1, max_size=200))
+def test_rounded_ratio_is_exact(spark, pairs):
+    df = spark.createDataFrame([(i, n, d) for i, (n, d) in enumerate(pairs)], "i int, n long, d long")
+    got = {r.i: r.q for r in df.select("i", rounded_ratio(F.col("n"), F.col("d")).alias("q")).collect()}
+    for i, (n, d) in enumerate(pairs):
+        half = Fraction(abs(n) * 100, d) - abs(n) * 100 // d
+        want = Decimal(abs(n) * 100 // d + (half >= Fraction(1, 2))) / 100
+        assert got[i] == float(want if n >= 0 else -want), (n, d)

@@ -27,6 +27,45 @@ def test_run_medallion_end_to_end(spark):
     assert seg.groupBy("nombre_segmento").count().agg({"count": "sum"}).collect()[0][0] == seg.count()
 
 
+def test_medallion_from_bronze(spark):
+    """Two days of ingest: the newer rows win, and a failed load stops the run before silver."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from almacen import schemas as S
+    from almacen.sources import bronze
+
+    src = dict(source_tables(spark, "/root/testdata/sf0.001").items())
+    root = tempfile.mkdtemp(prefix="almacen-wh-")
+    control = spark.createDataFrame(
+        [(i, "dbo", t, "*", None, "bronze", t, 1) for i, t in enumerate(S.SOURCES, start=1)], S.CONTROL
+    )
+    audits = []
+    day = dt.datetime(2024, 5, 1, 8, 0, 0)
+    load = lambda ld: src[ld.source_table]
+    store = run_medallion(spark, None, root, now=day, control=control, read_source=load, audit=audits.append)
+    assert [a.collect()[0].Estado for a in audits] == [bronze.LOADED] * 7
+    n = store.read(spark, "mstr_tiendas").count()
+    smaller = src["MSTR_TIENDAS"].withColumn("metros_cuadrados", F.lit(1))
+    src["MSTR_TIENDAS"] = smaller
+    run_medallion(spark, None, root, now=day + dt.timedelta(days=1), control=control, read_source=load, store=store)
+    assert [tuple(r) for r in store.read(spark, "mstr_tiendas").agg(F.count("*"), F.max("metros_cuadrados")).collect()] == [(n, 1.0)]
+    q = store.read(spark, QUALITY_TABLE).where("table_name = 'MSTR_TIENDAS'").orderBy("execution_id").collect()
+    assert [(r.total_records, r.duplicate_records) for r in q] == [(n, 0), (2 * n, n)]
+    q = store.read(spark, QUALITY_TABLE).where("table_name = 'INV_STOCK_DIARIO'").agg(F.min("conversion_failures")).first()[0]
+    assert q > 0
+
+    def broken(ld):
+        if ld.source_table == "CRM_MIEMBROS":
+            raise OSError("source is down")
+        return src[ld.source_table]
+
+    before = store.read(spark, QUALITY_TABLE).count()
+    with pytest.raises(bronze.LoadFailed, match="source is down"):
+        run_medallion(spark, None, root, now=day + dt.timedelta(days=2), control=control, read_source=broken, store=store)
+    assert store.read(spark, QUALITY_TABLE).count() == before
+
+
 def test_bucketed_catalog_store_joins_without_shuffle(spark):
     from pyspark.sql import functions as F
 

@@ -1,5 +1,7 @@
 """Plan-shape guards: the properties the design relies on at scale."""
 
+import uuid
+
 from almacen.queries import QUERIES
 from tools.plan_report import summary
 
@@ -19,6 +21,57 @@ def test_rfm_tiles_never_number_all_rows_in_one_task(spark):
     assert all(w.split("], [")[1].startswith("_p") for w in windows)
 
 
+def jobs(spark, work):
+    """Ids of the jobs that ``work`` starts."""
+    tracker, group = spark.sparkContext.statusTracker(), f"watch-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        work()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return list(tracker.getJobIdsForGroup(group))
+
+
+def test_building_a_query_starts_no_job_but_schema_reads_and_the_rfm_tables(spark):
+    for name, build in QUERIES.items():
+        if name.startswith(("rfm_", "view_rfm", "bronze_")):  # checkpoints; the control table is read on the driver
+            continue
+        schemas = 8  # one footer read for each given table at most
+        assert len(jobs(spark, lambda b=build: b(spark, SF))) <= schemas, name
+
+
+def test_plans_have_the_same_shape_at_every_scale(spark):
+    shape = lambda name, sf: {k: v for k, v in summary(QUERIES[name](spark, sf)).items() if k != "pushed_filters"}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("silver_ri_accepted", "fact_sales", "fact_inventory", "view_daily_sales"):
+            assert shape(name, "/root/testdata/sf0.01") == shape(name, "/root/testdata/sf0.1"), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_results_do_not_depend_on_broadcasts(spark):
+    from tests.oracle_check import compare
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        names = ["silver_ri_accepted", "silver_ri_rejected", "fact_sales", "fact_returns", "rfm_segments", "dim_products"]
+        got = compare(spark, SF, names, verbose=False)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert all(v[0] == "ok" for v in got.values()), got
+
+
+def test_rfm_base_reads_the_sales_once(spark):
+    plan = QUERIES["rfm_scores"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and plan.count("BroadcastNestedLoopJoin") <= 1
+
+
 def test_dedupe_combines_before_the_shuffle(spark):
     plan = QUERIES["silver_dedupe_latest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and plan.count("Exchange hashpartitioning") == 1
