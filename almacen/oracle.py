@@ -209,7 +209,8 @@ fact_inventario AS (
   FROM stock_s s LEFT JOIN consumo c
     ON s.art_id = c.art_id AND s.id_tienda = c.id_tienda AND s.fec_snapshot = c.fec_trans),
 fact_devoluciones AS (
-  SELECT d.id_devolucion, d.id_trans_origen, d.fec_devolucion, d.art_id AS sk_producto, d.id_tienda AS sk_tienda,
+  SELECT d.id_devolucion, d.id_trans_origen, CAST(strftime(d.fec_devolucion, '%Y%m%d') AS INTEGER) AS sk_tiempo,
+         coalesce(m.id_miembro_hash, 'CLIENTE_ANONIMO') AS sk_cliente, d.fec_devolucion, d.art_id AS sk_producto, d.id_tienda AS sk_tienda,
          d.canal_devolucion, d.qty_devuelta, d.vr_reembolso,
          coalesce(v.precio_unitario_venta, CAST(0 AS DECIMAL(12,2))) AS precio_original_venta,
          CASE WHEN d.motivo_cod IN ('DEF', 'DEFECTUOSO') THEN 'Producto Defectuoso'
@@ -218,6 +219,7 @@ fact_devoluciones AS (
               ELSE 'Otro Motivo' END AS motivo_descripcion,
          a.id_categ_n1 AS categoria_nivel_1
   FROM devoluciones_s d LEFT JOIN ventas_ok v ON d.id_trans_origen = v.id_trans
+  LEFT JOIN miembros_s m ON v.id_miembro = m.id_miembro
   LEFT JOIN articulos_s a ON d.art_id = a.art_id),
 rfm_base AS (
   SELECT id_miembro, CAST(date_diff('day', max(fec_trans), (SELECT d FROM ref)) AS INTEGER) AS recency_dias,

@@ -117,20 +117,28 @@ def fact_inventory(stock: DataFrame, consumption: DataFrame, cfg: GoldConfig = D
     )
 
 
-def fact_returns(returns: DataFrame, sales: DataFrame, products: DataFrame, cfg: GoldConfig = DEFAULT_GOLD):
-    """Returns with the original sale price (0 when unknown), motive text and category.
+def fact_returns(
+    returns: DataFrame, sales: DataFrame, members: DataFrame, products: DataFrame, cfg: GoldConfig = DEFAULT_GOLD
+) -> DataFrame:
+    """Returns with date and customer keys, the original sale price (0 when unknown), motive text and category.
 
     Returns without a known sale (null or the unknown key, which may be a large
     share) are joined apart, so they never meet in one task.
     """
-    v = sales.select(F.col("id_trans").alias("_v_id"), F.col("precio_unitario_venta").alias("_v_price"))
+    v = sales.select(
+        F.col("id_trans").alias("_v_id"), F.col("precio_unitario_venta").alias("_v_price"), F.col("id_miembro").alias("_v_member")
+    )
+    m = members.select(F.col("id_miembro").alias("_m_id"), F.col("id_miembro_hash").alias("_m_hash"))
     a = products.select(F.col("art_id").alias("_a_id"), F.col("id_categ_n1").alias("_a_cat"))
     d = returns
     priced = split_left_join(d, v, "id_trans_origen", "_v_id", (UNKNOWN_KEY,))
-    joined = priced.join(a, F.col("art_id") == a["_a_id"], "left")
+    joined = salted_left_join(priced, m, "_v_member", "_m_id", row_id=["id_devolucion"])
+    joined = joined.join(a, F.col("art_id") == a["_a_id"], "left")
     return joined.select(
         "id_devolucion",
         "id_trans_origen",
+        date_key("fec_devolucion").alias("sk_tiempo"),
+        F.coalesce(F.col("_m_hash"), F.lit(ANONYMOUS_CUSTOMER)).alias("sk_cliente"),
         "fec_devolucion",
         F.col("art_id").alias("sk_producto"),
         F.col("id_tienda").alias("sk_tienda"),

@@ -184,7 +184,7 @@ def run_gold(
         calendar_days=cfg.consumption_calendar_days,
     )
     store.write(cast(facts.fact_inventory(t["inv_stock_diario"], consumption, cfg)), "fact_inventario")
-    store.write(cast(facts.fact_returns(t["post_devoluciones"], sales, t["mstr_articulos"], cfg)), "fact_devoluciones")
+    store.write(cast(facts.fact_returns(t["post_devoluciones"], sales, members, t["mstr_articulos"], cfg)), "fact_devoluciones")
 
     store.write(cast(rfm.rfm(sales, members, cfg, reliable_checkpoint)), "fact_rfm_clientes")
     return run

@@ -120,7 +120,7 @@ class Layers:
 
     @cached_property
     def fact_returns(self) -> DataFrame:
-        return facts.fact_returns(self.returns, self.sales, self.products, self.gcfg)
+        return facts.fact_returns(self.returns, self.sales, self.members, self.products, self.gcfg)
 
     @cached_property
     def member_days(self) -> DataFrame:
