@@ -8,7 +8,8 @@ The statistical part is information-theoretic: for each term near protected
 values, the corpus says how much it tells about a value. With p(v) the
 share of contexts of protected values that hold v, and p(v | t) the share of
 all occurrences of t that are next to v, the disclosure of v by t is
-log2(p(v | t) / p(v)) bits. A term that singles a value out, in enough different contexts,
+log2(p(v | t) / p(v)) bits. A term that singles a value out, in enough different contexts
+(in edited copies of one passage the other neighbours recur as well: those don't count),
 is a span of kind "term" wherever it stands, and is generalised with the rest.
 """
 
@@ -30,6 +31,7 @@ KINDS = ("email", "ip", "card", "phone", "term")  # in the order of equal starts
 
 WINDOW = 3  # terms on either side of a value
 MIN_CONTEXTS = 3  # different contexts in which a term is next to a value
+MAX_COMPANY = 0.5  # of these contexts that any one other term may share, else they are copies of a passage
 MIN_SHARE = 0.8  # of the term's occurrences that are next to the value
 MIN_BITS = 3.0  # disclosed about the value
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
@@ -61,22 +63,27 @@ def small_parts(x: Column) -> Column:
     return F.forall(F.split(x, r"\."), small)
 
 
+SPAN = "struct<start: int, `order`: int, kind: string, end: int, value: string>"
+
+
 def found(kind: str, pattern: str | Column, keep=None, text: str = "text") -> Column:
     """Array of (start, kind order, kind, end, value) of the matches of ``pattern``; ``keep`` tests a value."""
     regex = F.lit(pattern) if isinstance(pattern, str) else pattern
     values = F.regexp_extract_all(F.col(text), regex, F.lit(0))
     gaps = F.transform(F.split(F.col(text), regex, -1), lambda x: F.char_length(x))
+    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(values)), values, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
 
-    def span(value: Column, i: Column) -> Column:
-        before = F.aggregate(F.slice(gaps, F.lit(1), i + 1), F.lit(0), lambda a, b: a + b)
-        inside = F.aggregate(F.slice(values, F.lit(1), i), F.lit(0), lambda a, b: a + F.char_length(b))
-        start = before + inside
-        return F.struct(
+    def add(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        end = start + F.char_length(x["value"])
+        span = F.struct(
             start.alias("start"), F.lit(KINDS.index(kind)).alias("order"), F.lit(kind).alias("kind"),
-            (start + F.char_length(value)).alias("end"), value.alias("value"),
+            end.alias("end"), x["value"].alias("value"),
         )
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    spans = F.transform(values, span)
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+    spans = F.aggregate(steps, begin, add, lambda acc: acc["spans"])
     return F.filter(spans, lambda s: keep(s["value"])) if keep else spans
 
 
@@ -106,7 +113,7 @@ def term_of(word: Column) -> Column:
 
 
 def contexts(marked: DataFrame) -> DataFrame:
-    """(value, context, term): the terms within WINDOW words of each protected value, one context per distinct surrounding.
+    """(value, context, terms, term): the terms within WINDOW words of each protected value, one context per distinct surrounding.
 
     Copies of a passage are one context, so that repeated documents give no evidence.
     """
@@ -120,7 +127,8 @@ def contexts(marked: DataFrame) -> DataFrame:
     )
     near = near.select("value", F.transform(F.concat("l", "r"), term_of).alias("terms"), F.to_json(F.struct("l", "r")).alias("c"))
     near = near.select("value", "terms", F.sha2("c", 256).alias("context")).dropDuplicates(["value", "context"])
-    return near.select("value", "context", F.explode(F.array_distinct("terms")).alias("term")).where("term <> ''")
+    near = near.select("value", "context", F.array_distinct(F.filter("terms", lambda t: t != "")).alias("terms"))
+    return near.select("value", "context", "terms", F.explode("terms").alias("term"))
 
 
 def disclosing_terms(docs: DataFrame, near: DataFrame) -> DataFrame:
@@ -131,6 +139,9 @@ def disclosing_terms(docs: DataFrame, near: DataFrame) -> DataFrame:
     total = near.agg(F.count_distinct("value", "context").alias("all_contexts"))
     of_value = near.groupBy("value").agg(F.count_distinct("context").alias("value_contexts"))
     pairs = near.groupBy("term", "value").agg(F.count_distinct("context").alias("both")).where(F.col("both") >= MIN_CONTEXTS)
+    others = near.select("term", "value", F.explode("terms").alias("other")).where("other <> term")
+    company = others.groupBy("term", "value", "other").count().groupBy("term", "value").agg(F.max("count").alias("company"))
+    pairs = pairs.join(company, ["term", "value"], "left").where(F.coalesce("company", F.lit(0)) <= MAX_COMPANY * F.col("both"))
     # every word of the corpus is counted, partially before the shuffle, per distinct text
     said = docs.select("text").distinct().select(F.explode(words(F.col("text"))).alias("word")).groupBy("word").count()
     said = said.select(term_of(F.col("word")).alias("term"), "count").groupBy("term").agg(F.sum("count").alias("term_count"))

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 
@@ -54,12 +55,13 @@ def test_equals_brute_force(make_docs):
 
 
 def test_disclosing_terms(make_docs):
-    filler = "alpha beta gamma delta epsilon zeta eta theta".split()
+    filler = ["".join(x) for x in itertools.product("bdfg", "aeiou", "lmnr", "aeo")]
     rnd = random.Random(1)
     some = lambda n: " ".join(rnd.choice(filler) for _ in range(n))
     rows = [f"{some(6)} Krzysztof, kz@corp.example.com {some(6)}" for _ in range(6)]
     rows += [f"{some(5)} m{k}@corp.example.com {some(9)} 10.0.0.{k}" for k in range(40)]
     rows += ["copied Unusual words near zz@corp.example.com here"] * 50  # copies are one context
+    rows += [f"{some(4)} edited Passage {some(1)} qq@corp.example.com Unique ending" for _ in range(9)]  # as are edited copies
     rows += [f"later KRZYSZTOF came, Krzysztofs not {some(3)}", some(20)]
     got = {r["doc_id"]: r for r in pii.sanitise(pii.detect(make_docs(rows))).collect()}
     assert all(any(s["kind"] == "term" and s["value"].lower() == "krzysztof" for s in got[i]["spans"]) for i in range(6))
