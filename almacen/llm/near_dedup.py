@@ -11,9 +11,10 @@ clearly different, and the full shingle sets decide.
 Candidates are not all pairs of a bucket: documents with equal sets are one
 class; each class of a bucket is paired with the bucket's least and greatest
 class; the confirmed links make components; and only where a bucket still spans
-several components are the pairs across them looked at as well. So every pair of
-a bucket is either decided or inside one component, and no link between
-components is lost.
+several components are the pairs across them looked at as well, without the classes
+that have too many shingles of their own to be linked with any other there. So every
+pair of a bucket is decided, impossible, or inside one component, and no link
+between components is lost.
 """
 
 from __future__ import annotations
@@ -109,6 +110,14 @@ def _sets(size: int):
     return run
 
 
+def _own_shingles(batches):
+    for batch in batches:
+        sets = [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
+        if sets:
+            rep = np.repeat(batch.column("rep").to_numpy(), [len(x) for x in sets])
+            yield pa.record_batch([pa.array(rep), pa.array(np.concatenate(sets))], names=["rep", "shingle"])
+
+
 def _estimate(batches):
     for batch in batches:
         a, b = (
@@ -184,6 +193,43 @@ def _pairs(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _undecided(shared: DataFrame, classes: DataFrame, members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(band, rep, comp, n, common, bands) of the buckets that hold several components, without classes that can have no link there.
+
+    A link needs (100 + percent) * |A and B| >= percent * (|A| + |B|). In a bucket
+    |B| is at least the least size in it and percent / 100 * |A|, and |A and B| is at most ``common``, the
+    number of A's shingles that any other class of these buckets has.
+    """
+
+    def mixed(held: DataFrame) -> DataFrame:
+        several = held.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least"))
+        return held.join(several.where("lo < hi").select("band", "least"), "band")
+
+    lab, size = labels.withColumnRenamed("node", "rep"), classes.select("rep", F.col("n_shingles").alias("n"))
+    held = shared.select("band", "rep").join(lab, "rep", "left").join(size, "rep")
+    held = materialize(mixed(held.select("band", "rep", "n", F.coalesce("comp", "rep").alias("comp"))), "mixed")
+    sets = members.join(held.select("rep").distinct(), "rep", "left_semi").select("rep", "members")
+    counted = sets.mapInArrow(_own_shingles, "rep long, shingle long").groupBy("shingle")
+    lonely = counted.agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("rep")).where("df = 1")
+    lonely = lonely.groupBy("rep").agg(F.count(F.lit(1)).alias("lonely"))
+    open_ = held.join(lonely, "rep", "left").where(
+        f"(100 + {percent}) * (n - coalesce(lonely, 0)) >= {percent} * (n + greatest(least, {percent} * n / 100))"
+    )
+    left = mixed(open_.select("band", "rep", "n", "comp", (F.col("n") - F.coalesce("lonely", F.lit(0))).alias("common")))
+    return materialize(left.join(classes.select("rep", "bands"), "rep").drop("least"), "undecided")
+
+
+def _across(left: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes in one bucket and different components that may be linked, each in one of its buckets only."""
+    x, y = left.alias("x"), left.alias("y")
+    met = F.expr(
+        f"""x.band = y.band AND x.comp < y.comp
+        AND (100 + {percent}) * least(x.common, y.common) >= {percent} * (x.n + y.n)
+        AND array_min(array_intersect(x.bands, y.bands)) = x.band"""
+    )
+    return x.join(y, met).select(*_pairs("x.rep", "y.rep")).distinct()
+
+
 def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -218,14 +264,8 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     state = _Links(classes, members, percent)
     star = state.promising(pairs)
     state.settle(star)
-    # buckets that still hold several components: all their pairs across components
-    lab = state.labels.withColumnRenamed("node", "rep")
-    held = shared.select("band", "rep").join(lab, "rep", "left").select("band", "rep", F.coalesce("comp", "rep").alias("comp"))
-    mixed = held.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-    left = materialize(held.join(mixed, "band"), "mixed")
-    x, y = left.alias("x"), left.alias("y")
-    cross = x.join(y, F.expr("x.band = y.band AND x.comp < y.comp")).select(*_pairs("x.rep", "y.rep")).distinct()
-    cross = cross.join(pairs, ["a", "b"], "left_anti")
+    left = _undecided(shared, classes, members, state.labels, percent)
+    cross = _across(left, percent).join(pairs, ["a", "b"], "left_anti")
     more = state.promising(cross)
     if not more.isEmpty():
         state.settle(more)
