@@ -55,35 +55,34 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds: each round hooks a node's
     neighbours to the least of them, so a hub's list is only ever reduced by a
     minimum (partial aggregation) and joined back (skew-split by AQE), never
-    gathered. Every round is a written table; the loop ends when a round
-    changes nothing. Self loops and repeated edges are harmless; no edges, no rows.
+    gathered. Every round is a written table; the loop ends when each node has
+    one edge, to a node that has none itself: then every component is a star around its
+    least node. Self loops and repeated edges are harmless; no edges, no rows.
     """
 
     def both(e: DataFrame) -> DataFrame:
         return e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def stars(e: DataFrame) -> bool:
+        ends = e.select("a", F.lit(1).alias("own")).unionByName(e.select(F.col("b").alias("a"), F.lit(0).alias("own")))
+        met = ends.groupBy("a").agg(F.sum("own").alias("own"), F.count(F.lit(1)).alias("all"))
+        return met.where("own > 1 OR (own = 1 AND all > 1)").isEmpty()
 
-    cur = materialize(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "cc"
-    )
-    state = mark(cur)
-    while True:
+    cur = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    cur = materialize(cur, "cc")
+    while not stars(cur):
         # large star: larger neighbours of u point to the least of u and its neighbours
         two = both(cur)
         low = two.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = two.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = materialize(large, "cc")
+        if stars(large):
+            cur = large
+            break
         # small star: smaller neighbours of u, and u, point to the least of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        nxt = materialize(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "cc")
-        new = mark(nxt)
-        cur = nxt
-        if new == state:
-            break
-        state = new
+        cur = materialize(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "cc")
     return cur.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(
         cur.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
     )
