@@ -12,7 +12,7 @@ The index would hold a block for each word of the corpus. It only needs those
 that can occur twice, and these are found by a sparse sample first: of each
 block, the least hash of its ``SEED``-word grams. Equal blocks have equal seeds,
 so a block whose seed no other place has is unique and is never moved. One seed
-serves about six blocks in a row.
+serves about seven blocks in a row.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from almacen.llm.common import id_text, prepare
 from almacen.llm.textkit import blocks, grams, sliding_argmin, word_hashes
 
-BLOCK, SEED = 20, 10  # words
+BLOCK, SEED = 20, 8  # words
 _NO_ID = -(1 << 63)  # stands for a null doc_id, which is before all others
 
 
@@ -167,9 +167,10 @@ def factor(docs: DataFrame, block: int = BLOCK, seed: int = SEED, digest: bool =
     again = seeds.groupBy("seed").count().where("count > 1").select("seed")
     held = seeds.join(again, "seed")
     spans = held.groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    # spans per document are bounded by its own length; the texts' exchange is the same in both joins
+    # spans per document are bounded by its own length. Both joins below deal out the same
+    # columns of the texts by doc, so Spark moves the texts once and reuses that exchange
     marked = src.join(spans, "doc", "left")
-    found = marked.where("spans IS NOT NULL").select("doc", "text", "spans").mapInArrow(
+    found = marked.where("spans IS NOT NULL").select("doc", "doc_id", "text", "spans").mapInArrow(
         _block_rows(block), "h1 long, h2 long, doc long, at int"
     )
     earliest = found.groupBy("h1", "h2").agg(F.min(F.struct("doc", "at")).alias("m"))
