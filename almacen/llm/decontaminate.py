@@ -1,14 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 The benchmark is the stated query set: it is read in blocks of bounded size, and
-each block goes over all documents. A first pass counts in how many documents
-each word n-gram of the block occurs; an item's seeds are its rare n-grams, those
-that at most ``COMMON`` times as many documents have as its median n-gram (a
-measure within the item, so an item that leaked into very many documents keeps
-its seeds, edited copies included). A second pass finds the seeds in the documents,
-joins the places on one diagonal to a passage and aligns passage and item word
+each block goes over all documents once. Every word n-gram of an item is a seed:
+how many documents hold one says nothing about a leak, since an edited copy in very many
+documents makes just the n-grams common that it kept. The places of an item's seeds
+in a document are joined to passages, and passage and item are aligned word
 by word: +1 for equal words, -1 for different, left out or added ones. The score
-is the best local alignment's share of the item's words.
+is the best local alignment's share of the item's words. Many pairs are aligned at a time.
 """
 
 from __future__ import annotations
@@ -24,9 +22,9 @@ from almacen.llm.common import id_text, materialize, prepare
 from almacen.llm.textkit import PLAIN, blocks, grams, word_hashes
 
 SEED_WORDS = 3
-COMMON = 4
 SHARE = 0.5  # of the item's words, from which on a document counts as contaminated
 BLOCK_ITEMS, BLOCK_BYTES = 5_000, 8 << 20  # of the benchmark in one pass
+HELD_PAIRS, CELLS = 4_096, 1 << 17  # pairs a task holds before it aligns them, cells of a row of the alignments made at a time
 
 
 def plain(text: str | None) -> bytes:
@@ -49,6 +47,34 @@ def align(item: np.ndarray, passage: np.ndarray) -> int:
     return best
 
 
+def align_all(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """:func:`align` of many (item, passage) pairs: those of like lengths together, the shorter ones filled up with words that match nothing."""
+    best = np.zeros(len(pairs), dtype=np.int64)
+    order = sorted(range(len(pairs)), key=lambda i: (len(pairs[i][1]), len(pairs[i][0])))
+    while order:
+        width = len(pairs[order[-1]][1])
+        some = order[-max(1, CELLS // (width + 1)) :]
+        del order[-len(some) :]
+        depth = max(len(pairs[i][0]) for i in some)
+        item, passage = np.zeros((len(some), depth), np.uint64), np.zeros((len(some), width), np.uint64)
+        in_item, in_passage = np.zeros(item.shape, bool), np.zeros(passage.shape, bool)
+        for r, i in enumerate(some):
+            a, b = pairs[i]
+            item[r, : len(a)], in_item[r, : len(a)] = a, True
+            passage[r, : len(b)], in_passage[r, : len(b)] = b, True
+        place = np.arange(width + 1, dtype=np.int32)
+        row, top = np.zeros((len(some), width + 1), np.int32), np.zeros(len(some), np.int32)
+        for k in range(depth):
+            equal = (passage == item[:, k, None]) & in_passage & in_item[:, k, None]
+            new = np.zeros_like(row)
+            new[:, 1:] = np.maximum(row[:, :-1] + (equal * np.int32(2) - np.int32(1)), row[:, 1:] - 1)
+            np.maximum(new, 0, out=new)
+            row = np.maximum.accumulate(new + place, axis=1) - place  # gaps along the passage
+            np.maximum(top, row.max(axis=1), out=top)
+        best[some] = top
+    return best
+
+
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str):
     """Blocks of (item_id, words) of at most BLOCK_ITEMS items and about BLOCK_BYTES bytes of text."""
     held, size = [], 0
@@ -86,31 +112,12 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.append(start[1:], len(x))
 
 
-def document_counts(docs: DataFrame, wanted: np.ndarray) -> dict[int, int]:
-    """Number of documents that hold each of the ``wanted`` n-grams (sorted hashes)."""
-
-    def run(batches):
-        for batch in batches:
-            texts = [plain(t) for t in batch.column("text").to_pylist()]
-            seen = [np.unique(g) for _, _, _, g in _hits(texts, wanted)]
-            if seen:
-                g, n = np.unique(np.concatenate(seen), return_counts=True)
-                yield pa.record_batch({"gram": pa.array(g.view(np.int64)), "n": pa.array(n.astype(np.int64))})
-
-    rows = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {r["gram"] & (1 << 64) - 1: r["n"] for r in rows}  # at most one row for each n-gram of the block
-
-
-def rare_seeds(items: list, counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
-    """Seed n-gram -> (item index, place) of each item's n-grams that aren't common for it."""
+def item_seeds(items: list) -> dict[int, list[tuple[int, int]]]:
+    """Seed n-gram -> (item index, place) of all n-grams of the items."""
     out = defaultdict(list)
     for k, (_, words) in enumerate(items):
-        g = grams(words, SEED_WORDS).tolist()
-        n = [counts.get(x, 0) for x in g]
-        most = COMMON * max(1.0, float(np.median(n))) if g else 0
-        for at, (x, seen) in enumerate(zip(g, n, strict=True)):
-            if seen <= most:
-                out[x].append((k, at))
+        for at, x in enumerate(grams(words, SEED_WORDS).tolist()):
+            out[x].append((k, at))
     return dict(out)
 
 
@@ -129,10 +136,9 @@ def passages(places: list[tuple[int, int]], n: int, size: int) -> list[tuple[int
 
 def _found(docs: DataFrame, items: list) -> DataFrame:
     """(doc_id, text_key, item_id, score) of every document and item of the block that share a seed."""
-    wanted = np.unique(np.concatenate([grams(w, SEED_WORDS) for _, w in items]))
-    if not len(wanted):
+    seeds = item_seeds(items)
+    if not seeds:
         return docs.sparkSession.createDataFrame([], "doc_id long, text_key long, item_id long, score double")
-    seeds = rare_seeds(items, document_counts(docs, wanted))
     keys = np.array(sorted(seeds), dtype=np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast((items, seeds, keys))
 
@@ -141,16 +147,25 @@ def _found(docs: DataFrame, items: list) -> DataFrame:
         for batch in batches:
             texts = [plain(t) for t in batch.column("text").to_pylist()]
             ids, text_keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
-            out = []
+            held, best = [], defaultdict(int)  # (document, item, passage) to align; best score of (document, item)
+
+            def settle(held=held, best=best):
+                scores = align_all([(own_items[k][1], passage) for _, k, passage in held]).tolist()
+                for (d, k, _), score in zip(held, scores, strict=True):
+                    best[d, k] = max(best[d, k], score)
+                held.clear()
+
             for d, words, place, g in _hits(texts, own_keys):
                 by_item = defaultdict(list)
                 for p, x in zip(place.tolist(), g.tolist(), strict=True):
                     for k, at in own_seeds[x]:
                         by_item[k].append((p, at))
                 for k, places in by_item.items():
-                    item_id, item = own_items[k]
-                    score = max(align(item, words[a:b]) for a, b in passages(places, len(item), len(words)))
-                    out.append((ids[d], text_keys[d], item_id, score / len(item)))
+                    held += [(d, k, words[a:b]) for a, b in passages(places, len(own_items[k][1]), len(words))]
+                    if len(held) >= HELD_PAIRS:
+                        settle()
+            settle()
+            out = [(ids[d], text_keys[d], own_items[k][0], score / len(own_items[k][1])) for (d, k), score in best.items()]
             cols = list(zip(*out, strict=True)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "text_key", "item_id", "score"])

@@ -22,6 +22,13 @@ def test_align_equals_brute_force():
         assert decontaminate.align(np.array(a, np.uint64), np.array(b, np.uint64)) == brute(a, b)
 
 
+def test_many_alignments_equal_single_ones(monkeypatch):
+    rnd = random.Random(3)
+    monkeypatch.setattr(decontaminate, "CELLS", 60)
+    pairs = [tuple(np.array([rnd.randrange(5) for _ in range(rnd.randrange(14))], np.uint64) for _ in "ab") for _ in range(300)]
+    assert decontaminate.align_all(pairs).tolist() == [decontaminate.align(*p) for p in pairs]
+
+
 def corpus():
     rnd = random.Random(2)
     words = [f"w{i}" for i in range(900)]
@@ -67,6 +74,17 @@ def test_a_passage_in_most_documents_is_still_found(spark, make_docs, monkeypatc
     assert {r["doc_id"] for r in got if r["contaminated"]} == set(range(200))
 
 
+def test_one_edited_copy_in_many_documents(spark, make_docs):
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(40))) for k in range(3)]
+    edited = [" ".join(w if j % 5 else f"new{j}" for j, w in enumerate(t.split())) for _, t in items]
+    rows = [(i, f"start {i} {edited[0]} end {i}") for i in range(5)] + [(i, f"start {i} {edited[1]} end {i}") for i in range(5, 1005)]
+    rows += [(i, f"start {i} {edited[2]} end {i}") for i in range(1005, 1105)] + [(1105, items[2][1])]  # and one whole copy
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(make_docs([*rows, (2000, "clean")]), bench).collect()
+    want = {(i, 0 if i < 5 else 1 if i < 1005 else 2) for i, _ in rows}
+    assert {(r["doc_id"], r["item_id"]) for r in got if r["contaminated"]} == want
+
+
 def test_odd_rows(spark, make_docs):
     _, items, _ = corpus()
     rows = [(1, None), (2, ""), (None, items[0][1]), (3, items[0][1]), (3, items[0][1]), (3, "clean"), (4, (items[2][1] + " ") * 300)]
