@@ -32,6 +32,7 @@ from almacen.llm.textkit import blocks, grams, mix, word_hashes
 REGISTERS, MANTISSA, BAND = 128, 10, 4
 BANDS = REGISTERS // BAND  # at a similarity of 0.8 a pair shares no band with a chance of (1 - 0.8**4)**32 = 5e-8
 MARGIN = 0.3  # pairs estimated this far below the threshold are not confirmed: over six standard errors
+ROW = ("doc_id", "text_a", "text_b", "row")  # a row's id, two hashes of its text, and its own number
 _ORDER = np.stack([np.random.Generator(np.random.PCG64(i)).permutation(REGISTERS) for i in range(REGISTERS)])
 _ORDER = np.stack([np.concatenate([[i], row[row != i]]) for i, row in enumerate(_ORDER)])
 # chance that two unequal minima give equal registers: both in one octave (about 1/3), equal mantissa
@@ -90,7 +91,7 @@ def _sketches(size: int):
             bands = [mix(r.view(np.uint64) + mix(np.arange(1, BANDS + 1, dtype=np.uint64))).view(np.int64) for r in regs]
             yield pa.record_batch(
                 {
-                    "doc_id": batch.column("doc_id"),
+                    **{c: batch.column(c) for c in ROW},
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "set_key": pa.array(key, pa.binary()),
                     "regs": pa.array([r.tobytes() for r in regs], pa.binary()),
@@ -230,26 +231,25 @@ def _across(left: DataFrame, percent: int) -> DataFrame:
     return x.join(y, met).select(*_pairs("x.rep", "y.rep")).distinct()
 
 
-def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text and two hashes of the text: id and hashes name a row (or rows of equal fate) in every reading of ``docs``."""
+    return id_text(docs).withColumns({"text_a": F.xxhash64("text"), "text_b": F.xxhash64(F.lit(1), "text")})
 
-    Two documents are linked when 100 * |A and B| >= percent * |A or B| for their
-    sets of ``shingle``-word shingles (A-Z in lower case; shorter texts: all words
-    as one). component_id is the least doc_id reached over links, kept whether it
-    is the row's own. Null and empty texts, and texts of white space, have no
-    shingles and no links. Rows that repeat a doc_id are one document each, with
-    the same id; null ids have a component only with themselves or the least
-    other id linked to them. Other columns are not read. No rows, no rows.
-    """
+
+def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The rows of ``docs`` by ``ROW``, with n_shingles, comp (null without shingles), component_id and kept."""
     spark = docs.sparkSession
     prepare(spark)
-    src = id_text(docs)
-    made = src.mapInArrow(_sketches(shingle), "doc_id long, n_shingles long, set_key binary, regs binary, bands array<long>")
-    made = materialize(made, "sketches")
-    # documents with equal sets are one class, named by its least id
-    some = made.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = some.groupBy("set_key", "n_shingles", "regs", "bands").agg(F.min("doc_id").alias("rep"))
-    classes = materialize(classes, "classes")
+    src = _rows(docs)
+    made = src.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        _sketches(shingle),
+        "doc_id long, text_a long, text_b long, row long, n_shingles long, set_key binary, regs binary, bands array<long>",
+    )
+    made = materialize(made, "sketches")  # the rows' numbers are written once, here
+    # documents with equal sets are one class, numbered; it knows its least id and its first row
+    classes = made.where("n_shingles > 0").groupBy("set_key", "n_shingles", "regs", "bands")
+    classes = classes.agg(F.min("doc_id").alias("least"), F.min("row").alias("first"))
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     rows = classes.select("rep", F.explode("bands").alias("band"))
     buckets = rows.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
@@ -257,8 +257,10 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     near = shared.select(F.explode(F.array("lo", "hi")).alias("y"), F.col("rep").alias("x")).where("x <> y")
     pairs = near.select(*_pairs("x", "y")).distinct()
 
-    nodes = shared.select("rep").distinct()
-    texts = src.join(nodes.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
+    nodes = classes.select("rep", F.col("first").alias("row")).join(shared.select("rep").distinct(), "rep", "left_semi")
+    nodes = made.select(*ROW).join(nodes, "row").drop("row").alias("n")
+    same = F.expr("s.doc_id <=> n.doc_id AND s.text_a = n.text_a AND s.text_b = n.text_b")
+    texts = src.alias("s").join(nodes, same).select("rep", "text")
     members = materialize(texts.mapInArrow(_sets(shingle), "rep long, members binary").dropDuplicates(["rep"]), "members")
 
     state = _Links(classes, members, percent)
@@ -271,18 +273,56 @@ def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
         state.settle(more)
 
     lab = state.labels.select(F.col("node").alias("rep"), "comp")
-    named = classes.select("set_key", "n_shingles", "rep").join(lab, "rep", "left")
-    named = named.select("set_key", "n_shingles", F.coalesce("comp", "rep").alias("comp"))
+    own = classes.select("set_key", "n_shingles", "rep", "least", "first")
+    ends = own.join(lab, "rep").groupBy("comp").agg(F.min("least").alias("c_least"), F.min("first").alias("c_first"))
+    named = own.join(lab.join(ends, "comp"), "rep", "left").select(
+        "set_key",
+        "n_shingles",
+        F.coalesce("comp", "rep").alias("comp"),
+        F.when(F.col("comp").isNull(), F.col("least")).otherwise(F.col("c_least")).alias("least"),
+        F.coalesce("c_first", "first").alias("first"),
+    )
     # the class size is implied by the key; as a join key it gives both sides an exchange that AQE can split
-    out = made.join(named, ["set_key", "n_shingles"], "left")
-    comp = F.when(F.col("n_shingles") > 0, F.coalesce("comp", "doc_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    out = made.select(*ROW, "n_shingles", "set_key").join(named, ["set_key", "n_shingles"], "left")
+    component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    nameless = F.col("comp").isNotNull() & F.col("least").isNull()
+    kept = F.when(nameless, F.col("row") == F.col("first")).otherwise(F.col("doc_id").eqNullSafe(component))
+    return out.select(*ROW, "n_shingles", "comp", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+
+    Two rows are linked when 100 * |A and B| >= percent * |A or B| for their
+    sets of ``shingle``-word shingles (A-Z in lower case; shorter texts: all words
+    as one). component_id is the least doc_id reached over links, kept whether it
+    is the row's own. Null and empty texts, and texts of white space, have no
+    shingles and no links. Rows that repeat a doc_id are one document each, linked by their
+    own texts; rows with null ids are linked like others, and of a component without
+    any id (component_id null) one row is kept. Other columns are not read. No rows, no rows.
+    """
+    return _grouped(docs, shingle, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the near copies: of each component the row with the least doc_id. All columns stay.
+    """``docs`` without the near copies: of each component one row, with the least doc_id. All columns stay.
 
-    Rows without an id are kept only where they stand alone.
+    A row without an id goes only if its own text is a near copy of a row that stays. Of rows with
+    equal ids and equal texts any one stays, rows without words all do.
     """
-    gone = near_groups(docs, shingle, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.alias("d").join(gone.alias("g"), F.expr("d.doc_id <=> g.doc_id"), "left_anti")
+    fate = materialize(_grouped(docs, shingle, percent).where("comp IS NOT NULL").select(*ROW, "comp", "kept"), "fate")
+    several = fate.where("kept").groupBy("comp").agg(F.min("row").alias("one"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    stays = F.col("kept") & F.coalesce(F.col("row") == F.col("one"), F.lit(True))
+    rows = fate.join(several.drop("n"), "comp", "left").withColumn("stays", stays)
+    keys = rows.groupBy("doc_id", "text_a", "text_b").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n"))
+    listed = materialize(keys.where("NOT stays OR n > 1"), "gone")
+
+    text = F.coalesce("text", F.lit(""))
+    own = {"_near_id": F.col("doc_id").cast("long"), "_near_a": F.xxhash64(text), "_near_b": F.xxhash64(F.lit(1), text)}
+    marked = docs.withColumns(own).alias("d")
+    same = F.expr("d._near_id <=> g.doc_id AND d._near_a = g.text_a AND d._near_b = g.text_b")
+    out = marked.join(listed.alias("g"), same, "left_anti")
+    twice = listed.where("stays")
+    if not twice.isEmpty():  # one of each
+        out = out.unionByName(marked.join(twice.alias("g"), same, "left_semi").dropDuplicates(list(own)))
+    return out.drop(*own)

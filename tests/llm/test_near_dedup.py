@@ -74,6 +74,25 @@ def test_repeated_rows_nulls_and_empty(make_docs):
     assert {r["doc_id"] for r in near_dedup.keep_one(make_docs(rows), 4).collect()} == {1, None}
 
 
+def test_rows_without_ids_and_ids_with_two_texts(make_docs):
+    text = lambda name, n=30: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(1, text("a")), (None, text("a").upper()), (None, text("b")), (2, text("c")), (3, text("c") + " x"), (3, text("d"))]
+    rows += [(None, text("e")), (None, text("e") + " y"), (None, text("f")), (None, text("f")), (None, None), (None, "")]
+    rows += [(None, text("b") + " z " + text("q", 90)), (4, text("g")), (4, text("h")), (5, text("h") + " x")]
+    docs = make_docs(rows)
+    got = near_dedup.near_groups(docs, shingle=4).collect()
+    count = lambda i, comp, kept: sum((r["doc_id"], r["component_id"], r["kept"]) == (i, comp, kept) for r in got)
+    assert len(got) == len(rows)
+    assert count(None, 1, False) == 1 and count(None, None, False) == 2 and count(None, None, True) == 6
+    assert count(3, 2, False) == 1 and count(3, 3, True) == 1 and count(4, 4, True) == 2 and count(5, 4, False) == 1
+    left = near_dedup.keep_one(docs, shingle=4)
+    assert left.columns == docs.columns
+    left = [(r["doc_id"], r["text"]) for r in left.collect()]
+    e = [x for x in left if x[1] and x[1].startswith("e0")]
+    want = [x for x in rows if x not in (rows[1], rows[4], rows[6], rows[7], rows[9], rows[15])] + [rows[9]]
+    assert len(e) == 1 and sorted((x for x in left if x not in e), key=str) == sorted(want, key=str)
+
+
 def test_estimate_is_close():
     rnd = np.random.Generator(np.random.PCG64(5))
     for size in (5, 60, 3000):
