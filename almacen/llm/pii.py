@@ -9,7 +9,7 @@ values, the corpus says how much it tells about a value. With p(v) the
 share of contexts of protected values that hold v, and p(v | t) the share of
 all occurrences of t that are next to v, the disclosure of v by t is
 log2(p(v | t) / p(v)) bits. A term that singles a value out, in enough different contexts
-(in edited copies of one passage the other neighbours recur as well: those don't count),
+(in edited copies of one passage most of the surroundings recur, not only a name's other words: those don't count),
 is a span of kind "term" wherever it stands, and is generalised with the rest.
 """
 
@@ -30,8 +30,9 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")  # in the order of equal starts
 
 WINDOW = 3  # terms on either side of a value
+WIDE = 12  # words on either side by which contexts differ
 MIN_CONTEXTS = 3  # different contexts in which a term is next to a value
-MAX_COMPANY = 0.5  # of these contexts that any one other term may share, else they are copies of a passage
+MAX_COMPANY = 0.5  # of these contexts, from which on another term is company; of the terms around, that may be company, else they are copies of a passage
 MIN_SHARE = 0.8  # of the term's occurrences that are next to the value
 MIN_BITS = 3.0  # disclosed about the value
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
@@ -113,22 +114,26 @@ def term_of(word: Column) -> Column:
 
 
 def contexts(marked: DataFrame) -> DataFrame:
-    """(value, context, terms, term): the terms within WINDOW words of each protected value, one context per distinct surrounding.
+    """(value, context, n, terms, term): the terms within WINDOW words of each protected value, one context per distinct wide surrounding.
 
-    Copies of a passage are one context, so that repeated documents give no evidence.
+    n is how often the context occurs in distinct texts. Copies of a passage are one context, so that repeated documents give no evidence.
     """
     spans = marked.select("text", F.explode("base").alias("s"))
     left = F.expr("substring(text, 1, s.start)")
     right = F.expr("substring(text, s.end + 1)")
     near = spans.select(
         F.concat(F.col("s.kind"), F.lit(":"), F.lower("s.value")).alias("value"),
-        F.slice(F.reverse(words(left)), F.lit(1), F.lit(WINDOW)).alias("l"),
-        F.slice(words(right), F.lit(1), F.lit(WINDOW)).alias("r"),
+        F.xxhash64("text").alias("text_key"),
+        F.col("s.start").alias("start"),
+        F.slice(F.reverse(words(left)), F.lit(1), F.lit(WIDE)).alias("l"),
+        F.slice(words(right), F.lit(1), F.lit(WIDE)).alias("r"),
     )
-    near = near.select("value", F.transform(F.concat("l", "r"), term_of).alias("terms"), F.to_json(F.struct("l", "r")).alias("c"))
-    near = near.select("value", "terms", F.sha2("c", 256).alias("context")).dropDuplicates(["value", "context"])
-    near = near.select("value", "context", F.array_distinct(F.filter("terms", lambda t: t != "")).alias("terms"))
-    return near.select("value", "context", "terms", F.explode("terms").alias("term"))
+    close = F.concat(F.slice("l", F.lit(1), F.lit(WINDOW)), F.slice("r", F.lit(1), F.lit(WINDOW)))
+    near = near.select("value", "text_key", "start", F.transform(close, term_of).alias("terms"), F.to_json(F.struct("l", "r")).alias("c"))
+    near = near.withColumn("context", F.sha2("c", 256)).drop("c").dropDuplicates(["value", "context", "text_key", "start"])
+    near = near.groupBy("value", "context").agg(F.count(F.lit(1)).alias("n"), F.first("terms").alias("terms"))
+    near = near.select("value", "context", "n", F.array_distinct(F.filter("terms", lambda t: t != "")).alias("terms"))
+    return near.select("value", "context", "n", "terms", F.explode("terms").alias("term"))
 
 
 def disclosing_terms(docs: DataFrame, near: DataFrame) -> DataFrame:
@@ -138,15 +143,18 @@ def disclosing_terms(docs: DataFrame, near: DataFrame) -> DataFrame:
     """
     total = near.agg(F.count_distinct("value", "context").alias("all_contexts"))
     of_value = near.groupBy("value").agg(F.count_distinct("context").alias("value_contexts"))
-    pairs = near.groupBy("term", "value").agg(F.count_distinct("context").alias("both")).where(F.col("both") >= MIN_CONTEXTS)
+    pairs = near.groupBy("term", "value").agg(F.count(F.lit(1)).alias("both"), F.sum("n").alias("beside"))
+    pairs = pairs.where(F.col("both") >= MIN_CONTEXTS)
     others = near.select("term", "value", F.explode("terms").alias("other")).where("other <> term")
-    company = others.groupBy("term", "value", "other").count().groupBy("term", "value").agg(F.max("count").alias("company"))
-    pairs = pairs.join(company, ["term", "value"], "left").where(F.coalesce("company", F.lit(0)) <= MAX_COMPANY * F.col("both"))
+    company = others.groupBy("term", "value", "other").count().join(pairs.select("term", "value", "both"), ["term", "value"])
+    recurring = F.when(F.col("count") > MAX_COMPANY * F.col("both"), F.col("count")).otherwise(0)
+    company = company.groupBy("term", "value").agg((F.sum(recurring) / F.sum("count")).alias("company"))
+    pairs = pairs.join(company, ["term", "value"], "left").where(F.coalesce("company", F.lit(0.0)) <= MAX_COMPANY)
     # every word of the corpus is counted, partially before the shuffle, per distinct text
     said = docs.select("text").distinct().select(F.explode(words(F.col("text"))).alias("word")).groupBy("word").count()
     said = said.select(term_of(F.col("word")).alias("term"), "count").groupBy("term").agg(F.sum("count").alias("term_count"))
     told = pairs.join(of_value, "value").join(said, "term").crossJoin(F.broadcast(total))  # total is one row
-    share = F.least(F.lit(1.0), F.col("both") / F.col("term_count"))
+    share = F.least(F.lit(1.0), F.col("beside") / F.col("term_count"))
     bits = F.log2(share / (F.col("value_contexts") / F.col("all_contexts")))
     told = told.select("term", "value", share.alias("share"), bits.alias("bits"))
     return told.where((F.col("share") >= MIN_SHARE) & (F.col("bits") >= MIN_BITS))

@@ -73,6 +73,17 @@ def test_disclosing_terms(make_docs):
     assert got[len(rows) - 1]["clean"] == rows[-1]
 
 
+def test_a_name_of_two_words_and_a_signature(make_docs):
+    filler = ["".join(x) for x in itertools.product("bdfg", "aeiou", "lmnr", "aeo")]
+    rnd = random.Random(2)
+    some = lambda n: " ".join(rnd.choice(filler) for _ in range(n))
+    rows = [f"{some(8)} Ana Lopez, ana@corp.example.com {some(8)}" for _ in range(12)]
+    rows += [f"{some(30)} Yours Zbigniew, zb@corp.example.com {some(3)}. {some(12)}" for _ in range(6)]
+    rows += [f"{some(8)} m{k}@corp.example.com {some(9)} 10.0.0.{k}" for k in range(40)]
+    got = [r["spans"] for r in pii.detect(make_docs(rows)).collect()]
+    assert {s["value"].lower() for spans in got for s in spans if s["kind"] == "term"} >= {"ana", "lopez", "yours", "zbigniew"}
+
+
 def test_empty_and_native(make_docs):
     found = pii.detect(make_docs([]))
     assert found.count() == 0
