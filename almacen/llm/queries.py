@@ -16,6 +16,7 @@ from almacen.llm import (
     filter_audit,
     html_text,
     near_dedup,
+    ngram_lm,
     pii,
     quality_crf,
     substring_dedup,
@@ -90,6 +91,14 @@ def op11_bitplane_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane_kmeans.digest(*bitplane_kmeans.clusters(table(spark, sf_dir, "embeddings")))
 
 
+def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text under the model of the texts that are not held out."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    corpus = ngram_lm.read_corpus(table(spark, sf_dir, "documents"), ~held_out)
+    scored = ngram_lm.score(corpus, ngram_lm.fit(corpus))
+    return scored.select("doc_id", held_out.alias("held_out"), *[c for c in scored.columns if c != "doc_id"])
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     masks = filter_audit.document_masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return filter_audit.audit(materialize(masks, "masks"))
