@@ -230,6 +230,10 @@ class Corpus:
     folder: str
     order: int
 
+    def spread(self) -> DataFrame:
+        """The manifest dealt out: its rows are few and small, the work behind each is not."""
+        return self.blocks.repartition(shuffle_partitions(self.blocks.sparkSession), "block")
+
 
 def read_corpus(docs: DataFrame, train: Column | None = None, order: int = ORDER, limit: int = BLOCK) -> Corpus:
     """The blocks of ``docs`` (doc_id, text), written to the shared folder.
@@ -447,7 +451,7 @@ def fit(corpus: Corpus) -> Model:
     """The model of the training texts of ``corpus``, written to the shared folder. Nothing is pruned."""
     spark = corpus.blocks.sparkSession
     shards, folder, order = shuffle_partitions(spark), scratch_path(spark, "ngram-model"), corpus.order
-    sent, files, per_level = corpus.blocks.mapInArrow(_count(corpus, shards), MESSAGE), None, []
+    sent, files, per_level = corpus.spread().mapInArrow(_count(corpus, shards), MESSAGE), None, []
     for level in range(order, 0, -1):
         merged = materialize(sent.groupBy("shard").applyInArrow(_merge(level, folder), MERGED), f"level{level}")
         own = merged.where("path IS NOT NULL").select("level", "shard", "path")
@@ -546,7 +550,7 @@ def score(corpus: Corpus, model: Model) -> DataFrame:
     An empty or null text is one end. Rows that repeat an id are texts of their own; null ids stay null. A model of no
     texts gives every token the probability 1 / (V + 1) = 1. No rows, no rows.
     """
-    asked = corpus.blocks.mapInArrow(_ask(corpus, model.shards), MESSAGE).select("level", "shard", "block", "hashes")
+    asked = corpus.spread().mapInArrow(_ask(corpus, model.shards), MESSAGE).select("level", "shard", "block", "hashes")
     files = model.files.groupBy("level", "shard")
     told = asked.groupBy("level", "shard").cogroup(files).applyInArrow(_answer(model.folder), "level int, shard int, block long, cols array<binary>")
     numbers = (model.discounts, model.seen, model.tokens, model.words)

@@ -107,7 +107,7 @@ def test_probabilities_of_all_words_add_up(spark):
 
 def test_long_texts_lie_in_several_blocks(spark, monkeypatch):
     text = prose(4, 1)[0] + " "
-    docs = [(1, text * 3000 + "end"), (2, text), (3, "x" * 2_000_000)]
+    docs = [(1, text * (2_500_000 // len(text)) + "end"), (2, text), (3, "x" * 2_000_000)]
     whole = corpus_of(spark, docs, 3)
     cut = corpus_of(spark, docs, 3, 20_000)
     assert cut.blocks.count() > whole.blocks.count()
