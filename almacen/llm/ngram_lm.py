@@ -14,7 +14,9 @@ how many n-grams occur once, twice and more often). So no context, however commo
 
 Scoring asks the other way round: the distinct hashes of a block go to the shards, where
 a worker maps the file and searches the sorted array; the counts go back, and the
-block works out the probabilities. A hot n-gram is one hash in each block.
+block works out the probabilities. A hot n-gram is one hash in each block. A block that the model was
+counted from has been told the counts of its own longest n-grams already and asks only for those
+of texts that are held out.
 """
 
 from __future__ import annotations
@@ -292,6 +294,10 @@ class _Grams:
             self.levels.append(_Level(h, at, context, below.at[valid[first]]))
             self.begins.append(self.begins[-1][context])
 
+    def learnt(self) -> np.ndarray:
+        """How often each of the longest n-grams occurs in training texts."""
+        return np.bincount(self.levels[-1].at[self.train], minlength=len(self.levels[-1].hash))
+
 
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     """Shard of each hash: equal ranges, ascending with the hash."""
@@ -340,9 +346,8 @@ def _count(corpus: Corpus, shards: int):
         for batch in batches:
             for block, path in zip(batch.column("block").to_pylist(), batch.column("path").to_pylist(), strict=True):
                 g = _Grams(read_block(folder, path), order)
-                top = g.levels[-1]
-                n = np.bincount(top.at[g.train], minlength=len(top.hash))
-                yield _messages(order, block, top.hash, [n], shards, np.flatnonzero(n))
+                n = g.learnt()
+                yield _messages(order, block, g.levels[-1].hash, [n], shards, np.flatnonzero(n))
 
     folder, order = corpus.folder, corpus.order
     return run
@@ -394,10 +399,7 @@ def _contributions(level: int, corpus: Corpus, shards: int):
         number, path = block.column("block")[0].as_py(), block.column("path")[0].as_py()
         g = _Grams(read_block(folder, path), order)
         above, below = g.levels[level], g.levels[level - 1]
-        if level + 1 == order:  # only the n-grams of training texts were sent
-            select = np.flatnonzero(np.bincount(above.at[g.train], minlength=len(above.hash)))
-        else:
-            select = None
+        select = np.flatnonzero(g.learnt()) if level + 1 == order else None  # only those of training texts were sent
         (answer,) = _answers(told, level + 1, above.hash, 1, select)
         k = answer // 2
         own = np.flatnonzero((answer % 2 == 1) & (k > 0))
@@ -435,6 +437,8 @@ class Model:
     seen: tuple  # unigrams with continuation counts 1, 2 and more, and the sum of these counts
     tokens: int  # N
     words: int  # V
+    source: str  # folder of the corpus it was counted from
+    told: DataFrame | None  # what its shards told the blocks of that corpus about their longest n-grams
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -451,32 +455,34 @@ def fit(corpus: Corpus) -> Model:
     """The model of the training texts of ``corpus``, written to the shared folder. Nothing is pruned."""
     spark = corpus.blocks.sparkSession
     shards, folder, order = shuffle_partitions(spark), scratch_path(spark, "ngram-model"), corpus.order
-    sent, files, per_level = corpus.spread().mapInArrow(_count(corpus, shards), MESSAGE), None, []
+    sent, files, per_level, longest = corpus.spread().mapInArrow(_count(corpus, shards), MESSAGE), None, [], None
     for level in range(order, 0, -1):
         merged = materialize(sent.groupBy("shard").applyInArrow(_merge(level, folder), MERGED), f"level{level}")
         own = merged.where("path IS NOT NULL").select("level", "shard", "path")
         files = own if files is None else files.unionByName(own)
         sums = merged.where("path IS NOT NULL").agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(STATS)]).first()
         per_level.append([int(x or 0) for x in sums])
+        told = merged.where("block IS NOT NULL").select("level", "shard", "block", "cols")
+        longest = told if level == order else longest
         if level > 1:
-            told = merged.where("block IS NOT NULL").select("block", "level", "shard", "cols").groupBy("block")
-            sent = corpus.blocks.groupBy("block").cogroup(told).applyInArrow(_contributions(level - 1, corpus, shards), MESSAGE)
+            sent = corpus.blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_contributions(level - 1, corpus, shards), MESSAGE)
     per_level.reverse()
     n1, n2, _, _, seen, total, tokens, words = per_level[0]
-    return Model(
-        files, folder, order, shards, tuple(discounts(*s[:4]) for s in per_level), (n1, n2, seen - n1 - n2, total), tokens, words
-    )
+    cut = tuple(discounts(*s[:4]) for s in per_level)
+    return Model(files, folder, order, shards, cut, (n1, n2, seen - n1 - n2, total), tokens, words, corpus.folder, longest)
 
 
 # scoring
 
 
-def _ask(corpus: Corpus, shards: int):
+def _ask(corpus: Corpus, shards: int, told: bool):
     def run(batches):
         for batch in batches:
             for block, path in zip(batch.column("block").to_pylist(), batch.column("path").to_pylist(), strict=True):
-                for n, level in enumerate(_Grams(read_block(folder, path), order).levels, 1):
-                    yield _messages(n, block, level.hash, [], shards)
+                g = _Grams(read_block(folder, path), order)
+                for n, level in enumerate(g.levels, 1):
+                    select = np.flatnonzero(g.learnt() == 0) if told and n == order else None
+                    yield _messages(n, block, level.hash, [], shards, select)
 
     folder, order = corpus.folder, corpus.order
     return run
@@ -499,14 +505,23 @@ def _answer(folder: str):
     return run
 
 
-def _block_scores(corpus: Corpus, model: tuple):
+def _block_scores(corpus: Corpus, model: tuple, known_before: bool):
+    def counts(g: _Grams, told: pa.Table, n: int) -> list[np.ndarray]:
+        h = g.levels[n - 1].hash
+        if n < order or not known_before:
+            return _answers(told, n, h, 6 if n < order else 1)
+        learnt = g.learnt()
+        (own,) = _answers(told, -order, h, 1, np.flatnonzero(learnt))
+        (asked,) = _answers(told, order, h, 1, np.flatnonzero(learnt == 0))
+        return [own // 2 + asked]
+
     def run(block: pa.Table, told: pa.Table) -> pa.Table:
         data = read_block(folder, block.column("path")[0].as_py())
         g = _Grams(data, order)
         p, known = None, None
         for n, level in enumerate(g.levels, 1):
             d1, d2, d3 = discount[n - 1]
-            cols = _answers(told, n, level.hash, 6 if n < order else 1)
+            cols = counts(g, told, n)
             k = cols[0]
             mass = np.maximum(k - np.select([k == 0, k == 1, k == 2], [0, d1, d2], d3), 0)
             if n == 1:
@@ -550,12 +565,16 @@ def score(corpus: Corpus, model: Model) -> DataFrame:
     An empty or null text is one end. Rows that repeat an id are texts of their own; null ids stay null. A model of no
     texts gives every token the probability 1 / (V + 1) = 1. No rows, no rows.
     """
-    asked = corpus.spread().mapInArrow(_ask(corpus, model.shards), MESSAGE).select("level", "shard", "block", "hashes")
+    known = model.source == corpus.folder
+    asked = corpus.spread().mapInArrow(_ask(corpus, model.shards, known), MESSAGE).select("level", "shard", "block", "hashes")
     files = model.files.groupBy("level", "shard")
     told = asked.groupBy("level", "shard").cogroup(files).applyInArrow(_answer(model.folder), "level int, shard int, block long, cols array<binary>")
     numbers = (model.discounts, model.seen, model.tokens, model.words)
-    parts = corpus.blocks.groupBy("block").cogroup(materialize(told, "answers").groupBy("block")).applyInArrow(
-        _block_scores(corpus, numbers), "row long, doc_id long, n_tokens long, n_known long, base_score double, score double"
+    told = materialize(told, "answers")
+    if known:
+        told = told.unionByName(model.told.withColumn("level", F.lit(-model.order)))
+    parts = corpus.blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        _block_scores(corpus, numbers, known), "row long, doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
     sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
     rows = parts.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *sums)

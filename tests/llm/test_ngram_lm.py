@@ -90,6 +90,8 @@ def test_against_a_plain_model(spark, order):
     want = sorted((i is not None, i or 0, round(plain.score(t), 6), len(tokens(t)), sum(plain.c[w] > 0 for w in tokens(t)), round(plain.base(t), 6))
                   for i, t in docs)
     assert got == want
+    again = corpus_of(spark, docs, order, 300, train)  # the same texts, but not the blocks that the model was counted from
+    assert sorted(round(r["score"], 6) for r in lm.score(again, model).collect()) == sorted(x[2] for x in want)
 
 
 def test_probabilities_of_all_words_add_up(spark):
