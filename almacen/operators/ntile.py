@@ -1,67 +1,33 @@
 """Exact ``ntile`` over a global order, computed on all executors.
 
 ``F.ntile(k).over(Window.orderBy(v))`` moves every row into one task. Here the
-order is cut into buckets that are contiguous ranges of it, each bucket is
-numbered on its own, and a small histogram turns bucket-local row numbers into
-global ones:
-
-1. cut points: ``percentile_approx`` of the order value and of the tie key
-   (one-row frame, broadcast);
-2. bucket of a row: how many value cuts are <= the value (a two-level block
-   count in codegen'd column expressions, about 2 sqrt(cuts) comparisons). A value that fills two or
-   more quantiles (heavy tie) is split further by a key slot, the number of
-   tie-key cuts <= the key; the slot is monotone in the key, so the order
-   (bucket, value, key) is the order (value, key) and the result stays exact;
-3. bucket sizes (at most (cuts + 2) x (slots + 3) rows), running offsets over
-   that tiny table, broadcast back;
-4. ``rn = offset + row_number() over (partition by bucket order by value, key)``;
+rows are dealt out by ranges of the order and sorted within them, which is a distributed sort:
+
+1. ``repartitionByRange`` by (value, tie key), ``sortWithinPartitions``. The ranges come
+   from a bounded sample and are only more or less even; a value that very many rows share is
+   split by its tie keys;
+2. ``monotonically_increasing_id`` of the sorted rows is the partition (upper bits) and the
+   place in it (lower 33 bits), so the position costs no window. The frame is written
+   (a reliable checkpoint), as ranges drawn again would not be the same;
+3. rows per partition and their running sums: one row a partition, broadcast back;
+4. ``rn = rows before the partition + place + 1``;
 5. with ``q = n div k``, ``r = n mod k``: the first ``r`` tiles hold ``q + 1`` rows.
 
-Approximate cut points only change how even the buckets are, never the result.
-Ties in the value are ordered by the tie key ascending, nulls first; null
-values come first for an ascending order and last for a descending one
-(Spark's defaults).
+What is carried by a row or broadcast does not depend on the number of tiles, and grows only as
+the number of partitions: one row each. Ties in the value are ordered by the tie
+key ascending, nulls first; null values come first for an ascending order and last for a
+descending one (Spark's defaults).
 """
 
 from __future__ import annotations
 
-import math
-import operator
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from almacen.functions.columns import whole_div
+from almacen.session import reliable_checkpoint
 
-
-def _count_at_most(df: DataFrame, searches: list[tuple[str, Column, str]], length: int) -> DataFrame:
-    """For each ``(cuts, value, out)``: ``out`` = number of elements of the sorted
-    array ``cuts`` (at most ``length`` long) that are <= value.
-
-    Two levels of independent comparisons instead of a chained binary search:
-    with blocks of ``b = ceil(sqrt(length))`` elements, the first level counts
-    whole blocks whose last element is <= value, the second counts elements of
-    the next block. About ``2 * sqrt(length)`` codegen'd comparisons per row and
-    an expression depth of two, which keeps plan analysis linear.
-    """
-    block = max(1, math.isqrt(max(length, 1) - 1) + 1)
-    whole = max(length, 1) // block
-
-    def le(cuts: str, idx, value: Column) -> Column:
-        return F.coalesce(F.get(F.col(cuts), idx) <= value, F.lit(False)).cast("int")
-
-    coarse = {
-        f"{out}_blk": reduce(operator.add, [le(cuts, j * block - 1, v) for j in range(1, whole + 1)], F.lit(0))
-        for cuts, v, out in searches
-    }
-    df = df.withColumns(coarse)
-    fine = {}
-    for cuts, v, out in searches:
-        base = F.col(f"{out}_blk") * block
-        fine[out] = base + reduce(operator.add, [le(cuts, base + i, v) for i in range(block)], F.lit(0))
-    return df.withColumns(fine).drop(*[f"{out}_blk" for _, _, out in searches])
+PLACE_BITS = 33  # of monotonically_increasing_id: the row's place in its partition
 
 
 def exact_div(a: Column, b: Column) -> Column:
@@ -80,105 +46,59 @@ def tile_of(rn: Column, n: Column, k: int) -> Column:
     return F.when(rn <= big, first).otherwise(second).cast("int")
 
 
+def sort_order(order_col: str, ascending: bool, tie_key: str) -> list[Column]:
+    v = F.col(order_col)
+    return [v.asc_nulls_first() if ascending else v.desc_nulls_last(), F.col(tie_key).asc_nulls_first()]
+
+
+def positions(df: DataFrame, order: list[Column], partitions: int, materialize=None) -> DataFrame:
+    """``df`` plus ``_rn``, the 1-based position in the global ``order``, and ``_n``, the number of rows.
+
+    ``materialize`` (default: a reliable checkpoint) fixes the sorted ranges; both readings
+    of the result, counts and rows, must see the same ones.
+    """
+    ranged = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    placed = (materialize or reliable_checkpoint)(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", PLACE_BITS)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_part", before.alias("_off"), F.sum("_c").over(Window.partitionBy()).alias("_n"))
+    out = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")  # at most ``partitions`` rows
+    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return out.withColumn("_rn", F.col("_off") + place + 1).select(*[F.col(c) for c in df.columns], "_rn", "_n")
+
+
 def ntiles_exact(
     df: DataFrame,
     k: int,
     specs: list[tuple[str, bool, str]],
     tie_key: str,
-    value_cuts: int | None = None,
-    key_slots: int | None = None,
-    accuracy: int = 10000,
+    partitions: int | None = None,
     materialize=None,
 ) -> DataFrame:
     """``df`` plus one ntile(k) column per ``(order_col, ascending, out)`` spec.
 
-    Each tile is over (order by order_col [asc|desc], tie_key asc nulls first).
-    All cut points come from one aggregate and all bucket keys from one
-    projection; ``materialize`` (e.g. a reliable checkpoint) may cut the lineage
-    of that keyed frame, which is read once for the histograms and once per numbering.
-    The default numbers of cuts and slots follow the session's shuffle partitions (two
-    value buckets for each), so a larger cluster numbers in more tasks.
-    ``order_col`` and ``tie_key`` must be numeric or date columns; ``tie_key``
-    should be unique for a fully defined result.
+    Each tile is over (order by order_col [asc|desc], tie_key asc nulls first). ``df`` is
+    written once by ``materialize`` (default: a reliable checkpoint), as the ranges are drawn from a
+    reading of their own, and so is each sorted form of it. ``partitions`` defaults to
+    the session's shuffle partitions. ``tie_key`` should be unique for a fully defined result.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    value_cuts, key_slots = value_cuts or max(16, 2 * partitions), key_slots or max(8, partitions)
-    t = F.col(tie_key)
-    fv = [i / value_cuts for i in range(1, value_cuts)]
-    ft = [i / key_slots for i in range(1, key_slots)]
-    aggs = [
-        F.coalesce(
-            F.percentile_approx(F.col(c), fv, accuracy), F.array().cast(T.ArrayType(df.schema[c].dataType))
-        ).alias(f"_cv{i}")
-        for i, (c, _, _) in enumerate(specs)
-    ]
-    aggs.append(
-        F.coalesce(F.percentile_approx(t, ft, accuracy), F.array().cast(T.ArrayType(df.schema[tie_key].dataType)))
-        .alias("_ct")
-    )
-    x = df.crossJoin(F.broadcast(df.agg(*aggs)))
-    searches = [(f"_cv{i}", F.col(c), f"_g{i}") for i, (c, _, _) in enumerate(specs)]
-    x = _count_at_most(x, [("_ct", t, "_ts")], len(ft))
-    x = _count_at_most(x, searches, len(fv))
-    slot = F.when(t.isNull(), F.lit(-1)).otherwise(F.col("_ts"))
-    keys, orders = [], []
-    for i, (c, ascending, _) in enumerate(specs):
-        v = F.col(c)
-        g, cv = F.col(f"_g{i}"), F.col(f"_cv{i}")
-        lower = F.get(cv, g - 1)
-        heavy = (g >= 2) & (v == lower) & (F.get(cv, g - 2) == lower)
-        if ascending:
-            primary = F.when(v.isNull(), F.lit(-1)).otherwise(g)
-            sub = F.when(v.isNull() | heavy, slot).otherwise(F.lit(key_slots + 1))
-            orders.append([v.asc_nulls_first(), t.asc_nulls_first()])
-        else:
-            primary = F.when(v.isNull(), F.lit(1)).otherwise(-g)
-            sub = F.when(v.isNull() | heavy, slot).otherwise(F.lit(-2))
-            orders.append([v.desc_nulls_last(), t.asc_nulls_first()])
-        keys += [primary.alias(f"_p{i}"), sub.alias(f"_s{i}")]
-    keyed = x.select(*[F.col(c) for c in df.columns], *keys)
-    if materialize is not None:
-        keyed = materialize(keyed)
-
-    # one histogram for all orders: (order, bucket) counts, partially aggregated, and their running sums
-    marks = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_p{i}").alias("p"), F.col(f"_s{i}").alias("s")) for i in range(len(specs))])
-    hist = keyed.select(F.explode(marks).alias("m")).groupBy("m.i", "m.p", "m.s").agg(F.count(F.lit(1)).alias("_c"))
-    running = Window.partitionBy("i").orderBy("p", "s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = hist.select(
-        "i", "p", "s", (F.sum("_c").over(running) - F.col("_c")).alias("_off"),
-        F.sum("_c").over(Window.partitionBy("i")).alias("_n"),
-    )
-    out = keyed
-    for i, (_, _, name) in enumerate(specs):
-        p, s = f"_p{i}", f"_s{i}"
-        offsets = placed.where(F.col("i") == i).select(F.col("p").alias(p), F.col("s").alias(s), "_off", "_n")
-        rn = F.col("_off") + F.row_number().over(Window.partitionBy(p, s).orderBy(*orders[i]))
-        out = (
-            out.join(F.broadcast(offsets), [p, s], "inner")
-            .withColumn("_rn", rn)
-            .withColumn(name, tile_of(F.col("_rn"), F.col("_n"), k))
-            .drop("_off", "_n", "_rn")
-        )
-    return out.select(*[F.col(c) for c in df.columns], *[F.col(name) for _, _, name in specs])
+    write = materialize or reliable_checkpoint
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = write(df)
+    for order_col, ascending, name in specs:
+        placed = positions(out, sort_order(order_col, ascending, tie_key), n, write)
+        out = placed.withColumn(name, tile_of(F.col("_rn"), F.col("_n"), k)).drop("_rn", "_n")
+    return out
 
 
 def ntile_exact(
-    df: DataFrame,
-    k: int,
-    order_col: str,
-    tie_key: str,
-    out: str,
-    ascending: bool = True,
-    value_cuts: int | None = None,
-    key_slots: int | None = None,
-    accuracy: int = 10000,
+    df: DataFrame, k: int, order_col: str, tie_key: str, out: str, ascending: bool = True, partitions: int | None = None
 ) -> DataFrame:
     """``df`` plus ``out`` = ntile(k) over (order by order_col [asc|desc], tie_key asc nulls first)."""
-    return ntiles_exact(df, k, [(order_col, ascending, out)], tie_key, value_cuts, key_slots, accuracy)
+    return ntiles_exact(df, k, [(order_col, ascending, out)], tie_key, partitions)
 
 
 def ntile_single_task(df: DataFrame, k: int, order_col: str, tie_key: str, out: str, ascending: bool = True):
     """Spark's own global-window ntile (one task); for tests and small inputs."""
-    v, t = F.col(order_col), F.col(tie_key)
-    order = [v.asc_nulls_first() if ascending else v.desc_nulls_last(), t.asc_nulls_first()]
-    return df.withColumn(out, F.ntile(k).over(Window.orderBy(*order)))
+    return df.withColumn(out, F.ntile(k).over(Window.orderBy(*sort_order(order_col, ascending, tie_key))))

@@ -78,10 +78,9 @@ def rfm_base(
 def rfm_scores(base: DataFrame, tiles: int = 5, tie_key: str = "id_miembro", materialize=None) -> DataFrame:
     """r (recency desc), f (frequency asc), m (monetary asc) tiles; ties by member id asc, null first.
 
-    The three tiles share one pass for cut points and bucket keys; the keyed
-    frame is read by the histograms and the numbering, so ``materialize`` (e.g.
-    ``reliable_checkpoint``, written to the shared ``spark.checkpoint.dir``)
-    computes it once and cuts its lineage.
+    Each tile is a sorted range exchange of the base (one row a member) numbered by
+    partition offsets; ``materialize`` (default: ``reliable_checkpoint``, written to the shared
+    ``spark.checkpoint.dir``) fixes the base and the sorted forms.
     """
     specs = [("recency_dias", False, "r_score"), ("frequency_trans", True, "f_score"), ("monetary_val", True, "m_score")]
     return ntiles_exact(base, tiles, specs, tie_key, materialize=materialize)

@@ -1,5 +1,7 @@
 """Plan-shape guards: the properties the design relies on at scale."""
 
+import re
+import time
 import uuid
 
 from almacen.queries import QUERIES
@@ -13,12 +15,25 @@ def test_no_python_udfs_in_any_query(spark):
         assert summary(build(spark, SF))["python_udfs"] == 0, name
 
 
-def test_rfm_tiles_never_number_all_rows_in_one_task(spark):
-    plan = QUERIES["rfm_scores"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line and "row_number()" in line]
-    assert len(windows) == 3
-    # "Window [exprs], [partition keys], [order]": each row_number is partitioned by its bucket keys
-    assert all(w.split("], [")[1].startswith("_p") for w in windows)
+def test_tiles_are_range_exchanges_at_20000_partitions(spark):
+    """The plan of the three tiles, nothing written: no cut arrays, no window over rows, one small row a partition broadcast."""
+    from almacen.plans.rfm import rfm_scores
+
+    base = spark.createDataFrame([(1, 2, 3, 4.5)], "id_miembro int, recency_dias int, frequency_trans long, monetary_val double")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20000")
+    try:
+        start = time.time()
+        plan = rfm_scores(base, materialize=lambda df: df)._jdf.queryExecution().executedPlan().toString()
+        took = time.time() - start
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    ranges = re.findall(r"rangepartitioning\((\w+)#\d+[^)]*, 20000\)", plan)
+    assert {"recency_dias", "frequency_trans", "monetary_val"} == set(ranges)
+    assert "percentile" not in plan and "row_number" not in plan and "array" not in plan
+    assert took < 30 and max(map(len, plan.splitlines())) < 2000
+    # every window runs over one row a partition: its only input is an aggregate by partition number
+    assert all("_part#" in line or "_c#" in line for line in plan.splitlines() if "Window [" in line)
 
 
 def jobs(spark, work):
