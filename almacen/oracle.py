@@ -336,6 +336,12 @@ FROM (SELECT *, CAST(sum(qty_diaria) OVER w AS BIGINT) AS _qty_sum, count(*) OVE
 SELECT * REPLACE (CAST(vr_reembolso AS DOUBLE) AS vr_reembolso,
                   CAST(precio_original_venta AS DOUBLE) AS precio_original_venta)
 FROM fact_devoluciones""",
+    "join_heavy_hitters": """
+SELECT d.id_devolucion, d.origen AS id_trans_origen, CAST(d.vr_reembolso AS DOUBLE) AS vr_reembolso,
+       CAST(v.precio_unitario_venta AS DOUBLE) AS precio_unitario_venta, v.canal_venta
+FROM (SELECT *, CASE WHEN id_devolucion % 3 = 0 THEN (SELECT min(id_trans_origen) FROM devoluciones_s WHERE id_trans_origen > 0)
+                     ELSE id_trans_origen END AS origen FROM devoluciones_s) d
+LEFT JOIN ventas_ok v ON d.origen = v.id_trans""",
     "rfm_base": "SELECT id_miembro, recency_dias, frequency_trans, CAST(monetary_val AS DOUBLE) AS monetary_val "
                 "FROM rfm_base",
     "rfm_scores": "SELECT * REPLACE (CAST(monetary_val AS DOUBLE) AS monetary_val) FROM rfm_scores",

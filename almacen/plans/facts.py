@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,15 +12,16 @@ from almacen.functions.columns import date_key, map_values, net_amount, positive
 from almacen.operators.joins import salted_left_join, split_left_join
 
 
-def fact_sales(sales: DataFrame, members: DataFrame) -> DataFrame:
+def fact_sales(sales: DataFrame, members: DataFrame, hot_members: Mapping | Sequence = ()) -> DataFrame:
     """Accepted sales with the customer hash (anonymous when no member matches).
 
     Money stays decimal here; callers cast at the edge. About one sale in twenty
-    has no member: those null keys are salted so they never pile up in one task.
+    has no member: those null keys are salted so they never pile up in one task, and so
+    are ``hot_members`` (found when the sales are written, :mod:`almacen.operators.heavy`).
     """
     m = members.select(F.col("id_miembro").alias("_m_id"), F.col("id_miembro_hash").alias("_m_hash"))
     v = sales
-    joined = salted_left_join(v, m, "id_miembro", "_m_id", row_id=["id_trans"])
+    joined = salted_left_join(v, m, "id_miembro", "_m_id", row_id=["id_trans"], hot=hot_members)
     return joined.select(
         F.col("id_trans").alias("id_transaccion"),
         date_key("fec_trans").alias("sk_tiempo"),
@@ -118,12 +121,21 @@ def fact_inventory(stock: DataFrame, consumption: DataFrame, cfg: GoldConfig = D
 
 
 def fact_returns(
-    returns: DataFrame, sales: DataFrame, members: DataFrame, products: DataFrame, cfg: GoldConfig = DEFAULT_GOLD
+    returns: DataFrame,
+    sales: DataFrame,
+    members: DataFrame,
+    products: DataFrame,
+    cfg: GoldConfig = DEFAULT_GOLD,
+    hot_sales: Mapping | None = None,
+    hot_members: Mapping | Sequence = (),
+    co_located: bool = False,
 ) -> DataFrame:
     """Returns with date and customer keys, the original sale price (0 when unknown), motive text and category.
 
     Returns without a known sale (null or the unknown key, which may be a large
-    share) are joined apart, so they never meet in one task.
+    share) and those of ``hot_sales`` (found when the returns are written,
+    :mod:`almacen.operators.heavy`) are salted, so they never meet in one task. Where both tables are bucketed by
+    the join key (``co_located``) they are joined apart instead, and the others need no shuffle.
     """
     v = sales.select(
         F.col("id_trans").alias("_v_id"), F.col("precio_unitario_venta").alias("_v_price"), F.col("id_miembro").alias("_v_member")
@@ -131,8 +143,12 @@ def fact_returns(
     m = members.select(F.col("id_miembro").alias("_m_id"), F.col("id_miembro_hash").alias("_m_hash"))
     a = products.select(F.col("art_id").alias("_a_id"), F.col("id_categ_n1").alias("_a_cat"))
     d = returns
-    priced = split_left_join(d, v, "id_trans_origen", "_v_id", (UNKNOWN_KEY,))
-    joined = salted_left_join(priced, m, "_v_member", "_m_id", row_id=["id_devolucion"])
+    hot = {UNKNOWN_KEY: 1.0, **(hot_sales or {})}
+    if co_located:
+        priced = split_left_join(d, v, "id_trans_origen", "_v_id", tuple(hot))
+    else:
+        priced = salted_left_join(d, v, "id_trans_origen", "_v_id", row_id=["id_devolucion"], hot=hot)
+    joined = salted_left_join(priced, m, "_v_member", "_m_id", row_id=["id_devolucion"], hot=hot_members)
     joined = joined.join(a, F.col("art_id") == a["_a_id"], "left")
     return joined.select(
         "id_devolucion",

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from almacen.config import (
     DEFAULT_GOLD,
@@ -25,6 +26,7 @@ from almacen.config import (
     SilverConfig,
 )
 from almacen.functions.columns import edge
+from almacen.operators import heavy
 from almacen.operators.integrity import accepted_condition, flag_references, split_flagged
 from almacen.operators.quality import quality_aggregates, quality_row
 from almacen.plans import dims, facts, rfm, silver
@@ -44,6 +46,10 @@ SILVER_TABLES = {
 }
 QUALITY_TABLE = "data_quality_metrics"
 REJECTS_TABLE = "silver_rejected_records"
+# join keys that hold a large share of a silver table's rows, measured when it is written
+HOT_TABLE = "silver_hot_keys"
+HOT_COLUMNS = {"TRANS_VENTAS": ("id_miembro",), "POST_DEVOLUCIONES": ("id_trans_origen",)}
+
 
 @dataclass
 class Store:
@@ -88,6 +94,17 @@ def co_located(n: int) -> dict[str, tuple[int, tuple[str, ...]]]:
 class SilverResult:
     run: RunContext
     written: list[str] = field(default_factory=list)
+    hot: list[tuple] = field(default_factory=list)  # (table, column, key, share of the rows)
+
+    def heavy(self, table: str, found: dict) -> None:
+        for column in HOT_COLUMNS.get(table, ()):
+            self.hot += [(SILVER_TABLES[table], column, str(k), s) for k, s in heavy.shares(found, column).items()]
+
+
+def hot_keys(spark: SparkSession, store: Store, table: str, column: str) -> dict[int, float]:
+    """The keys of one column that were heavy when ``table`` was written; at most 1 / ``heavy.SHARE`` of them."""
+    rows = store.read(spark, HOT_TABLE).where((F.col("tabla") == table) & (F.col("columna") == column))
+    return {int(r["llave"]): r["proporcion"] for r in rows.select("llave", "proporcion").collect()}
 
 
 def run_silver(
@@ -123,11 +140,15 @@ def run_silver(
     for table, build in watched.items():
         seen = Observation()
         aggregates = quality_aggregates(silver.ROWS, None, silver.NULL_COLUMNS[table], silver.FAILURES)
-        frame = build(sources[table], order_by.get(table, ()), lambda df: df.observe(seen, *aggregates))
+        sketches = heavy.metrics(HOT_COLUMNS[table]) if table in HOT_COLUMNS else []
+        frame = build(sources[table], order_by.get(table, ()), lambda df: df.observe(seen, *aggregates, *sketches))
         store.write(frame, SILVER_TABLES[table])
         out.written.append(SILVER_TABLES[table])
-        schema = ", ".join(f"{name} long" for name in seen.get)
-        audit(spark.createDataFrame([tuple(seen.get.values())], schema), table)
+        found = seen.get
+        out.heavy(table, found)
+        counts = {name: n for name, n in found.items() if name != "_all" and not name.startswith("_heavy_")}
+        schema = ", ".join(f"{name} long" for name in counts)
+        audit(spark.createDataFrame([tuple(counts.values())], schema), table)
 
     order = order_by.get("CRM_MIEMBROS", ())
     store.write(silver.members(sources["CRM_MIEMBROS"], cfg, order), SILVER_TABLES["CRM_MIEMBROS"])
@@ -144,11 +165,14 @@ def run_silver(
     accepted, rejected = split_flagged(
         typed, columns, refs, cfg.reject_reason, cfg.null_key_reason, run.run_id, run.run_ts, cfg.reject_detail
     )
+    accepted, seen = heavy.watch(accepted, HOT_COLUMNS["TRANS_VENTAS"])
     store.write(accepted, SILVER_TABLES["TRANS_VENTAS"])
     out.written.append(SILVER_TABLES["TRANS_VENTAS"])
+    out.heavy("TRANS_VENTAS", seen.get)
     store.append(rejected, REJECTS_TABLE)
     ok, nulls = accepted_condition(refs), silver.NULL_COLUMNS["TRANS_VENTAS"]
     audit(flagged.agg(*quality_aggregates(silver.ROWS, ok, nulls, silver.FAILURES)), "TRANS_VENTAS")
+    store.write(spark.createDataFrame(out.hot, "tabla string, columna string, llave string, proporcion double"), HOT_TABLE)
     return out
 
 
@@ -173,18 +197,23 @@ def run_gold(
     t = {name: store.read(spark, name) for name in SILVER_TABLES.values()}
     sales, members = t["trans_ventas"], t["crm_miembros"]
     ref = rfm.reference_date(sales, cfg.as_of)
+    hot_members = hot_keys(spark, store, "trans_ventas", "id_miembro")
 
     store.write(cast(dims.dim_products(t["mstr_articulos"], t["mstr_proveedores"], cfg)), "dim_productos")
     store.write(cast(dims.dim_stores(t["mstr_tiendas"], cfg)), "dim_tiendas")
     store.write(cast(dims.dim_customers(members, ref, cfg.keep_raw_member_id)), "dim_clientes")
     store.write(dims.dim_date(sales, "fec_trans"), "dim_tiempo")
-    store.write(cast(facts.fact_sales(sales, members)), "fact_ventas")
+    store.write(cast(facts.fact_sales(sales, members, hot_members)), "fact_ventas")
     consumption = facts.consumption_average(
         facts.daily_consumption(sales), mode=cfg.consumption_mode, days=cfg.consumption_days,
         calendar_days=cfg.consumption_calendar_days,
     )
     store.write(cast(facts.fact_inventory(t["inv_stock_diario"], consumption, cfg)), "fact_inventario")
-    store.write(cast(facts.fact_returns(t["post_devoluciones"], sales, members, t["mstr_articulos"], cfg)), "fact_devoluciones")
+    returned = facts.fact_returns(
+        t["post_devoluciones"], sales, members, t["mstr_articulos"], cfg,
+        hot_keys(spark, store, "post_devoluciones", "id_trans_origen"), hot_members, "post_devoluciones" in store.buckets,
+    )
+    store.write(cast(returned), "fact_devoluciones")
 
     store.write(cast(rfm.rfm(sales, members, cfg, reliable_checkpoint)), "fact_rfm_clientes")
     return run

@@ -19,8 +19,10 @@ from almacen.config import DEFAULT_GOLD, DEFAULT_SILVER, GoldConfig, SilverConfi
 from almacen.functions.columns import edge
 from almacen.operators.contract import apply_contract
 from almacen.operators.dedupe import dedupe_latest
+from almacen.operators import heavy
 from almacen.operators.impute import impute_from_group
 from almacen.operators.integrity import accepted_condition, flag_references
+from almacen.operators.joins import salted_left_join
 from almacen.operators.quality import null_counts, quality_metrics
 from almacen.plans import dims, facts, kpis, rfm, silver
 from almacen.session import reliable_checkpoint
@@ -333,6 +335,20 @@ def q_fact_returns(x: Layers) -> DataFrame:
     return x.fact_returns
 
 
+def q_join_heavy_hitters(x: Layers) -> DataFrame:
+    """Returns of which every third names one and the same sale, with that sale's price and channel.
+
+    The hot key is not known beforehand: a sketch of the returns finds it (one aggregate), and
+    the join salts it by its share.
+    """
+    sale = x.returns.where("id_trans_origen > 0").select(F.min("id_trans_origen")).scalar()
+    origin = F.when(F.col("id_devolucion") % 3 == 0, sale).otherwise(F.col("id_trans_origen"))
+    returns = reliable_checkpoint(x.returns.select("id_devolucion", origin.alias("id_trans_origen"), "vr_reembolso"))
+    sold = x.sales.select(F.col("id_trans").alias("_v_id"), "precio_unitario_venta", "canal_venta")
+    hot = heavy.measure(returns, "id_trans_origen")
+    return salted_left_join(returns, sold, "id_trans_origen", "_v_id", row_id=["id_devolucion"], hot=hot).drop("_v_id")
+
+
 # --- RFM ------------------------------------------------------------------
 def q_rfm_base(x: Layers) -> DataFrame:
     return x.rfm_base
