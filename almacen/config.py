@@ -55,6 +55,8 @@ NULL_KEY_REJECT_REASON = "ERROR_LLAVE_NULA"
 # bronze lineage constants
 SOURCE_SYSTEM = "SQL_ORIGEN"
 INGEST_TS = "FechaIngesta"
+# counts that travel with a row: source rows behind it, values that did not convert
+ROWS, FAILURES = "_rows", "_failures"
 # key of an unknown store or original sale in the sources
 UNKNOWN_KEY = -1
 # run id formats of the silver and gold stages

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,11 +18,11 @@ def lenient(col: Column, dtype: T.DataType) -> Column:
     return col.try_cast(dtype)
 
 
-def apply_contract(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
+def apply_contract(df: DataFrame, schema: T.StructType, keep_extra: bool = True, more: Sequence[Column] = ()) -> DataFrame:
     """Columns of ``schema`` in contract order and type; missing ones are null.
 
     Values that do not convert become null instead of failing the job; count
-    them with :func:`cast_failures`.
+    them with :func:`cast_failures`. ``more`` are columns of ``df`` to add to them.
     """
     present = set(df.columns)
     cols = [
@@ -30,7 +32,7 @@ def apply_contract(df: DataFrame, schema: T.StructType, keep_extra: bool = True)
     if keep_extra:
         names = {f.name for f in schema.fields}
         cols += [F.col(c) for c in df.columns if c not in names]
-    return df.select(*cols)
+    return df.select(*cols, *more)
 
 
 def failure_count(df: DataFrame, schema: T.StructType) -> Column:

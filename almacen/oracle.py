@@ -271,13 +271,20 @@ SELECT {SALES_COLS} FROM (
   FROM ventas_raw)""",
     "bronze_load_audit": " UNION ALL ".join(
         f"SELECT 'RUN_QUERY' AS IdLote, '{t}' AS NombreTablaDestino, '{t}' AS NombreTablaFuente, "
-        f"'SATISFACTORIO' AS Estado, count(*) AS RegistrosCopiados FROM {src}"
+        f"'SATISFACTORIO' AS Estado, count(*) AS RegistrosCopiados, false AS ConError FROM {src}"
         for t, src in (
             ("MSTR_PROVEEDORES", "proveedores"), ("MSTR_ARTICULOS", "articulos"), ("MSTR_TIENDAS", "tiendas"),
             ("CRM_MIEMBROS", "miembros"), ("TRANS_VENTAS", "ventas_raw WHERE canal_venta = 'Online'"),
             ("INV_STOCK_DIARIO", "stock_raw"),
         )
-    ),
+    ) + " UNION ALL SELECT 'RUN_QUERY', 'SIN_FUENTE', 'SIN_FUENTE', 'FALLA', NULL, true",
+    "bronze_days_by_contract": """
+SELECT id_snapshot, art_id, TRY_CAST(stock_transito AS INTEGER) AS stock_transito, stock_fisico,
+       CASE WHEN art_id % 2 = 0 THEN DATE '2000-01-01' ELSE DATE '2000-01-02' END AS fecha_ingesta,
+       CAST(CASE WHEN art_id % 2 <> 0 AND stock_transito IS NOT NULL AND TRY_CAST(stock_transito AS INTEGER) IS NULL THEN 1 ELSE 0 END
+         AS BIGINT) AS sin_convertir
+FROM stock_raw""",
+    "incremental_silver_sales": f"SELECT {CLEAN_COLS} FROM ventas_limpias",
     "silver_dedupe_latest": f"SELECT {SALES_COLS} FROM ventas_dedup",
     "silver_members": """
 SELECT id_miembro, fec_registro, id_ciudad, rango_edad, canal_pref, fec_ultima_compra, genero, id_miembro_hash,

@@ -10,12 +10,13 @@ one stage).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from almacen import schemas as S
 from almacen.config import (
     DEFAULT_GOLD,
     DEFAULT_SILVER,
@@ -29,10 +30,10 @@ from almacen.functions.columns import edge
 from almacen.operators import heavy
 from almacen.operators.integrity import accepted_condition, flag_references, split_flagged
 from almacen.operators.quality import quality_aggregates, quality_row
-from almacen.plans import dims, facts, rfm, silver
+from almacen.plans import dims, facts, incremental, rfm, silver
 from almacen.session import reliable_checkpoint, tune
 from almacen.sources import bronze
-from almacen.sources.sinks import append_rows, read_table, write_table
+from almacen.sources.sinks import append_rows, put_rows, read_table, write_table
 
 # silver table name per source table
 SILVER_TABLES = {
@@ -46,6 +47,7 @@ SILVER_TABLES = {
 }
 QUALITY_TABLE = "data_quality_metrics"
 REJECTS_TABLE = "silver_rejected_records"
+LOADS_TABLE = "bronze_load_audit"
 # join keys that hold a large share of a silver table's rows, measured when it is written
 HOT_TABLE = "silver_hot_keys"
 HOT_COLUMNS = {"TRANS_VENTAS": ("id_miembro",), "POST_DEVOLUCIONES": ("id_trans_origen",)}
@@ -76,6 +78,10 @@ class Store:
     def append(self, df: DataFrame, name: str) -> None:
         append_rows(df, self.target(name), fmt=self.fmt, as_path=self.as_path)
 
+    def put(self, df: DataFrame, name: str, keys: Sequence[str]) -> None:
+        """Audit rows by run: a repeated run replaces its own."""
+        put_rows(df, self.target(name), keys, fmt=self.fmt, as_path=self.as_path)
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return read_table(spark, self.target(name), fmt=self.fmt, as_path=self.as_path)
 
@@ -128,7 +134,7 @@ def run_silver(
 
     def audit(counts: DataFrame, table: str) -> None:
         nulls = silver.NULL_COLUMNS[table]
-        store.append(quality_row(table, counts, nulls, run.run_id, run.run_ts), QUALITY_TABLE)
+        store.put(quality_row(table, counts, nulls, run.run_id, run.run_ts), QUALITY_TABLE, ("execution_id", "table_name"))
 
     watched = {
         "MSTR_ARTICULOS": silver.products,
@@ -169,7 +175,7 @@ def run_silver(
     store.write(accepted, SILVER_TABLES["TRANS_VENTAS"])
     out.written.append(SILVER_TABLES["TRANS_VENTAS"])
     out.heavy("TRANS_VENTAS", seen.get)
-    store.append(rejected, REJECTS_TABLE)
+    store.put(rejected, REJECTS_TABLE, ("execution_id",))
     ok, nulls = accepted_condition(refs), silver.NULL_COLUMNS["TRANS_VENTAS"]
     audit(flagged.agg(*quality_aggregates(silver.ROWS, ok, nulls, silver.FAILURES)), "TRANS_VENTAS")
     store.write(spark.createDataFrame(out.hot, "tabla string, columna string, llave string, proporcion double"), HOT_TABLE)
@@ -231,11 +237,15 @@ def run_medallion(
     control: DataFrame | None = None,
     read_source: Callable[[bronze.Load], DataFrame] | None = None,
     audit: Callable[[DataFrame], None] | None = None,
+    buckets: int | None = None,
 ) -> Store:
     """Bronze, silver, gold in sequence, into ``root`` or ``store`` (PL).
 
     With ``control`` and ``read_source`` the active loads are ingested below
-    ``root`` first and silver reads all their ingested days, the newest row of a key winning; a
+    ``root`` first and silver takes all their ingested days, the newest row of a key winning: typed
+    by contract from the raw days or, with ``buckets``, from kept states that only this run's day is merged
+    into (:mod:`almacen.plans.incremental`). Each load's audit row goes to ``audit`` (default: the table
+    ``bronze_load_audit``, one row for each run and load). A
     failed load raises after the loop and silver does not start. Otherwise
     ``sources`` holds the seven source frames.
     """
@@ -244,8 +254,16 @@ def run_medallion(
     ts = now or dt.datetime.now()
     if control is not None:
         run = bronze.RunInfo(ts.strftime(SILVER_RUN_FORMAT), ts)
+        audit = audit or (lambda row: store.put(row, LOADS_TABLE, ("IdLote", "NombreTablaDestino")))
         done = bronze.load_all(spark, control, read_source, root, run, ts.date(), audit)
-        sources = {load.source_table: bronze.read_raw(spark, root, load.target_table) for load, *_ in done}
+        sources = {}
+        for load, *_ in done:
+            table, target = load.source_table, load.target_table
+            if buckets:
+                order = (order_by or {}).get(table, ())
+                sources[table] = incremental.refresh(spark, root, table, target, ts.date(), buckets, order)
+            else:
+                sources[table] = bronze.read_days(spark, root, target, S.SOURCES[table][0])
     run_silver(spark, sources, store, RunContext(ts.strftime(SILVER_RUN_FORMAT), ts), scfg, order_by)
     run_gold(spark, store, gcfg, RunContext(ts.strftime(GOLD_RUN_FORMAT), ts))
     return store

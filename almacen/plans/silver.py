@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almacen import schemas as S
-from almacen.config import DEFAULT_SILVER, UNKNOWN_KEY, SilverConfig
+from almacen.config import DEFAULT_SILVER, FAILURES, ROWS, UNKNOWN_KEY, SilverConfig
 from almacen.functions.columns import flag_with_default, hash_pii, map_values, net_amount, normalise_text
 from almacen.operators.contract import apply_contract, failure_count
 from almacen.operators.dedupe import dedupe_latest
@@ -16,7 +16,6 @@ from almacen.operators.impute import impute_from_group
 from almacen.operators.integrity import Reference, check_references
 
 
-ROWS, FAILURES = "_rows", "_failures"
 # columns whose nulls the audit counts
 NULL_COLUMNS = {
     "CRM_MIEMBROS": ("genero", "rango_edad", "activo"),
@@ -37,17 +36,29 @@ def typed_unique(df: DataFrame, table: str, order_by: Sequence[str] = (), watch:
     ``watch`` sees the result with two more columns, the number of source rows
     behind each row and of their values that did not convert, before they go.
     """
-    if watch is None:
+    if watch is None and ROWS not in df.columns:
         schema, key = S.SOURCES[table]
-        return dedupe_latest(apply_contract(df, schema), [key], order_by)
-    return watch(counted_unique(df, table, order_by)).drop(ROWS, FAILURES)
+        typed = df.drop(FAILURES) if FAILURES in df.columns else apply_contract(df, schema)
+        return dedupe_latest(typed, [key], order_by)
+    counted = counted_unique(df, table, order_by)
+    return (counted if watch is None else watch(counted)).drop(ROWS, FAILURES)
+
+
+def counted_types(df: DataFrame, table: str) -> DataFrame:
+    """Contract types and ``_failures``; a frame that has ``_failures`` (``bronze.read_days``) is typed already."""
+    schema, _ = S.SOURCES[table]
+    return df if FAILURES in df.columns else apply_contract(df.withColumn(FAILURES, failure_count(df, schema)), schema)
 
 
 def counted_unique(df: DataFrame, table: str, order_by: Sequence[str] = ()) -> DataFrame:
-    """:func:`typed_unique` with the columns ``_rows`` and ``_failures`` that the audit adds up."""
-    schema, key = S.SOURCES[table]
-    typed = apply_contract(df.withColumn(FAILURES, failure_count(df, schema)), schema)
-    return dedupe_latest(typed, [key], order_by, count_as=ROWS, sums=[FAILURES])
+    """:func:`typed_unique` with the columns ``_rows`` and ``_failures`` that the audit adds up.
+
+    A frame that has ``_rows`` comes from the kept state (:mod:`almacen.plans.incremental`): it is unique already.
+    """
+    if ROWS in df.columns:
+        return df
+    _, key = S.SOURCES[table]
+    return dedupe_latest(counted_types(df, table), [key], order_by, count_as=ROWS, sums=[FAILURES])
 
 
 def members(raw: DataFrame, cfg: SilverConfig = DEFAULT_SILVER, order_by: Sequence[str] = ()) -> DataFrame:

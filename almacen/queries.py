@@ -8,6 +8,7 @@ double (exact decimal inside); clock columns (run id, run time) are left out.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almacen import schemas as S
-from almacen.config import DEFAULT_GOLD, DEFAULT_SILVER, GoldConfig, SilverConfig
+from almacen.config import DEFAULT_GOLD, DEFAULT_SILVER, FAILURES, INGEST_TS, GoldConfig, SilverConfig
 from almacen.functions.columns import edge
 from almacen.operators.contract import apply_contract
 from almacen.operators.dedupe import dedupe_latest
@@ -24,9 +25,10 @@ from almacen.operators.impute import impute_from_group
 from almacen.operators.integrity import accepted_condition, flag_references
 from almacen.operators.joins import salted_left_join
 from almacen.operators.quality import null_counts, quality_metrics
-from almacen.plans import dims, facts, kpis, rfm, silver
-from almacen.session import reliable_checkpoint
+from almacen.plans import dims, facts, incremental, kpis, rfm, silver
+from almacen.session import checkpoint_dir, reliable_checkpoint
 from almacen.sources import bronze
+from almacen.sources.sinks import put_rows
 from almacen.sources.testdata import SALES_HELPERS, source_tables
 
 # Dedupe order of the fixture tables: the ingest-time stand-in first, then the
@@ -40,6 +42,7 @@ RETURNS_ORDER = ("fec_devolucion",)
 # Fixed run context of the registered queries (no clock in compared output).
 QUERY_RUN_ID = "EXEC_QUERY"
 QUERY_RUN_TS = dt.datetime(2000, 1, 1)
+SECOND_DAY = dt.date(1997, 1, 1)  # sales shipped from here on are the second ingest day of the incremental queries
 
 
 class Layers:
@@ -173,9 +176,38 @@ def q_bronze_extract(x: Layers) -> DataFrame:
     return bronze.extract(x.src[load.source_table], load, BRONZE_RUN)
 
 
+def _scratch(x: Layers, name: str) -> str:
+    return f"{checkpoint_dir(x.spark).rstrip('/')}/almacen/{name}-{uuid.uuid4().hex}"
+
+
 def q_bronze_load_audit(x: Layers) -> DataFrame:
-    """The audit of the loop over all active loads: status and rows copied of each."""
-    return bronze.load_summary(_loads(x), lambda load: x.src[load.source_table], BRONZE_RUN)
+    """The audit that the loop leaves: status and rows copied of each active load, one of which has no source.
+
+    The run is repeated, as after a failure: its rows are replaced, not added to.
+    """
+    root = _scratch(x, "bronze")
+    broken = [(90, "dbo", "SIN_FUENTE", "*", None, "bronze", "SIN_FUENTE", 1)]
+    control = bronze.example_control(x.spark).unionByName(x.spark.createDataFrame(broken, S.CONTROL))
+    keys = ("IdLote", "NombreTablaDestino")
+    for _ in range(2):
+        try:
+            bronze.load_all(x.spark, control, lambda load: x.src[load.source_table], root, BRONZE_RUN, QUERY_RUN_TS.date(),
+                            lambda row: put_rows(row, f"{root}/audit", keys, as_path=True))
+        except bronze.LoadFailed:  # the audit has it
+            pass
+    audit = x.spark.read.parquet(f"{root}/audit")
+    return audit.select(*keys, "NombreTablaFuente", "Estado", "RegistrosCopiados", F.col("MensajeError").isNotNull().alias("ConError"))
+
+
+def q_bronze_days_by_contract(x: Layers) -> DataFrame:
+    """Two days of stock snapshots, in transit as a number on the first day and as text on the second, read by the contract."""
+    root, table = _scratch(x, "bronze"), "INV_STOCK_DIARIO"
+    even = F.col("art_id") % 2 == 0
+    number = x.src[table].where(even).withColumn("stock_transito", F.col("stock_transito").try_cast("int"))
+    bronze.write_raw(number, root, table, dt.date(2000, 1, 1))
+    bronze.write_raw(x.src[table].where(~even), root, table, dt.date(2000, 1, 2))
+    out = bronze.read_days(x.spark, root, table, S.STOCK)
+    return out.select("id_snapshot", "art_id", "stock_transito", "stock_fisico", bronze.PARTITION_COL, F.col(FAILURES).alias("sin_convertir"))
 
 
 def q_bronze_lenient_cast(x: Layers) -> DataFrame:
@@ -223,6 +255,17 @@ def q_silver_sales(x: Layers) -> DataFrame:
     return x.sales_clean.drop(*SALES_HELPERS)
 
 
+def q_incremental_silver_sales(x: Layers) -> DataFrame:
+    """Sales of two ingest days, the second merged into the state that the first left: as if all had been read at once."""
+    path, early = _scratch(x, "estado"), F.coalesce(F.col("x_ship") < F.lit(SECOND_DAY), F.lit(True))
+    raw = x.src["TRANS_VENTAS"]
+    for day, rows in ((dt.date(2000, 1, 1), raw.where(early)), (dt.date(2000, 1, 2), raw.where(~early))):
+        stamped = rows.withColumns({INGEST_TS: F.lit(day).cast("timestamp"), bronze.PARTITION_COL: F.lit(day)})
+        incremental.merge_days(stamped, "TRANS_VENTAS", path, 16, SALES_ORDER)
+    clean = silver.sales_clean(incremental.current(x.spark, "TRANS_VENTAS", path), SALES_ORDER)
+    return clean.drop(*SALES_HELPERS, INGEST_TS, bronze.PARTITION_COL)
+
+
 def q_silver_ri_accepted(x: Layers) -> DataFrame:
     return x.sales
 

@@ -10,12 +10,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almacen import schemas as S
-from almacen.config import INGEST_TS, SOURCE_SYSTEM
+from almacen.config import FAILURES, INGEST_TS, SOURCE_SYSTEM
+from almacen.operators.contract import apply_contract, failure_count
 
 CONTROL_COLUMNS = (
     "PkControlCargas", "EsquemaFuente", "NombreTablaFuente", "ColumnasArchivoFuente",
@@ -118,6 +121,56 @@ def read_raw(spark: SparkSession, root: str, table: str, since: dt.date | None =
     return df
 
 
+def day_folders(spark: SparkSession, root: str, table: str, since: dt.date | None = None) -> list[tuple[dt.date, str, str]]:
+    """(day, folder, one of its files) of every ingested day of a table, from the listing alone; no days, no entries."""
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(raw_path(root, table))
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for day in fs.listStatus(top) if fs.exists(top) else []:
+        key, _, value = day.getPath().getName().partition("=")
+        if key != PARTITION_COL or (since is not None and dt.date.fromisoformat(value) < since):
+            continue
+        files = [f.getPath() for f in fs.listStatus(day.getPath())]
+        parts = sorted(f.toString() for f in files if not f.getName().startswith(("_", ".")))
+        if parts:
+            out.append((dt.date.fromisoformat(value), day.getPath().toString(), parts[0]))
+    return sorted(out)
+
+
+def read_days(
+    spark: SparkSession, root: str, table: str, contract: T.StructType, since: dt.date | None = None
+) -> DataFrame:
+    """Every ingested day of one table (from ``since`` on), typed by its contract.
+
+    A source may change over time: a column is added, goes, or changes its type from
+    one day to the next. So no schema is merged from the files: the footer of one file of each
+    day says what that day holds, days that hold the same are read by one scan, each group is
+    cast to ``contract`` (a missing column is null, a value that does not convert is null), and
+    the groups are united by name. ``_failures`` counts a row's values that did not convert. Lineage columns keep their
+    types, other columns outside the contract are kept as text. Rows of no day: an empty frame.
+    """
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for _, folder, part in day_folders(spark, root, table, since):
+        held = spark.read.parquet(part).schema
+        groups.setdefault(held.json(), (held, []))[1].append(folder)
+    if not groups:
+        day = T.StructType([*contract.fields, T.StructField(PARTITION_COL, T.DateType()), T.StructField(FAILURES, T.LongType())])
+        return spark.createDataFrame([], day)
+    frames = []
+    names = {f.name for f in contract.fields}
+    for held, folders in groups.values():
+        df = spark.read.schema(held).option("basePath", raw_path(root, table)).parquet(*folders)
+        extra = [f.name for f in held.fields if f.name not in names]
+        kinds = {c: "timestamp" if c == INGEST_TS else "string" for c in extra}
+        df = df.withColumn(FAILURES, failure_count(df, contract))
+        day = F.col(PARTITION_COL).cast("date").alias(PARTITION_COL)
+        frames.append(
+            apply_contract(df, contract, keep_extra=False, more=[*[F.col(c).cast(k).alias(c) for c, k in kinds.items()], day, F.col(FAILURES)])
+        )
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def audit_row(spark: SparkSession, run: RunInfo, load: Load, status: str, rows: int | None, error: str | None):
     """One audit row for a load's success or failure."""
     return spark.createDataFrame(
@@ -167,18 +220,6 @@ def load_all(
     return results
 
 
-def load_summary(loads: Iterable[Load], read_source: Callable[[Load], DataFrame], run: RunInfo) -> DataFrame:
-    """What the loop would copy: batch, target, source, status and rows of each load, without writing."""
-    out = None
-    for load in loads:
-        row = extract(read_source(load), load, run).agg(F.count(F.lit(1)).alias("RegistrosCopiados")).select(
-            F.lit(run.run_id).alias("IdLote"), F.lit(load.target_table).alias("NombreTablaDestino"),
-            F.lit(load.source_table).alias("NombreTablaFuente"), F.lit(LOADED).alias("Estado"), "RegistrosCopiados",
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 def example_control(spark: SparkSession, tables: Iterable[str] = tuple(S.SOURCES)) -> DataFrame:
     """A control table with one active load per source table; sales are limited
     to a column list and a channel filter, returns are configured inactive."""

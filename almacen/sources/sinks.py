@@ -46,6 +46,28 @@ def append_rows(df: DataFrame, target: str, fmt: str = "parquet", as_path: bool
     write_table(df, target, mode="append", fmt=fmt, as_path=as_path)
 
 
+def put_rows(df: DataFrame, target: str, keys: Sequence[str], fmt: str = "parquet", as_path: bool = False) -> None:
+    """Audit rows kept by ``keys`` (run, table): a run that is repeated replaces its own rows.
+
+    The keys are the table's partitions and only those of ``df`` are overwritten, so
+    a row is never there twice, and other runs are not touched. No rows, no change.
+    """
+    spark = df.sparkSession
+    keys = list(keys)
+    if as_path:
+        df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).save(target)
+    elif not spark.catalog.tableExists(target):
+        df.write.format(fmt).partitionBy(*keys).saveAsTable(target)
+    else:
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        old = spark.conf.get(setting)
+        spark.conf.set(setting, "dynamic")
+        try:
+            df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(setting, old)
+
+
 def write_jdbc(
     df: DataFrame, url: str, table: str, mode: str = "append", batchsize: int = 20000, properties: dict | None = None
 ) -> None:
