@@ -351,6 +351,8 @@ FROM (SELECT *, CASE WHEN id_devolucion % 3 = 0 THEN (SELECT min(id_trans_origen
 LEFT JOIN ventas_ok v ON d.origen = v.id_trans""",
     "rfm_base": "SELECT id_miembro, recency_dias, frequency_trans, CAST(monetary_val AS DOUBLE) AS monetary_val "
                 "FROM rfm_base",
+    "incremental_rfm_base": "SELECT id_miembro, recency_dias, frequency_trans, CAST(monetary_val AS DOUBLE) AS monetary_val "
+                            "FROM rfm_base",
     "rfm_scores": "SELECT * REPLACE (CAST(monetary_val AS DOUBLE) AS monetary_val) FROM rfm_scores",
     "rfm_segments": "SELECT * REPLACE (CAST(monetary_val AS DOUBLE) AS monetary_val) FROM rfm_segmentos",
     "rfm_churn_flag": """

@@ -25,7 +25,7 @@ from almacen.operators.impute import impute_from_group
 from almacen.operators.integrity import accepted_condition, flag_references
 from almacen.operators.joins import salted_left_join
 from almacen.operators.quality import null_counts, quality_metrics
-from almacen.plans import dims, facts, incremental, kpis, rfm, silver
+from almacen.plans import dims, facts, incremental, kpis, rfm, rolling, silver
 from almacen.session import checkpoint_dir, reliable_checkpoint
 from almacen.sources import bronze
 from almacen.sources.sinks import put_rows
@@ -397,6 +397,18 @@ def q_rfm_base(x: Layers) -> DataFrame:
     return x.rfm_base
 
 
+def q_incremental_rfm_base(x: Layers) -> DataFrame:
+    """The base rolled forward over three batches of sales, some of which come a batch or two late."""
+    path = _scratch(x, "rfm")
+    sales = reliable_checkpoint(x.sales.select("id_trans", "id_miembro", "fec_trans", "vr_total_trans"))
+    late = F.col("id_trans") % 50 == 0
+    batch = F.when(F.col("fec_trans") < dt.date(2001, 5, 20), F.when(late, 3).otherwise(1))
+    batch = batch.when(F.col("fec_trans") < dt.date(2001, 7, 10), 2).otherwise(3)
+    for i in (1, 2, 3):
+        rolling.advance(x.spark, path, sales.where(batch == i), f"2001-0{i}", x.gcfg.rfm_days)
+    return rolling.rolled_base(x.spark, path)
+
+
 def q_rfm_scores(x: Layers) -> DataFrame:
     return x.rfm_scores
 
