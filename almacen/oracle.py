@@ -256,6 +256,43 @@ FACT_SALES_COLS = (
     "es_venta_con_descuento"
 )
 
+
+
+def _constraint_rows():
+    """(table, source, kind, column, rule, violations) of each promise, in plain SQL."""
+    sources = {
+        "MSTR_PROVEEDORES": "proveedores", "MSTR_ARTICULOS": "articulos", "MSTR_TIENDAS": "tiendas", "CRM_MIEMBROS": "miembros",
+        "TRANS_VENTAS": "ventas_raw", "INV_STOCK_DIARIO": "stock_raw", "POST_DEVOLUCIONES": "devoluciones_raw",
+    }
+    keys = ("id_proveedor", "art_id", "id_tienda", "id_miembro", "id_trans", "id_snapshot", "id_devolucion")
+    for (t, src), key in zip(sources.items(), keys, strict=True):
+        yield t, src, "llave", key, "NULL", f"count({key}) - count(DISTINCT {key})"
+        yield t, src, "no_nulo", key, "NULL", f"count(*) - count({key})"
+    for t, col in (("MSTR_ARTICULOS", "activo"), ("MSTR_TIENDAS", "id_ciudad"), ("CRM_MIEMBROS", "genero"),
+                   ("TRANS_VENTAS", "id_miembro"), ("TRANS_VENTAS", "id_tienda")):
+        yield t, sources[t], "no_nulo", col, "NULL", f"count(*) - count({col})"
+    for t, col, n in (
+        ("MSTR_PROVEEDORES", "razon_social", 150), ("MSTR_PROVEEDORES", "pais_origen", 50), ("MSTR_ARTICULOS", "cod_barra", 50),
+        ("MSTR_ARTICULOS", "desc_art", 200), ("MSTR_ARTICULOS", "unid_medida", 20), ("MSTR_TIENDAS", "nom_tienda", 100),
+        ("MSTR_TIENDAS", "tipo_tienda", 50), ("CRM_MIEMBROS", "rango_edad", 20), ("TRANS_VENTAS", "hra_trans", 8),
+        ("POST_DEVOLUCIONES", "motivo_cod", 50),
+    ):
+        yield t, sources[t], "largo", col, f"'{n}'", f"count(*) FILTER (WHERE length({col}) > {n})"
+    for t, col, values in (("CRM_MIEMBROS", "genero", "M,F"), ("TRANS_VENTAS", "canal_venta", "Fisico,Online,App"),
+                           ("POST_DEVOLUCIONES", "estado_devolucion", "APROBADO,PENDIENTE")):
+        yield t, sources[t], "dominio", col, f"'{values}'", f"count(*) FILTER (WHERE NOT list_contains(string_split('{values}', ','), {col}))"
+    for t, col, rule in (
+        ("MSTR_PROVEEDORES", "tiempo_repo_dias", "tiempo_repo_dias >= 0"), ("MSTR_ARTICULOS", "precio_lista", "precio_lista >= 0"),
+        ("TRANS_VENTAS", "art_id", "art_id > 0"), ("TRANS_VENTAS", "qty_vendida", "qty_vendida > 0"),
+        ("TRANS_VENTAS", "descuento_aplicado", "descuento_aplicado BETWEEN 0 AND precio_unitario_venta"),
+        ("INV_STOCK_DIARIO", "stock_fisico", "stock_fisico >= stock_minimo_config"),
+        ("POST_DEVOLUCIONES", "id_trans_origen", "id_trans_origen > 0"),
+    ):
+        yield t, sources[t], "condicion", col, f"'{rule}'", f"count(*) FILTER (WHERE NOT ({rule}))"
+    bad = "count(*) FILTER (WHERE stock_transito IS NOT NULL AND TRY_CAST(stock_transito AS INTEGER) IS NULL)"
+    yield "INV_STOCK_DIARIO", "stock_raw", "tipo", "stock_transito", "'int'", bad
+
+
 BODIES = {
     "bronze_extract": """
 SELECT id_trans, id_miembro, id_tienda, art_id, fec_trans, qty_vendida,
@@ -400,6 +437,23 @@ FROM (SELECT CAST(ts AS DATE) AS fecha,
              count(DISTINCT user_id) FILTER (WHERE event_type = 'view') AS usuarios_vista,
              count(DISTINCT user_id) FILTER (WHERE event_type = 'purchase') AS usuarios_compra
       FROM events GROUP BY 1)""",
+    "dq_constraints": " UNION ALL ".join(
+        f"SELECT '{t}' AS tabla, '{kind}' AS restriccion, '{col}' AS columna, {rule} AS regla, count(*) AS filas, "
+        f"{bad} AS violaciones FROM {src}"
+        for t, src, kind, col, rule, bad in _constraint_rows()
+    ),
+    "kpi_ordered_conversion": """
+SELECT CAST(inicio AS DATE) AS fecha, count(*) AS sesiones, count(vista) AS sesiones_vista, count(compra) AS sesiones_compra,
+       count(*) FILTER (WHERE convertida) AS sesiones_convertidas,
+       CASE WHEN count(vista) <> 0 THEN CAST(count(*) FILTER (WHERE convertida) AS DOUBLE) / count(vista) END AS tasa_conversion
+FROM (SELECT user_id, sesion, min(ts) AS inicio, min(ts) FILTER (WHERE event_type = 'view') AS vista,
+             max(ts) FILTER (WHERE event_type = 'purchase') AS compra,
+             max(ts) FILTER (WHERE event_type = 'purchase') > min(ts) FILTER (WHERE event_type = 'view') AS convertida
+      FROM (SELECT *, sum(nueva) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sesion
+            FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 12 HOUR THEN 0 ELSE 1 END
+                         AS nueva
+                  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL))
+      GROUP BY user_id, sesion) GROUP BY 1""",
     "kpi_returns_root_cause": """
 SELECT d.motivo_descripcion, d.categoria_nivel_1, p.nombre_proveedor, d.canal_devolucion, count(*) AS devoluciones,
        sum(d.qty_devuelta) AS unidades_devueltas, CAST(sum(d.vr_reembolso) AS DOUBLE) AS monto_reembolsado

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from almacen import schemas as S
 from almacen.config import DEFAULT_GOLD, DEFAULT_SILVER, FAILURES, INGEST_TS, GoldConfig, SilverConfig
 from almacen.functions.columns import edge
+from almacen.operators.constraints import violations
 from almacen.operators.contract import apply_contract
 from almacen.operators.dedupe import dedupe_latest
 from almacen.operators import heavy
@@ -320,6 +321,12 @@ def q_dq_null_counts(x: Layers) -> DataFrame:
     return out
 
 
+def q_dq_constraints(x: Layers) -> DataFrame:
+    """Rows of every raw source table that break what the table promises."""
+    frames = [violations(frame, table, S.CONSTRAINTS[table]) for table, frame in x.src.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
 # --- dimensions -------------------------------------------------------------
 def q_dim_products(x: Layers) -> DataFrame:
     return x.dim_products
@@ -450,6 +457,12 @@ def q_kpi_conversion(x: Layers) -> DataFrame:
     return kpis.conversion(x.src.given["events"])
 
 
+def q_kpi_ordered_conversion(x: Layers) -> DataFrame:
+    """Sessions in which a purchase came after a view, by the day the session began. Twelve hours without an event end a
+    session, as the given users act a few times a day."""
+    return kpis.ordered_conversion(x.src.given["events"], gap_minutes=720)
+
+
 def q_kpi_returns_root_cause(x: Layers) -> DataFrame:
     return kpis.returns_root_cause(x.fact_returns, x.dim_products)
 

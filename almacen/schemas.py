@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from almacen.operators.constraints import CHECK, DOMAIN, KEY, LENGTH, NOT_NULL, TYPE
+from almacen.operators.constraints import Constraint as C
+
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
@@ -62,6 +65,37 @@ SOURCES = {
     "POST_DEVOLUCIONES": (RETURNS, "id_devolucion"),
 }
 
+# What the source tables promise: primary keys and text lengths of the source DDL, keys that silver relies on,
+# and the codes of the reference's source data
+CONSTRAINTS = {
+    "MSTR_PROVEEDORES": (
+        C(KEY, "id_proveedor"), C(NOT_NULL, "id_proveedor"), C(LENGTH, "razon_social", 150), C(LENGTH, "pais_origen", 50),
+        C(CHECK, "tiempo_repo_dias", "tiempo_repo_dias >= 0"),
+    ),
+    "MSTR_ARTICULOS": (
+        C(KEY, "art_id"), C(NOT_NULL, "art_id"), C(NOT_NULL, "activo"), C(LENGTH, "cod_barra", 50), C(LENGTH, "desc_art", 200),
+        C(LENGTH, "unid_medida", 20), C(CHECK, "precio_lista", "precio_lista >= 0"),
+    ),
+    "MSTR_TIENDAS": (
+        C(KEY, "id_tienda"), C(NOT_NULL, "id_tienda"), C(NOT_NULL, "id_ciudad"), C(LENGTH, "nom_tienda", 100), C(LENGTH, "tipo_tienda", 50),
+    ),
+    "CRM_MIEMBROS": (
+        C(KEY, "id_miembro"), C(NOT_NULL, "id_miembro"), C(NOT_NULL, "genero"), C(DOMAIN, "genero", ("M", "F")), C(LENGTH, "rango_edad", 20),
+    ),
+    "TRANS_VENTAS": (
+        C(KEY, "id_trans"), C(NOT_NULL, "id_trans"), C(NOT_NULL, "id_miembro"), C(NOT_NULL, "id_tienda"),
+        C(DOMAIN, "canal_venta", ("Fisico", "Online", "App")), C(LENGTH, "hra_trans", 8), C(CHECK, "art_id", "art_id > 0"),
+        C(CHECK, "qty_vendida", "qty_vendida > 0"), C(CHECK, "descuento_aplicado", "descuento_aplicado BETWEEN 0 AND precio_unitario_venta"),
+    ),
+    "INV_STOCK_DIARIO": (
+        C(KEY, "id_snapshot"), C(NOT_NULL, "id_snapshot"), C(TYPE, "stock_transito", "int"), C(CHECK, "stock_fisico", "stock_fisico >= stock_minimo_config"),
+    ),
+    "POST_DEVOLUCIONES": (
+        C(KEY, "id_devolucion"), C(NOT_NULL, "id_devolucion"), C(CHECK, "id_trans_origen", "id_trans_origen > 0"),
+        C(DOMAIN, "estado_devolucion", ("APROBADO", "PENDIENTE")), C(LENGTH, "motivo_cod", 50),
+    ),
+}
+
 CONTROL = _schema(
     ("PkControlCargas", INT), ("EsquemaFuente", STR), ("NombreTablaFuente", STR),
     ("ColumnasArchivoFuente", STR), ("FiltrosArchivoFuente", STR),
