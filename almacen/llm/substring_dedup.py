@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almacen.llm.common import id_text, prepare
+from almacen.llm.common import id_text, materialize, prepare
 from almacen.llm.textkit import blocks, grams, sliding_argmin, word_hashes
 
 BLOCK, SEED = 20, 8  # words
@@ -34,7 +34,7 @@ _NO_ID = -(1 << 63)  # stands for a null doc_id, which is before all others
 def _seed_rows(block: int, seed: int):
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc").to_numpy()
+            ids, own = batch.column("doc").to_numpy(), batch.column("own").to_numpy()
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for lo, hi in blocks(texts):
                 words, first, _, _ = word_hashes(texts[lo:hi])
@@ -53,6 +53,7 @@ def _seed_rows(block: int, seed: int):
                     {
                         "seed": pa.array(values[place[run_at]].view(np.int64)),
                         "doc": pa.array(ids[lo:hi][doc[run_at]]),
+                        "own": pa.array(own[lo:hi][doc[run_at]]),
                         "at": pa.array((at[run_at] - first[:-1][doc[run_at]]).astype(np.int32)),
                         "n": pa.array(n.astype(np.int32)),
                     }
@@ -74,12 +75,13 @@ def _positions(spans: list) -> np.ndarray:
 def _block_rows(block: int):
     def run(batches):
         for batch in batches:
-            ids, spans = batch.column("doc").to_pylist(), batch.column("spans").to_pylist()
+            ids, own, spans = (batch.column(c).to_pylist() for c in ("doc", "own", "spans"))
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for lo, hi in blocks(texts):
                 words, first, _, _ = word_hashes(texts[lo:hi])
                 a, b = grams(words, block, 1), grams(words, block, 2)
                 places = [_positions(s) for s in spans[lo:hi]]
+                sizes = [len(p) for p in places]
                 at = np.concatenate([p + f for p, f in zip(places, first[:-1].tolist(), strict=True)])
                 if not len(at):
                     continue
@@ -87,7 +89,8 @@ def _block_rows(block: int):
                     {
                         "h1": pa.array(a[at].view(np.int64)),
                         "h2": pa.array(b[at].view(np.int64)),
-                        "doc": pa.array(np.repeat(np.array(ids[lo:hi], dtype=np.int64), [len(p) for p in places])),
+                        "doc": pa.array(np.repeat(np.array(ids[lo:hi], dtype=np.int64), sizes)),
+                        "own": pa.array(np.repeat(np.array(own[lo:hi], dtype=np.int64), sizes)),
                         "at": pa.array(np.concatenate(places).astype(np.int32)),
                     }
                 )
@@ -148,6 +151,23 @@ def _factors(block: int, with_text: bool):
     return run
 
 
+def _documents(docs: DataFrame) -> DataFrame:
+    """doc_id, doc, own, text: ``doc`` and then ``own`` order the documents and tell them apart.
+
+    ``doc`` is the doc_id, with a value before all others for null. ``own`` is 0 for an id that one row has. Rows
+    that share an id (null too) get a hash of their text, so that texts are told apart and
+    rows equal in id and text are one document. The ids are counted alone, and written, so that what is
+    joined to the texts is usually nothing, or small enough for Spark to broadcast.
+    """
+    src = id_text(docs).withColumn("doc", F.coalesce("doc_id", F.lit(_NO_ID)))
+    again = src.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc", F.lit(True).alias("shared"))
+    again = materialize(again, "shared-ids")
+    if again.isEmpty():
+        return src.select("doc_id", "doc", F.lit(0).cast("long").alias("own"), "text")
+    own = F.when(F.col("shared"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    return src.join(again, "doc", "left").select("doc_id", "doc", own.alias("own"), "text")
+
+
 def factor(docs: DataFrame, block: int = BLOCK, seed: int = SEED, digest: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept, factors.
 
@@ -157,25 +177,26 @@ def factor(docs: DataFrame, block: int = BLOCK, seed: int = SEED, digest: bool =
     blocks are judged on the whole input. kept holds the other words joined by one
     space (``digest``: the sha256 of their UTF-8 instead), factors the removed spans in words.
     Null texts have no words; texts shorter than a block lose none. A null doc_id
-    is smaller than any other. Rows of one doc_id count as one document: equal
-    starts in them are not earlier than one another, so a repeated row is treated
-    like the first. Other columns are not read. No rows, no rows.
+    is smaller than any other. Rows that share a doc_id, or have none, are documents of
+    their own, in the order of a hash of their texts; rows equal in id and text are one document, and a
+    repeated row is treated like the first. Other columns are not read. No rows, no rows.
     """
     prepare(docs.sparkSession)
-    src = id_text(docs).select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "text")
-    seeds = src.select("doc", "text").mapInArrow(_seed_rows(block, seed), "seed long, doc long, at int, n int")
+    src, key = _documents(docs), ["doc", "own"]
+    seeds = src.select(*key, "text").mapInArrow(_seed_rows(block, seed), "seed long, doc long, own long, at int, n int")
     again = seeds.groupBy("seed").count().where("count > 1").select("seed")
     held = seeds.join(again, "seed")
-    spans = held.groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    # spans per document are bounded by its own length. Both joins below deal out the same
-    # columns of the texts by doc, so Spark moves the texts once and reuses that exchange
-    marked = src.join(spans, "doc", "left")
-    found = marked.where("spans IS NOT NULL").select("doc", "doc_id", "text", "spans").mapInArrow(
-        _block_rows(block), "h1 long, h2 long, doc long, at int"
+    # spans per document are bounded by its own length, however often the row is repeated
+    spans = held.groupBy(*key).agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+    # Both joins below deal out the same columns of the texts by document, so Spark moves the texts once and
+    # reuses that exchange
+    marked = src.join(spans, key, "left")
+    found = marked.where("spans IS NOT NULL").select(*key, "doc_id", "text", "spans").mapInArrow(
+        _block_rows(block), "h1 long, h2 long, doc long, own long, at int"
     )
-    earliest = found.groupBy("h1", "h2").agg(F.min(F.struct("doc", "at")).alias("m"))
-    firsts = earliest.groupBy(F.col("m.doc").alias("doc")).agg(F.collect_list("m.at").alias("firsts"))
-    ready = marked.join(firsts, "doc", "left").select("doc_id", "text", "spans", "firsts")
+    earliest = found.groupBy("h1", "h2").agg(F.min(F.struct("doc", "own", "at")).alias("m"))
+    firsts = earliest.groupBy(F.col("m.doc").alias("doc"), F.col("m.own").alias("own")).agg(F.collect_list("m.at").alias("firsts"))
+    ready = marked.join(firsts, key, "left").select("doc_id", "text", "spans", "firsts")
     return ready.mapInArrow(
         _factors(block, not digest),
         "doc_id long, n_words long, n_removed long, kept string, factors array<struct<at: int, n: int>>",

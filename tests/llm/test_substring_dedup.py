@@ -66,6 +66,38 @@ def test_repeated_rows_and_nulls(make_docs):
     assert substring_dedup.factor(make_docs([])).count() == 0
 
 
+def ordered(rows):
+    """Rows under ids that say their order: by id, null first, rows of one id by what the operator orders texts by."""
+    from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
+
+    spark = SparkSession.getActiveSession()
+    hashed = spark.createDataFrame([(t,) for _, t in rows], "t string").select("t", F.xxhash64(F.coalesce("t", F.lit(""))).alias("h"))
+    h = {r["t"]: r["h"] for r in hashed.collect()}
+    shared = Counter(i for i, _ in rows)
+    places = sorted({(i is not None, i or 0, h[t] if shared[i] > 1 else 0) for i, t in rows})
+    return [(places.index((i is not None, i or 0, h[t] if shared[i] > 1 else 0)), t) for i, t in rows]
+
+
+def test_rows_that_share_an_id_or_have_none(make_docs):
+    """Different texts under one id, or none, in every order: nothing is lost and nothing crashes."""
+    p = " ".join(f"p{i}" for i in range(30))
+    other = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    cases = [
+        [(1, p), (7, other("a", 200) + " " + p), (7, other("b", 300))],
+        [(1, p), (7, "short text"), (7, other("a", 200) + " " + p)],
+        [(None, "short"), (None, other("c", 200)), (5, "a " + p), (9, p)],
+        [(None, other("d", 50) + " " + p), (None, p), (None, None), (None, p + " end"), (3, p)],
+        [(i % 4 if i % 3 else None, t) for i, t in enumerate(corpus(3))],
+    ]
+    for rows in cases:
+        want = Counter((n, r, k) for _, n, r, k in brute(ordered(rows), 20).elements())
+        for version in (rows, rows[::-1]):
+            got = substring_dedup.factor(make_docs(version), digest=True).collect()
+            assert Counter((r["n_words"], r["n_removed"], r["kept"]) for r in got) == want
+            assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+
+
 def test_parse():
     assert substring_dedup.parse(50, np.array([3, 4, 5, 20, 40]), 10) == [(3, 12), (20, 10), (40, 10)]
     assert substring_dedup.parse(50, np.array([3, 8]), 10) == [(3, 10), (13, 5)]
