@@ -39,9 +39,7 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        _tokenizers[path] = tok
+        _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
 
@@ -57,13 +55,16 @@ class _Encoder:
     and other characters before it merges, so a text's ids are those of its words, and a word
     with a mark at its end is the word and the mark. Words of letters only are one
     run each: they are encoded many at a time and told apart by the vocabulary's
-    end-of-word suffix. Two generations of remembered words bound the memory.
+    end-of-word suffix. Two generations of remembered words bound the memory. A text that
+    may hold a token that was added to the vocabulary goes to the library whole, as that finds them first.
     """
 
     def __init__(self, path: str, dtype: np.dtype):
         self.tok, self.dtype = _tokenizer(path), dtype
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        # the first two characters, which normalisation leaves as they are: the rest of a token may be written differently
+        self.added = {t.content[:2] for t in self.tok.get_added_tokens_decoder().values() if t.content}
         vocab = self.tok.get_vocab()
         suffix = self.tok.model.end_of_word_suffix
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -102,7 +103,8 @@ class _Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.young) > CACHE_WORDS:
             self.young, self.old = {}, self.young
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        whole = {i: self.tok.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if any(x in t for x in self.added)}
+        split = [[] if i in whole else t.replace("\n", " ").split(" ") for i, t in enumerate(texts)]
         compound = {}
         simple = set()
         for w in {w for words in split for w in words}.difference(self.young):
@@ -127,7 +129,10 @@ class _Encoder:
         known = self.young
         for w, (core, tail) in compound.items():
             known[w] = known[core] + known[tail] if tail else known[core]
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for i, ids in whole.items():
+            out[i] = np.array(ids, dtype=self.dtype).tobytes()
+        return out
 
 
 def encode_texts(texts: list[str], path: str, dtype: np.dtype) -> list[bytes]:

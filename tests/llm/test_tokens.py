@@ -16,7 +16,7 @@ WORD = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TEXTS = [
     "Hello  world,\n it's 12 o'clock\t\tnow!!  ", "", None, " ", "ÀÉ é ́x ñandú Straße ΣΑΣ x\x85y\x1cz", "a" * 5000,
-    "日本語 テキスト 🙂🙂 ok", "<|endoftext|> x <|startoftext|>", "same", "same", "word " * 3000, "\r\n\r\n  \n", "x" + " " * 2000 + "y",
+    "日本語 テキスト 🙂🙂 ok", "<|endoftext|> x <|startoftext|>", "Hello <|endoftext|> world", "a<|ENDOFTEXT|>b<|endoftext|>c <| endoftext|>", "same", "same", "word " * 3000, "\r\n\r\n  \n", "x" + " " * 2000 + "y",
 ]
 
 
@@ -25,8 +25,7 @@ def stream(spark, docs, **kw):
 
 
 def reference(rows):
-    tok = Tokenizer.from_file(WORD)
-    tok.encode_special_tokens = True
+    tok = Tokenizer.from_file(WORD)  # as it comes: added tokens in a text are found
     out, at = [], 0
     for i, t in rows:
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 1]
@@ -62,8 +61,7 @@ def test_token_files(spark, make_docs):
 
 def test_words_by_parts_equal_whole_texts():
     rnd = random.Random(8)
-    tok = Tokenizer.from_file(WORD)
-    tok.encode_special_tokens = True
+    tok = Tokenizer.from_file(WORD)  # as it comes: added tokens in a text are found
     alphabet = "abAB'sé\u0301ÉΣσİıſŁ漢1²½.,;:!?-_ \n\t\x1c\x85\u3000🙂ﬁ"
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(60))) for _ in range(3000)]
     got = token_files.encode_texts(texts, WORD, np.dtype("<u2"))
