@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -53,14 +54,15 @@ STATS = 8  # n-grams seen once, twice, three and four times, at all, sum of coun
 # files and columns
 
 
-def _fs(folder: str):
+def open_folder(folder: str):
+    """(file system, path) of a folder given as URI or path."""
     uri = folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}"
     return pafs.FileSystem.from_uri(uri)
 
 
 def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray], codec: str | None = None) -> str:
     """One Arrow file below ``folder``; a task that is run again writes under another name."""
-    fs, base = _fs(folder)
+    fs, base = open_folder(folder)
     fs.create_dir(base, recursive=True)
     path = f"{base}/{name}-{uuid.uuid4().hex}.arrow"
     batch = pa.record_batch([pa.array(a) for a in arrays.values()], names=list(arrays))
@@ -71,7 +73,7 @@ def write_arrays(folder: str, name: str, arrays: dict[str, np.ndarray], codec: s
 
 def read_arrays(folder: str, path: str) -> dict[str, np.ndarray]:
     """The arrays of a file: views of a memory map where the folder is mounted, read otherwise."""
-    fs, _ = _fs(folder)
+    fs, _ = open_folder(folder)
     source = pa.memory_map(path) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(path)
     batch = pa.ipc.open_file(source).get_batch(0)
     return {n: batch.column(n).to_numpy() for n in batch.schema.names}
@@ -159,7 +161,7 @@ class _Block:
             "train": np.array(train, dtype=np.uint8),
         }
         cols = pa.record_batch([pa.array([a.tobytes()], pa.binary()) for a in parts.values()], names=list(parts))
-        fs, base = _fs(folder)
+        fs, base = open_folder(folder)
         fs.create_dir(base, recursive=True)
         path = f"{base}/{name}-{uuid.uuid4().hex}.arrow"
         with fs.open_output_stream(path) as out:
@@ -172,7 +174,7 @@ _TYPES = {"words": "<u8", "tokens": "<u4", "sizes": "<i8", "rows": "<i8", "docs"
 
 
 def read_block(folder: str, path: str) -> dict[str, np.ndarray]:
-    fs, _ = _fs(folder)
+    fs, _ = open_folder(folder)
     with fs.open_input_file(path) as f:
         batch = pa.ipc.open_file(f).get_batch(0)
         return {n: np.frombuffer(batch.column(n)[0].as_py(), t) for n, t in _TYPES.items()}
@@ -325,7 +327,7 @@ def _messages(level: int, block: int, h: np.ndarray, cols: list[np.ndarray], sha
 
 def _answers(table: pa.Table, level: int, h: np.ndarray, n_cols: int, select: np.ndarray | None = None) -> list[np.ndarray]:
     """Columns for the hashes of a block from the shards' answers; zeros outside ``select``."""
-    rows = table.filter(pa.compute.equal(table.column("level"), level)).sort_by("shard").column("cols").to_pylist()
+    rows = table.filter(pc.equal(table.column("level"), level)).sort_by("shard").column("cols").to_pylist()
     order = np.argsort(h) if select is None else select[np.argsort(h[select])]
     out = []
     for i in range(n_cols):

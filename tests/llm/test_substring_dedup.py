@@ -55,7 +55,7 @@ def test_equals_brute_force(make_docs):
 
 
 def test_short_blocks(make_docs):
-    check(make_docs, list(enumerate(corpus(2))), block=6, seed=3)
+    check(make_docs, list(enumerate(corpus(2))), block=6, seed=3, part=2000)
 
 
 def test_repeated_rows_and_nulls(make_docs):
@@ -98,7 +98,23 @@ def test_rows_that_share_an_id_or_have_none(make_docs):
             assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
 
 
+def test_factors_copy_from_earlier_places(make_docs):
+    rows = [(i, t) for i, t in enumerate(corpus(5))]
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in rows}
+    n = 0
+    for r in substring_dedup.factor(make_docs(rows), part=4000).collect():
+        own, end = words[r["doc_id"]], 0
+        for f in r["factors"]:
+            a, src = f["at"], f["source_at"]
+            assert (f["source_id"], src) < (r["doc_id"], a) and f["n"] > 0 and a >= end
+            assert own[a : a + f["n"]] == words[f["source_id"]][src : src + f["n"]]
+            end, n = a + f["n"], n + 1
+    assert n > 50
+
+
 def test_parse():
-    assert substring_dedup.parse(50, np.array([3, 4, 5, 20, 40]), 10) == [(3, 12), (20, 10), (40, 10)]
-    assert substring_dedup.parse(50, np.array([3, 8]), 10) == [(3, 10), (13, 5)]
-    assert substring_dedup.parse(5, np.array([], dtype=np.int64), 10) == []
+    i = np.array
+    assert substring_dedup.parse(i([3, 4, 5, 20, 40]), i([0, 0, 0, 1, 0]), i([7, 8, 9, 0, 2]), 10) == [(3, 12, 0, 7), (20, 10, 1, 0), (40, 10, 0, 2)]
+    assert substring_dedup.parse(i([3, 8]), i([2, 2]), i([0, 30]), 10) == [(3, 10, 2, 0), (13, 5, 2, 35)]
+    assert substring_dedup.parse(i([3, 4]), i([0, 1]), i([0, 1]), 10) == [(3, 10, 0, 0), (13, 1, 1, 10)]
+    assert substring_dedup.parse(np.array([], dtype=np.int64), np.array([]), np.array([]), 10) == []
