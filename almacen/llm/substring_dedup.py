@@ -322,12 +322,13 @@ def factor(docs: DataFrame, block: int = BLOCK, seed: int = SEED, digest: bool =
     prepare(spark)
     shards, folder = shuffle_partitions(spark), scratch_path(spark, "substring-parts")
     parts = materialize(_documents(docs).mapInArrow(_write_parts(folder, part), "part long, path string"), "parts")
-    dealt = parts.repartition(shards, "part")  # few small rows, much work behind each
+    by_part = lambda rows: rows.repartition(shards, "part")  # noqa: E731 - few small rows, much work behind each: never coalesced
+    dealt = by_part(parts)
     seeds = dealt.mapInArrow(_send_seeds(folder, block, seed, shards), MESSAGE).groupBy("shard").applyInArrow(_seen_twice, ANSWER)
     seeds = materialize(seeds, "seeds-told")
-    found = parts.groupBy("part").cogroup(seeds.groupBy("part")).applyInArrow(_send_blocks(folder, block, seed, shards), MESSAGE)
+    found = dealt.groupBy("part").cogroup(by_part(seeds).groupBy("part")).applyInArrow(_send_blocks(folder, block, seed, shards), MESSAGE)
     places = materialize(found.groupBy("shard").applyInArrow(_earliest, ANSWER), "blocks-told")
     told = seeds.withColumn("kind", F.lit(0)).unionByName(places.withColumn("kind", F.lit(1)))
-    return parts.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(
+    return dealt.groupBy("part").cogroup(by_part(told).groupBy("part")).applyInArrow(
         _factors(folder, block, seed, not digest), f"doc_id long, n_words long, n_removed long, kept string, factors array<{FACTOR}>"
     )
