@@ -26,7 +26,7 @@ from almacen.llm.common import id_text, materialize, prepare, scratch_path, shuf
 
 SEQ_LEN, BATCH_ROWS = 2048, 256
 END_ID = 1
-CACHE_WORDS = 300_000  # words whose ids a Python worker remembers, at least; twice as many at most
+CACHE_WORDS = 700_000  # words whose ids a Python worker remembers, at least; twice as many at most
 
 _tokenizers: dict = {}
 _encoders: dict[str, _Encoder] = {}
