@@ -7,6 +7,8 @@ NOT EXISTS, global windows), so it never mirrors the Spark method.
 
 from __future__ import annotations
 
+import hashlib
+
 FIXTURES = """
 proveedores AS (
   SELECT CAST(s.s_suppkey AS INTEGER) AS id_proveedor, s.s_name AS razon_social, n.n_name AS pais_origen,
@@ -258,6 +260,13 @@ FACT_SALES_COLS = (
 
 
 
+def _hmac(version, key):
+    """HMAC-SHA256 of id_miembro_bk by its definition, the padded keys written out."""
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (f"unhex('{bytes(k ^ pad for k in key).hex()}')" for pad in (0x36, 0x5C))
+    return f"'{version}:' || sha256({outer} || unhex(sha256({inner} || CAST(CAST(id_miembro_bk AS VARCHAR) AS BLOB))))"
+
+
 def _constraint_rows():
     """(table, source, kind, column, rule, violations) of each promise, in plain SQL."""
     sources = {
@@ -351,6 +360,12 @@ FROM (SELECT CAST(unnest(generate_series(min(fec_trans), max(fec_trans), INTERVA
     "mask_customers": """
 SELECT * REPLACE (regexp_replace(regexp_replace(regexp_replace(CAST(id_miembro_bk AS VARCHAR),
          '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS id_miembro_bk)
+FROM dim_clientes""",
+    "pseudonymised_customers": f"""
+SELECT {_hmac("v2", b"otra clave, mas larga que un bloque de sesenta y cuatro bytes, de ejemplo")} AS id_miembro_bk,
+       {_hmac("v1", b"clave de ejemplo")} AS seudonimo_v1, genero, rango_edad,
+       regexp_replace(regexp_replace(regexp_replace(canal_pref, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS canal_pref,
+       CAST(date_trunc('month', fec_registro) AS DATE) AS fec_registro
 FROM dim_clientes""",
     "agg_daily_consumption": "SELECT * FROM diario",
     "agg_reference_date": "SELECT d AS fecha_referencia FROM ref",

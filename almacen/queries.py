@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from almacen import schemas as S
 from almacen.config import DEFAULT_GOLD, DEFAULT_SILVER, FAILURES, INGEST_TS, GoldConfig, SilverConfig
+from almacen.functions import privacy
 from almacen.functions.columns import edge
 from almacen.operators.constraints import violations
 from almacen.operators.contract import apply_contract
@@ -348,6 +349,20 @@ def q_mask_customers(x: Layers) -> DataFrame:
     return dims.mask_columns(x.dim_customers, ["id_miembro_bk"])
 
 
+QUERY_KEYS = privacy.Keys({"v1": b"clave de ejemplo", "v2": b"otra clave, mas larga que un bloque de sesenta y cuatro bytes, de ejemplo"}, "v1")
+CUSTOMER_POLICY = {
+    "id_miembro_bk": privacy.PSEUDONYM, "canal_pref": privacy.MASK, "fec_registro": privacy.MONTH, "genero": privacy.KEEP,
+    "rango_edad": privacy.KEEP, "fec_ultima_compra": privacy.DROP,
+}
+
+
+def q_pseudonymised_customers(x: Layers) -> DataFrame:
+    """Customers by policy, with keyed pseudonyms of the first key and, after rotation, of the second."""
+    first = privacy.apply_policy(x.dim_customers, CUSTOMER_POLICY, QUERY_KEYS)
+    walk = privacy.crosswalk(x.members, "id_miembro", QUERY_KEYS, "v1", "v2")
+    return privacy.rotate(first.withColumn("seudonimo_v1", F.col("id_miembro_bk")), "id_miembro_bk", walk)
+
+
 # --- aggregates and windows ---------------------------------------------------
 def q_agg_daily_consumption(x: Layers) -> DataFrame:
     return x.daily
