@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from almacen import schemas as S
 from almacen.config import FAILURES, INGEST_TS, SOURCE_SYSTEM
 from almacen.operators.contract import apply_contract, failure_count
+from almacen.sources.sinks import read_jdbc, read_jdbc_split
 
 CONTROL_COLUMNS = (
     "PkControlCargas", "EsquemaFuente", "NombreTablaFuente", "ColumnasArchivoFuente",
@@ -89,6 +90,25 @@ def extract(source: DataFrame, load: Load, run: RunInfo) -> DataFrame:
     return add_lineage(df.selectExpr(*split_columns(load.columns)), run)
 
 
+def jdbc_source(
+    spark: SparkSession, url: str, rows_per_slice: int = 1_000_000, most: int = 200, properties: dict | None = None, quote: str = '"'
+) -> Callable[[Load], DataFrame]:
+    """``read_source`` for :func:`load_all` over JDBC: each load's table, split by its primary key where that is a number.
+
+    Column list and filter of the control row are applied by :func:`extract` and pushed into every slice's query.
+    """
+
+    def read(load: Load) -> DataFrame:
+        schema = f"{load.source_schema}." if load.source_schema else ""
+        table = f"{schema}{load.source_table}"
+        contract, key = S.SOURCES.get(load.source_table, (None, None))
+        if key is None or not isinstance(contract[key].dataType, T.IntegralType):
+            return read_jdbc(spark, url, table=table, properties=properties)
+        return read_jdbc_split(spark, url, table, f"{quote}{key}{quote}", rows_per_slice, most, properties)
+
+    return read
+
+
 def raw_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/raw/{table}"
 

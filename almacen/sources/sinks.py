@@ -103,3 +103,34 @@ def read_jdbc(
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     return r.load()
+
+
+def plan_split(
+    spark: SparkSession, url: str, table: str, column: str, rows_per_slice: int = 1_000_000, most: int = 200, properties: dict | None = None
+) -> list[str]:
+    """Conditions that split a source table by an integer column into slices that don't overlap and leave nothing out.
+
+    The source is asked once for its row count and the column's bounds; as many slices as the rows need, at most
+    ``most`` (the connections the source can bear). Rows without the column's value are a slice of their own. A table
+    of no rows, or one slice, is read whole.
+    """
+    sql = f"SELECT COUNT(*) AS N, COUNT({column}) AS K, MIN({column}) AS LO, MAX({column}) AS HI FROM {table}"
+    n, named, lo, hi = read_jdbc(spark, url, query=sql, properties=properties).first()
+    slices = min(most, -(-named // rows_per_slice), int(hi) - int(lo) + 1) if named else 0
+    if slices + (n > named) <= 1:
+        return []
+    cuts = [int(lo) + (int(hi) + 1 - int(lo)) * i // slices for i in range(1, slices)]
+    ends = [None, *cuts, None]
+    parts = [(f"{column} >= {a}" if a is not None else "", f"{column} < {b}" if b is not None else "") for a, b in zip(ends, ends[1:], strict=False)]
+    out = [" AND ".join(c for c in part if c) or f"{column} IS NOT NULL" for part in parts]
+    return out + [f"{column} IS NULL"] * (n > named)
+
+
+def read_jdbc_split(
+    spark: SparkSession, url: str, table: str, column: str, rows_per_slice: int = 1_000_000, most: int = 200, properties: dict | None = None
+) -> DataFrame:
+    """A whole source table, one task and connection a slice of :func:`plan_split`."""
+    slices = plan_split(spark, url, table, column, rows_per_slice, most, properties)
+    if not slices:
+        return read_jdbc(spark, url, table=table, properties=properties)
+    return spark.read.jdbc(url, table, predicates=slices, properties=properties or {})

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from almacen import schemas as S
 from almacen.sources import bronze
-from almacen.sources.sinks import read_jdbc, write_jdbc
+from almacen.sources.sinks import plan_split, read_jdbc, read_jdbc_split, write_jdbc
 from almacen.sources.testdata import source_tables
 
 SF = "/root/testdata/sf0.001"
@@ -82,6 +82,38 @@ def test_jdbc_round_trip_embedded_derby(spark):
     assert [r[0] for r in q.collect()] == ["b"]
 
 
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def test_a_source_table_is_read_in_slices_that_leave_nothing_out(spark):
+    url = "jdbc:derby:memory:almacen_split;create=true"
+    rows = [(i * 3 - 50, f"n{i}", 10.0 * i, 1) for i in range(100)] + [(None, "sin id", 1.0, 1)] * 4
+    stores = spark.createDataFrame(rows, "id_tienda int, nom_tienda string, metros double, activo int")
+    write_jdbc(stores, url, "MSTR_TIENDAS", mode="overwrite", properties=DERBY)
+    slices = plan_split(spark, url, "MSTR_TIENDAS", '"id_tienda"', rows_per_slice=30, properties=DERBY)
+    assert len(slices) == 4 + 1 and slices[-1].endswith("IS NULL")
+    each = [stores.where(c.replace('"', "")).count() for c in slices]
+    assert sum(each) == 104 and max(each) <= 30  # no overlap, nulls included
+    assert len(plan_split(spark, url, "MSTR_TIENDAS", '"id_tienda"', 10, most=3, properties=DERBY)) == 3 + 1
+    control = spark.createDataFrame([(1, "", "MSTR_TIENDAS", "id_tienda, metros", "metros < 500", "b", "MSTR_TIENDAS", 1)], S.CONTROL)
+    (load,) = bronze.collect_loads(bronze.active_loads(control))
+    df = bronze.extract(bronze.jdbc_source(spark, url, 30, properties=DERBY)(load), load, RUN)
+    assert df.rdd.getNumPartitions() == 5
+    assert sorted(str(r[0]) for r in df.collect()) == sorted(str(r[0]) for r in stores.where("metros < 500").collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(metros,500.0)" in plan and "nom_tienda" not in plan
+
+
+def test_empty_and_small_source_tables_are_read_whole(spark):
+    url = "jdbc:derby:memory:almacen_split2;create=true"
+    for n in (0, 1):
+        write_jdbc(spark.createDataFrame([(5, "x")] * n, "k int, v string"), url, "POCO", mode="overwrite", properties=DERBY)
+        assert plan_split(spark, url, "POCO", '"k"', properties=DERBY) == []
+        assert read_jdbc_split(spark, url, "POCO", '"k"', properties=DERBY).count() == n
+    write_jdbc(spark.createDataFrame([(None, "x")] * 3, "k int, v string"), url, "NULOS", mode="overwrite", properties=DERBY)
+    assert read_jdbc_split(spark, url, "NULOS", '"k"', properties=DERBY).count() == 3
+
+
 def test_raw_stream_available_now(spark):
     from almacen.streaming import typed_increments
 
