@@ -9,12 +9,14 @@ Jaccard similarity, corrected for chance collisions of registers, sorts out the
 clearly different, and the full shingle sets decide.
 
 Candidates are not all pairs of a bucket: documents with equal sets are one
-class; each class of a bucket is paired with the bucket's least and greatest
-class; the confirmed links make components; and only where a bucket still spans
-several components are the pairs across them looked at as well, without the classes
-that have too many shingles of their own to be linked with any other there. So every
-pair of a bucket is decided, impossible, or inside one component, and no link
-between components is lost.
+class; each class of a bucket is paired with the bucket's centre, the class whose
+other bands are shared most: of many edited copies that is the one with the fewest edits,
+which nearly every copy that has a link at all is linked with. The confirmed links make
+components; and only where a bucket still spans several components are the pairs across
+them looked at as well: without the classes that have too many shingles of their own to
+be linked with any other there, and joined on their rarest shingles, of which two linked classes
+share one. So every pair of a bucket is decided, impossible, or inside one component, and no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almacen.llm.common import components, id_text, materialize, prepare
@@ -194,11 +196,23 @@ def _pairs(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _to_centres(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each class with the centres of its buckets, from (band, rep, size of the bucket).
+
+    A class weighs what its buckets hold together, so every edit that moves a class out of the
+    common buckets makes it lighter. The heaviest of a bucket is its centre.
+    """
+    weight = shared.groupBy("rep").agg(F.sum("size").alias("weight"))
+    centre = shared.join(weight, "rep").groupBy("band").agg(F.max(F.struct("weight", "rep")).alias("m"))
+    near = shared.join(centre.select("band", F.col("m.rep").alias("centre")), "band").where("rep <> centre")
+    return near.select(*_pairs("rep", "centre")).distinct()
+
+
 def _undecided(shared: DataFrame, classes: DataFrame, members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(band, rep, comp, n, common, bands) of the buckets that hold several components, without classes that can have no link there.
+    """(rep, comp, n, least) of the classes in buckets that hold several components, without those that can have no link there.
 
     A link needs (100 + percent) * |A and B| >= percent * (|A| + |B|). In a bucket
-    |B| is at least the least size in it and percent / 100 * |A|, and |A and B| is at most ``common``, the
+    |B| is at least the least size in it and percent / 100 * |A|, and |A and B| is at most the
     number of A's shingles that any other class of these buckets has.
     """
 
@@ -216,19 +230,35 @@ def _undecided(shared: DataFrame, classes: DataFrame, members: DataFrame, labels
     open_ = held.join(lonely, "rep", "left").where(
         f"(100 + {percent}) * (n - coalesce(lonely, 0)) >= {percent} * (n + greatest(least, {percent} * n / 100))"
     )
-    left = mixed(open_.select("band", "rep", "n", "comp", (F.col("n") - F.coalesce("lonely", F.lit(0))).alias("common")))
-    return materialize(left.join(classes.select("rep", "bands"), "rep").drop("least"), "undecided")
+    left = mixed(open_.select("band", "rep", "n", "comp")).groupBy("rep", "comp", "n").agg(F.min("least").alias("least"))
+    return materialize(left, "undecided")
 
 
-def _across(left: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes in one bucket and different components that may be linked, each in one of its buckets only."""
-    x, y = left.alias("x"), left.alias("y")
-    met = F.expr(
-        f"""x.band = y.band AND x.comp < y.comp
-        AND (100 + {percent}) * least(x.common, y.common) >= {percent} * (x.n + y.n)
-        AND array_min(array_intersect(x.bands, y.bands)) = x.band"""
-    )
-    return x.join(y, met).select(*_pairs("x.rep", "y.rep")).distinct()
+def _across(left: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of the classes ``left`` that may be linked and are in different components.
+
+    All shingles are ordered, the rarest first. Of two linked classes the first shingle that they
+    share has, in each, so few before it that the rest suffices for a link; so only
+    that many of a class's rarest shingles are joined, and edited copies of one text do not meet at what all
+    of them have.
+    """
+    sets = members.join(left, "rep").select("rep", "members")
+    own = materialize(sets.mapInArrow(_own_shingles, "rep long, shingle long"), "own")
+    df = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # lonely shingles come first in any order and match nothing: the others' places follow their number
+    met = own.join(df, "shingle").join(left, "rep")
+    order = Window.partitionBy("rep").orderBy(F.desc("df"), F.desc("shingle"))
+    met = met.withColumn("after", F.row_number().over(order))  # this shingle and the class's more frequent ones
+    few = f"(100 + {percent}) * after >= {percent} * (n + greatest(least, {percent} * n / 100))"
+    met = materialize(met.where(few).select("shingle", "rep", "comp", "n", "after"), "rare")
+    # at a shingle, classes of its most frequent component meet only the others
+    most = met.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("shingle")
+    most = most.agg(F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    held = met.join(most.select("shingle", F.col("m.comp").alias("major")), "shingle")
+    x, y = held.where("comp <> major").drop("major").alias("x"), held.alias("y")
+    enough = f"(100 + {percent}) * least(x.after, y.after) >= {percent} * (x.n + y.n)"
+    pair = f"x.shingle = y.shingle AND x.comp <> y.comp AND (y.comp = y.major OR x.rep < y.rep) AND {enough}"
+    return x.join(y, F.expr(pair)).select(*_pairs("x.rep", "y.rep")).distinct()
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -252,10 +282,9 @@ def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     rows = classes.select("rep", F.explode("bands").alias("band"))
-    buckets = rows.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
+    buckets = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = materialize(rows.join(buckets, "band"), "shared")
-    near = shared.select(F.explode(F.array("lo", "hi")).alias("y"), F.col("rep").alias("x")).where("x <> y")
-    pairs = near.select(*_pairs("x", "y")).distinct()
+    pairs = _to_centres(shared)
 
     nodes = classes.select("rep", F.col("first").alias("row")).join(shared.select("rep").distinct(), "rep", "left_semi")
     nodes = made.select(*ROW).join(nodes, "row").drop("row").alias("n")
@@ -267,7 +296,7 @@ def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     star = state.promising(pairs)
     state.settle(star)
     left = _undecided(shared, classes, members, state.labels, percent)
-    cross = _across(left, percent).join(pairs, ["a", "b"], "left_anti")
+    cross = _across(left, members, percent).join(pairs, ["a", "b"], "left_anti")
     more = state.promising(cross)
     if not more.isEmpty():
         state.settle(more)

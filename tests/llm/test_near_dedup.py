@@ -104,3 +104,29 @@ def test_estimate_is_close():
             true = len(both) / (len(both) + len(own[0]) * 2)
             err.append(float(near_dedup.similarity(a, b)) - true)
         assert abs(np.mean(err)) < 0.06 and max(map(abs, err)) < 0.3
+
+
+def test_group_of_edited_copies(make_docs, monkeypatch):
+    """Copies of one text, most with too many edits for a link, some copied again: no link is lost, few pairs are compared."""
+    rnd = random.Random(7)
+    base = [rnd.choice(WORDS) for _ in range(150)]
+    texts = []
+    for _ in range(220):
+        copy = list(rnd.choice(texts[-40:])) if texts and rnd.random() < 0.2 else list(base)
+        for _ in range(rnd.randrange(12)):
+            copy[rnd.randrange(len(copy))] = f"{rnd.choice(WORDS)}{rnd.randrange(30)}"
+        texts.append(copy)
+    rows = list(enumerate(map(" ".join, texts)))
+    compared, promising = [], near_dedup._Links.promising
+
+    def counted(self, pairs):
+        out = promising(self, pairs)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup._Links, "promising", counted)
+    got = near_dedup.near_groups(make_docs(rows), shingle=4, percent=80).collect()
+    want = brute(rows)
+    assert sorted(map(tuple, got)) == want
+    assert 1 < len({c for _, _, c, _ in want}) < 200
+    assert sum(compared) < 6 * len(rows)  # all pairs would be 24,090
