@@ -31,6 +31,7 @@ KINDS = ("email", "ip", "card", "phone", "term")  # in the order of equal starts
 
 WINDOW = 3  # terms on either side of a value
 WIDE = 12  # words on either side by which contexts differ
+NEAR = 400  # code points in which these words are looked for first
 MIN_CONTEXTS = 3  # different contexts in which a term is next to a value
 MAX_COMPANY = 0.5  # of these contexts, from which on another term is company; of the terms around, that may be company, else they are copies of a passage
 MIN_SHARE = 0.8  # of the term's occurrences that are next to the value
@@ -113,21 +114,37 @@ def term_of(word: Column) -> Column:
     return F.when(F.regexp_like(word, F.lit(r"[0-9@+]")), F.lit("")).otherwise(bare)
 
 
+def before(start: Column, text: str = "text") -> Column:
+    """The last WIDE words before the code point ``start``, the nearest first.
+
+    As a rule they stand within NEAR code points: a stretch with more than WIDE words has the last WIDE whole. Only
+    where it has fewer is the text split from its beginning.
+    """
+    lo = F.greatest(start - NEAR, F.lit(0))
+    short, whole = words(F.substring(F.col(text), lo + 1, start - lo)), words(F.substring(F.col(text), F.lit(1), start))
+    return F.slice(F.reverse(F.when((lo == 0) | (F.size(short) > WIDE), short).otherwise(whole)), F.lit(1), F.lit(WIDE))
+
+
+def behind(end: Column, text: str = "text") -> Column:
+    """The first WIDE words from the code point ``end`` on; see :func:`before`."""
+    short = words(F.substring(F.col(text), end + 1, F.lit(NEAR)))
+    whole = words(F.substring(F.col(text), end + 1, F.char_length(F.col(text))))
+    return F.slice(F.when(F.size(short) > WIDE, short).otherwise(whole), F.lit(1), F.lit(WIDE))
+
+
 def contexts(marked: DataFrame) -> DataFrame:
     """(value, context, n, terms, term): the terms within WINDOW words of each protected value, one context per distinct wide surrounding.
 
     n is how often the context occurs in distinct texts. Copies of a passage are one context, so that repeated documents give no evidence.
     """
-    spans = marked.select("text", F.explode("base").alias("s"))
-    left = F.expr("substring(text, 1, s.start)")
-    right = F.expr("substring(text, s.end + 1)")
-    near = spans.select(
-        F.concat(F.col("s.kind"), F.lit(":"), F.lower("s.value")).alias("value"),
-        F.xxhash64("text").alias("text_key"),
-        F.col("s.start").alias("start"),
-        F.slice(F.reverse(words(left)), F.lit(1), F.lit(WIDE)).alias("l"),
-        F.slice(words(right), F.lit(1), F.lit(WIDE)).alias("r"),
-    )
+    def beside(s: Column) -> Column:
+        return F.struct(
+            F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("value"),
+            s["start"].alias("start"), before(s["start"]).alias("l"), behind(s["end"]).alias("r"),
+        )
+
+    near = marked.select(F.xxhash64("text").alias("text_key"), F.explode(F.transform("base", beside)).alias("s"))
+    near = near.select("s.value", "text_key", "s.start", "s.l", "s.r")
     close = F.concat(F.slice("l", F.lit(1), F.lit(WINDOW)), F.slice("r", F.lit(1), F.lit(WINDOW)))
     near = near.select("value", "text_key", "start", F.transform(close, term_of).alias("terms"), F.to_json(F.struct("l", "r")).alias("c"))
     near = near.withColumn("context", F.sha2("c", 256)).drop("c").dropDuplicates(["value", "context", "text_key", "start"])

@@ -3,6 +3,8 @@ import itertools
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from almacen.llm import pii
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -84,6 +86,22 @@ def test_a_name_of_two_words_and_a_signature(make_docs):
     assert {s["value"].lower() for spans in got for s in spans if s["kind"] == "term"} >= {"ana", "lopez", "yours", "zbigniew"}
 
 
+def test_surroundings_of_values(spark):
+    """The words beside a place are those of the whole text before and behind it, near or far."""
+    rnd = random.Random(3)
+    rows = []
+    for k in range(60):
+        long = k % 3  # short words, words of about 60 and of up to 900 code points
+        parts = [rnd.choice("aé🙂.(") * rnd.randrange(1, (6, 60, 900)[long]) + rnd.choice([" ", "\n", "  "]) for _ in range(rnd.randrange(90))]
+        text = "".join(parts)
+        rows += [(text, at, min(len(text), at + 3)) for at in (0, len(text), *(rnd.randrange(len(text) + 1) for _ in range(5)))]
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t)
+    got = spark.createDataFrame(rows, "text string, a int, b int").select("text", "a", "b", pii.before(F.col("a")), pii.behind(F.col("b"))).collect()
+    assert len(got) == len(rows)
+    for text, a, b, left, right in got:
+        assert (left, right) == (split(text[:a])[::-1][: pii.WIDE], split(text[b:])[: pii.WIDE])
+
+
 def test_empty_and_native(make_docs):
     found = pii.detect(make_docs([]))
     assert found.count() == 0
