@@ -1,21 +1,28 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-The benchmark is the stated query set: it is read in blocks of bounded size, and
-each block goes over all documents once. Every word n-gram of an item is a seed:
-how many documents hold one says nothing about a leak, since an edited copy in very many
-documents makes just the n-grams common that it kept. The places of an item's seeds
-in a document are joined to passages, and passage and item are aligned word
+"""Benchmark decontamination: rare n-gram seeds, a join, then Smith-Waterman alignment.
+
+Words are runs without spaces; in scripts that are written without spaces each character
+is one. Every word n-gram of an item is a possible seed. A copy that
+reaches a share of the item's words keeps a number of them (:func:`needed`), so the most common
+ones of an item, as many as that number less one, can go: a document without any of the others
+has too few. What stays are the item's rarest seeds by the number of documents that hold each, without a limit on
+that number, so a copy in very many documents is found like one in a single document.
+
+The documents are read twice, however many items there are: once for the seeds they hold (a filter of
+fixed size, built from all items, keeps other n-grams out of the shuffle) and once more, those
+only that share a rare seed with an item, to align. Passage and item are aligned word
 by word: +1 for equal words, -1 for different, left out or added ones. The score
 is the best local alignment's share of the item's words. Many pairs are aligned at a time.
 """
 
 from __future__ import annotations
 
+import math
+import re
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almacen.llm.common import id_text, materialize, prepare
@@ -23,13 +30,28 @@ from almacen.llm.textkit import PLAIN, blocks, grams, word_hashes
 
 SEED_WORDS = 3
 SHARE = 0.5  # of the item's words, from which on a document counts as contaminated
-BLOCK_ITEMS, BLOCK_BYTES = 5_000, 8 << 20  # of the benchmark in one pass
+FILTER_BITS = 20  # the filter has 2 ** 20 words of 64 bits (8 MB), whatever the benchmark's size
+GROUPS = 64  # a document's items are aligned in up to so many groups
 HELD_PAIRS, CELLS = 4_096, 1 << 17  # pairs a task holds before it aligns them, cells of a row of the alignments made at a time
 
+# Thai to Burmese and Khmer, kana, Han: scripts without spaces between words
+UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+
 
 def plain(text: str | None) -> bytes:
-    """Lower-case words without ASCII punctuation."""
-    return (text or "").lower().encode().translate(PLAIN)
+    """Lower-case words without ASCII punctuation; a character of an unspaced script is a word."""
+    text = (text or "").lower()
+    return (text if text.isascii() else UNSPACED.sub(r" \1 ", text)).encode().translate(PLAIN)
+
+
+def needed(n: int, share: float) -> int:
+    """Seeds (places in the item) that a copy scoring ``share`` has, where words were replaced or left out.
+
+    With e such words the score is at most n - 2e, so e is at most (1 - share) n / 2, and
+    n - 3e - 2 seeds stay even if no seed is hit twice. Added words score -1 and may hit
+    two seeds each: only copies that add many of them, at the worst places, can have fewer.
+    """
+    return max(1, math.ceil((3 * share - 1) * n / 2 - 1e-9) - 2)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> int:
@@ -75,50 +97,83 @@ def align_all(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return best
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str):
-    """Blocks of (item_id, words) of at most BLOCK_ITEMS items and about BLOCK_BYTES bytes of text."""
-    held, size = [], 0
-    for row in benchmark.select(F.col(id_col).cast("long"), text_col).toLocalIterator():
-        text = plain(row[1])
-        if held and (len(held) == BLOCK_ITEMS or size + len(text) > BLOCK_BYTES):
-            yield held
-            held, size = [], 0
-        held.append((row[0], word_hashes([text])[0]))
-        size += len(text)
-    if held:
-        yield held
-
-
-def _hits(texts: list[bytes], wanted: np.ndarray):
-    """For each text that holds any: (index, its words, places of wanted n-grams, the n-grams)."""
-    for lo, hi in blocks(texts):
-        words, first = word_hashes(texts[lo:hi])[:2]
-        g = grams(words, SEED_WORDS)
-        at = np.searchsorted(wanted, g)
-        place = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == g)
-        doc = np.searchsorted(first, place, side="right") - 1
-        fits = place + SEED_WORDS <= first[1:][doc]
-        place, doc = place[fits], doc[fits]
-        for a, b in zip(*_runs(doc), strict=True):
-            d = int(doc[a])
-            own = words[first[d] : first[d + 1]]
-            yield lo + d, own, place[a:b] - first[d], g[place[a:b]]
-
-
-def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(x):
-        return x, x
-    start = np.concatenate([[0], np.flatnonzero(np.diff(x)) + 1])
-    return start, np.append(start[1:], len(x))
-
-
-def item_seeds(items: list) -> dict[int, list[tuple[int, int]]]:
-    """Seed n-gram -> (item index, place) of all n-grams of the items."""
-    out = defaultdict(list)
-    for k, (_, words) in enumerate(items):
-        for at, x in enumerate(grams(words, SEED_WORDS).tolist()):
-            out[x].append((k, at))
-    return dict(out)
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(item_id, item_key, words): one row per distinct text, under the least id; words are hashes."""
+    texts = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = texts.groupBy("text").agg(F.min("item_id").alias("item_id")).withColumn("item_key", F.xxhash64("text"))
+
+    def run(batches):
+        for batch in batches:
+            words = [word_hashes([plain(t)])[0].view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.record_batch(
+                [batch.column("item_id"), batch.column("item_key"), pa.array(words, pa.list_(pa.int64()))], names=["item_id", "item_key", "words"]
+            )
+
+    return texts.select("item_id", "item_key", "text").mapInArrow(run, "item_id long, item_key long, words array<long>")
+
+
+def _seeds(items: DataFrame, share: float) -> DataFrame:
+    """(item_key, gram, places, need): the distinct n-grams of each item."""
+
+    def run(batches):
+        for batch in batches:
+            out = [[np.empty(0, np.int64)] for _ in range(4)]
+            for key, words in zip(batch.column("item_key").to_pylist(), batch.column("words"), strict=True):
+                own = words.values.to_numpy().view(np.uint64)
+                g, places = np.unique(grams(own, SEED_WORDS), return_counts=True)
+                for col, x in zip(out, (np.full(len(g), key), g.view(np.int64), places, np.full(len(g), needed(len(own), share))), strict=True):
+                    col.append(x.astype(np.int64))
+            yield pa.record_batch([pa.array(np.concatenate(c)) for c in out], names=["item_key", "gram", "places", "need"])
+
+    return items.select("item_key", "words").mapInArrow(run, "item_key long, gram long, places long, need long")
+
+
+def _filter(seeds: DataFrame) -> np.ndarray:
+    """Two bits of a 64-bit word for every seed: at most 2 ** FILTER_BITS rows come to the driver, whatever the benchmark's size."""
+    bits = seeds.select(
+        F.shiftrightunsigned("gram", 64 - FILTER_BITS).alias("slot"),
+        F.expr("shiftleft(1L, int(gram & 63)) | shiftleft(1L, int(shiftright(gram, 6) & 63))").alias("bits"),
+    )
+    rows = bits.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << FILTER_BITS, dtype=np.uint64)
+    out[rows.column("slot").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _maybe(g: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    one, low = np.uint64(1), np.uint64(63)
+    asked = (one << (g & low)) | (one << ((g >> np.uint64(6)) & low))
+    return (bits[g >> np.uint64(64 - FILTER_BITS)] & asked) == asked
+
+
+def _hits(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(doc_id, text_key, gram): distinct n-grams of each row that pass the filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for batch in batches:
+            texts = [plain(t) for t in batch.column("text").to_pylist()]
+            for lo, hi in blocks(texts):
+                words, first = word_hashes(texts[lo:hi])[:2]
+                g = grams(words, SEED_WORDS)
+                place = np.flatnonzero(_maybe(g, shared.value))
+                doc = np.searchsorted(first, place, side="right") - 1
+                fits = place + SEED_WORDS <= first[1:][doc]
+                pairs = np.unique(np.stack([doc[fits].astype(np.uint64), g[place[fits]]]), axis=1)
+                at = pa.array(pairs[0].astype(np.int64) + lo)
+                cols = [batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(pairs[1].view(np.int64))]
+                yield pa.record_batch(cols, names=["doc_id", "text_key", "gram"])
+
+    return docs.mapInArrow(run, "doc_id long, text_key long, gram long")
+
+
+def rare_seeds(seeds: DataFrame, hits: DataFrame) -> DataFrame:
+    """(item_key, gram): each item's seeds but the most common, which together have fewer places than a copy needs."""
+    held = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("docs"))
+    common_first = Window.partitionBy("item_key").orderBy(F.desc("docs"), "gram").rowsBetween(Window.unboundedPreceding, 0)
+    # a seed that no document holds joins nothing, but counts among the rarest
+    known = seeds.join(held, "gram", "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
+    return known.withColumn("sum", F.sum("places").over(common_first)).where("sum >= need AND docs > 0").select("item_key", "gram")
 
 
 def passages(places: list[tuple[int, int]], n: int, size: int) -> list[tuple[int, int]]:
@@ -134,70 +189,73 @@ def passages(places: list[tuple[int, int]], n: int, size: int) -> list[tuple[int
     return out
 
 
-def _found(docs: DataFrame, items: list) -> DataFrame:
-    """(doc_id, text_key, item_id, score) of every document and item of the block that share a seed."""
-    seeds = item_seeds(items)
-    if not seeds:
-        return docs.sparkSession.createDataFrame([], "doc_id long, text_key long, item_id long, score double")
-    keys = np.array(sorted(seeds), dtype=np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast((items, seeds, keys))
+def _aligned(pairs: DataFrame, share: float) -> DataFrame:
+    """(doc_id, text_key, item_id, score) of the items of each row that have enough seeds in its text."""
 
     def run(batches):
-        own_items, own_seeds, own_keys = shared.value
         for batch in batches:
-            texts = [plain(t) for t in batch.column("text").to_pylist()]
-            ids, text_keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
-            held, best = [], defaultdict(int)  # (document, item, passage) to align; best score of (document, item)
+            ids, keys, out = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), []
+            held, best = [], defaultdict(int)  # (row, item id, item, passage) to align; best score of (row, item id, length)
 
             def settle(held=held, best=best):
-                scores = align_all([(own_items[k][1], passage) for _, k, passage in held]).tolist()
-                for (d, k, _), score in zip(held, scores, strict=True):
-                    best[d, k] = max(best[d, k], score)
+                scores = align_all([(item, passage) for _, _, item, passage in held]).tolist()
+                for (d, k, item, _), score in zip(held, scores, strict=True):
+                    best[d, k, len(item)] = max(best[d, k, len(item)], score)
                 held.clear()
 
-            for d, words, place, g in _hits(texts, own_keys):
-                by_item = defaultdict(list)
-                for p, x in zip(place.tolist(), g.tolist(), strict=True):
-                    for k, at in own_seeds[x]:
-                        by_item[k].append((p, at))
-                for k, places in by_item.items():
-                    held += [(d, k, words[a:b]) for a, b in passages(places, len(own_items[k][1]), len(words))]
+            for d, (text, items) in enumerate(zip(batch.column("text").to_pylist(), batch.column("items").to_pylist(), strict=True)):
+                words = word_hashes([plain(text)])[0]
+                g = grams(words, SEED_WORDS)
+                order = np.argsort(g, kind="stable")
+                ranked = g[order]
+                for it in items:
+                    item = np.array(it["words"], np.int64).view(np.uint64)
+                    own = grams(item, SEED_WORDS)
+                    a, b = np.searchsorted(ranked, own), np.searchsorted(ranked, own, side="right")
+                    if np.count_nonzero(b > a) < needed(len(item), share):
+                        continue
+                    places = [(int(p), q) for q in np.flatnonzero(b > a).tolist() for p in order[a[q] : b[q]]]
+                    held += [(d, it["item_id"], item, words[x:y]) for x, y in passages(places, len(item), len(words))]
                     if len(held) >= HELD_PAIRS:
                         settle()
             settle()
-            out = [(ids[d], text_keys[d], own_items[k][0], score / len(own_items[k][1])) for (d, k), score in best.items()]
+            out = [(ids[d], keys[d], k, score / n) for (d, k, n), score in best.items()]
             cols = list(zip(*out, strict=True)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "text_key", "item_id", "score"])
 
-    return docs.mapInArrow(run, "doc_id long, text_key long, item_id long, score double")
+    return pairs.mapInArrow(run, "doc_id long, text_key long, item_id long, score double")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, item_id, score) of all documents and items that share a seed; text_key is a hash of the text.
+def leaks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", share: float = SHARE) -> DataFrame:
+    """(doc_id, text_key, item_id, score) of documents and items that share the seeds a score of ``share`` needs; text_key is a hash of the text.
 
-    Null texts are empty. Items of fewer than three words have no n-gram and match nothing.
+    Null texts are empty. Items of equal texts count as one, under the least id. Items of
+    fewer than three words have no n-gram and match nothing.
     """
     prepare(docs.sparkSession)
     src = id_text(docs).withColumn("text_key", F.xxhash64("text"))
-    out = None
-    for items in item_blocks(benchmark, item_col, text_col):
-        part = materialize(_found(src, items), "leaks")
-        out = part if out is None else out.unionByName(part)
-    empty = docs.sparkSession.createDataFrame([], "doc_id long, text_key long, item_id long, score double")
-    return empty if out is None else out
+    items = materialize(_items(benchmark, item_col, text_col), "items")
+    seeds = materialize(_seeds(items, share), "seeds")
+    hits = materialize(_hits(src, _filter(seeds)), "hits")
+    pairs = hits.join(rare_seeds(seeds, hits), "gram").select("doc_id", "text_key", "item_key").distinct()
+    # a row's items in groups of bounded size: as many rows at most as there are groups of items
+    own = pairs.join(items, "item_key").groupBy("doc_id", "text_key", F.pmod("item_key", F.lit(GROUPS)).alias("part"))
+    wanted = materialize(own.agg(F.collect_list(F.struct("item_id", "words")).alias("items")), "pairs")
+    both = src.alias("d").join(wanted.alias("w"), F.expr("d.doc_id <=> w.doc_id AND d.text_key = w.text_key"))
+    return materialize(_aligned(both.select("d.doc_id", "d.text_key", "d.text", "w.items"), share), "leaks")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """One row per row of ``docs``: doc_id, contaminated, item_id, score.
 
     score is the largest share of a benchmark item's words that the document
-    aligns with (0 without a common seed), item_id that item (the least of
+    aligns with (0 without an item that shares enough seeds), item_id that item (the least of
     equals; null without any), contaminated whether score >= ``share``. Rows that repeat a
     doc_id with the same text get the same result; null ids and texts are allowed.
     Other columns are not read. No documents, no rows; no items, nothing is contaminated.
     """
-    best = leaks(docs, benchmark).groupBy("doc_id", "text_key").agg(
+    best = leaks(docs, benchmark, share=share).groupBy("doc_id", "text_key").agg(
         F.max(F.struct("score", (-F.col("item_id")).alias("minus"))).alias("m")
     )
     rows = id_text(docs).select("doc_id", F.xxhash64("text").alias("text_key")).alias("d")
@@ -210,7 +268,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """``docs`` without the contaminated rows. All columns stay."""
-    bad = leaks(docs, benchmark).where(F.col("score") >= share).select("doc_id", "text_key").distinct()
+    bad = leaks(docs, benchmark, share=share).where(F.col("score") >= share).select("doc_id", "text_key").distinct()
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.withColumn("_text_key", key).alias("d")
     return rows.join(bad.alias("b"), F.expr("d.doc_id <=> b.doc_id AND d._text_key = b.text_key"), "left_anti").drop("_text_key")
