@@ -99,6 +99,49 @@ def fact_inventory(stock: DataFrame, consumption: DataFrame, cfg: GoldConfig = D
         (s["art_id"] == c["_c_art"]) & (s["id_tienda"] == c["_c_store"]) & (s["fec_snapshot"] == c["_c_day"]),
         "left",
     )
+    return _inventory(joined, cfg)
+
+
+def stock_consumption(stock: DataFrame, daily: DataFrame, mode: str = "all", days: int = 14, calendar_days: bool = False) -> DataFrame:
+    """``stock`` with ``_qty_sum``, ``_day_count`` and ``promedio`` of :func:`consumption_average` on the snapshot's day.
+
+    Snapshots and daily units are laid out once by (article, store) and meet in
+    windows on that layout, where averages joined by day would be shuffled again. A group holds the days of one article
+    in one store; snapshots without an article or a store match no sale and are spread by their id.
+    """
+    keys = [F.col("art_id"), F.col("id_tienda")]
+    known = keys[0].isNotNull() & keys[1].isNotNull()
+    rows = stock.withColumns(
+        {"_day": F.unix_date("fec_snapshot"), "_apart": F.when(known, F.lit(0)).otherwise(F.xxhash64("id_snapshot")), "_snapshot": F.lit(True)}
+    )
+    sold = daily.where(known).select(
+        *keys, F.unix_date("fec_trans").alias("_day"), F.lit(0).cast("long").alias("_apart"), "qty_diaria", F.lit(False).alias("_snapshot"), F.lit(1).alias("_sold")
+    )
+    both = rows.unionByName(sold, allowMissingColumns=True)
+    same_day = Window.partitionBy("art_id", "id_tienda", "_apart", "_day")
+    w = Window.partitionBy("art_id", "id_tienda", "_apart")
+    if mode == "trailing":
+        w = w.orderBy("_day").rangeBetween(-(days - 1), 0)
+    elif mode != "all":
+        raise ValueError(f"unknown mode {mode!r}")
+    met = both.withColumn("_met", F.max("_sold").over(same_day))
+    count = F.lit(days).cast("long") if calendar_days else F.count("_sold").over(w)
+    met = met.withColumns({"_qty_sum": F.sum("qty_diaria").over(w), "_day_count": count})
+    on_day = lambda c: F.when((F.col("_met") == 1) & F.col("_day").isNotNull(), c)  # noqa: E731 - null where the day has no sale
+    return met.where("_snapshot").select(
+        *stock.columns,
+        on_day(F.col("_qty_sum")).alias("_qty_sum"),
+        on_day(F.col("_day_count")).alias("_day_count"),
+        on_day(F.col("_qty_sum").cast("double") / F.col("_day_count").cast("double")).alias("promedio"),
+    )
+
+
+def fact_inventory_of_days(stock: DataFrame, daily: DataFrame, cfg: GoldConfig = DEFAULT_GOLD) -> DataFrame:
+    """:func:`fact_inventory` from daily units (:func:`daily_consumption`), with two shuffles of the consumption."""
+    return _inventory(stock_consumption(stock, daily, cfg.consumption_mode, cfg.consumption_days, cfg.consumption_calendar_days), cfg)
+
+
+def _inventory(joined: DataFrame, cfg: GoldConfig) -> DataFrame:
     has_use = F.coalesce(F.col("_qty_sum") > 0, F.lit(False))
     stock_days = F.col("stock_fisico").cast("long") * F.col("_day_count")
     return joined.select(

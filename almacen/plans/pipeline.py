@@ -210,11 +210,8 @@ def run_gold(
     store.write(cast(dims.dim_customers(members, ref, cfg.keep_raw_member_id)), "dim_clientes")
     store.write(dims.dim_date(sales, "fec_trans"), "dim_tiempo")
     store.write(cast(facts.fact_sales(sales, members, hot_members)), "fact_ventas")
-    consumption = facts.consumption_average(
-        facts.daily_consumption(sales), mode=cfg.consumption_mode, days=cfg.consumption_days,
-        calendar_days=cfg.consumption_calendar_days,
-    )
-    store.write(cast(facts.fact_inventory(t["inv_stock_diario"], consumption, cfg)), "fact_inventario")
+    inventory = facts.fact_inventory_of_days(t["inv_stock_diario"], facts.daily_consumption(sales), cfg)
+    store.write(cast(inventory), "fact_inventario")
     returned = facts.fact_returns(
         t["post_devoluciones"], sales, members, t["mstr_articulos"], cfg,
         hot_keys(spark, store, "post_devoluciones", "id_trans_origen"), hot_members, "post_devoluciones" in store.buckets,

@@ -123,7 +123,7 @@ class Layers:
 
     @cached_property
     def fact_inventory(self) -> DataFrame:
-        return facts.fact_inventory(self.stock, self.consumption(self.gcfg.consumption_mode), self.gcfg)
+        return facts.fact_inventory_of_days(self.stock, self.daily, self.gcfg)
 
     @cached_property
     def fact_returns(self) -> DataFrame:

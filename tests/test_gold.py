@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from almacen import schemas as S
+from almacen.config import GoldConfig
 from almacen.plans import dims, facts, kpis, rfm
 
 D = dt.date
@@ -27,6 +29,32 @@ def test_fact_inventory_rules(spark):
                    13: (5.0, 7.2, False, 35)}
 
 
+def test_inventory_in_one_layout_equals_the_join(spark):
+    """Every mode; several snapshots a day, days without sales, null keys and days, sales without units."""
+    rnd = random.Random(4)
+    some = lambda *x: rnd.choice(x)
+    day = lambda: some(None, *[D(2024, 1, d) for d in range(1, 29)])
+    sales = spark.createDataFrame(
+        [(some(1, 2, 3, None), some(1, -1, None), day(), some(0, 1, 5, None)) for _ in range(400)],
+        "art_id int, id_tienda int, fec_trans date, qty_vendida int",
+    )
+    stock = spark.createDataFrame(
+        [(i, some(1, 2, 3, 4, None), some(1, -1, None), day(), some(0, 3, 40, None), 0, 0, 5) for i in range(300)],
+        "id_snapshot long, art_id int, id_tienda int, fec_snapshot date, stock_fisico int, stock_transito int, "
+        "stock_reservado int, stock_minimo_config int",
+    )
+    daily = facts.daily_consumption(sales)
+    for mode, calendar in (("all", False), ("trailing", False), ("trailing", True)):
+        cfg = GoldConfig(consumption_mode=mode, consumption_calendar_days=calendar)
+        joined = facts.fact_inventory(stock, facts.consumption_average(daily, mode=mode, days=cfg.consumption_days, calendar_days=calendar), cfg)
+        got = facts.fact_inventory_of_days(stock, daily, cfg)
+        assert got.columns == joined.columns
+        rows = lambda df: sorted(map(str, df.collect()))
+        assert rows(got) == rows(joined), mode
+    assert facts.fact_inventory_of_days(stock, daily.limit(0)).where("promedio_consumo_14dias > 0").isEmpty()
+    assert facts.fact_inventory_of_days(stock.limit(0), daily).isEmpty()
+
+
 def test_trailing_average_window(spark):
     daily = spark.createDataFrame(
         [(1, 1, D(2024, 1, 1), 10), (1, 1, D(2024, 1, 10), 20), (1, 1, D(2024, 1, 20), 30)],

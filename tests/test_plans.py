@@ -90,3 +90,15 @@ def test_rfm_base_reads_the_sales_once(spark):
 def test_dedupe_combines_before_the_shuffle(spark):
     plan = QUERIES["silver_dedupe_latest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_consumption_is_shuffled_twice_for_the_inventory(spark):
+    """Once to add up days (article, store, day), once for the layout on which windows and snapshots meet."""
+    from almacen.plans.facts import daily_consumption, fact_inventory_of_days
+
+    keys = "int(id % 7) AS art_id", "int(id % 3) AS id_tienda"
+    sales = spark.range(50).selectExpr(*keys, "date_add(DATE '2024-01-01', int(id % 20)) AS fec_trans", "1 AS qty_vendida")
+    counts = [f"int(id) AS {c}" for c in ("stock_fisico", "stock_transito", "stock_reservado", "stock_minimo_config")]
+    stock = spark.range(50).selectExpr("id AS id_snapshot", *keys, "date_add(DATE '2024-01-01', int(id % 20)) AS fec_snapshot", *counts)
+    plan = fact_inventory_of_days(stock, daily_consumption(sales))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
