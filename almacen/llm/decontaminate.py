@@ -48,8 +48,9 @@ def needed(n: int, share: float) -> int:
     """Seeds (places in the item) that a copy scoring ``share`` has, where words were replaced or left out.
 
     With e such words the score is at most n - 2e, so e is at most (1 - share) n / 2, and
-    n - 3e - 2 seeds stay even if no seed is hit twice. Added words score -1 and may hit
-    two seeds each: only copies that add many of them, at the worst places, can have fewer.
+    n - 3e - 2 seeds stay even if no seed is hit twice. An added word scores -1 and may hit
+    two seeds: a copy near the threshold, its changes spread as badly as can be, can have
+    fewer by one for every two words added.
     """
     return max(1, math.ceil((3 * share - 1) * n / 2 - 1e-9) - 2)
 
