@@ -14,6 +14,7 @@ changes nothing. Days are merged in order; a day that is ingested anew after it
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,9 @@ from almacen.plans import silver
 from almacen.session import reliable_checkpoint
 from almacen.sources import bronze
 
-BUCKET, UNTIL = "_bucket", "_hasta"
+BUCKET, UNTIL, SLICE = "_bucket", "_hasta", "_parte"
 BUCKETS = 256
+ROWS_A_SLICE = 200_000  # a bucket of more rows is merged and written by several tasks, each with a slice of its keys
 
 
 def state_path(root: str, table: str, buckets: int) -> str:
@@ -45,6 +47,11 @@ def bucket_of(key: str, buckets: int):
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
+def slice_of(key: str, slices: int):
+    """Which slice of its bucket a key is in; another hash than the bucket's."""
+    return F.pmod(F.hash(key), F.lit(slices)).alias(SLICE)
+
+
 def touched_state(spark: SparkSession, path: str, touched: Sequence[int]) -> DataFrame:
     """The kept rows of some buckets; the filter prunes the folders of all others."""
     return spark.read.parquet(path).where(F.col(BUCKET).isin(list(touched)))
@@ -61,30 +68,34 @@ def merge_days(
     """Merge ``new`` (raw rows with their ``fecha_ingesta``) into the state at ``path``; the buckets it touched.
 
     The result is that of :func:`silver.counted_unique` over all days together. ``rebuild`` starts from
-    nothing and overwrites. At most ``buckets`` numbers and one date come to the driver.
+    nothing and overwrites. At most ``buckets`` numbers, twice, and one date come to the driver. A task
+    merges about ``ROWS_A_SLICE`` rows, however large a bucket is.
     """
     spark = new.sparkSession
     _, key = S.SOURCES[table]
     day = F.col(bronze.PARTITION_COL).cast("date")
     typed = silver.counted_types(new, table).withColumn(ROWS, F.lit(1).cast("long"))
     fresh = reliable_checkpoint(typed.select("*", bucket_of(key, buckets)))  # read twice: for its buckets and for its rows
-    found = fresh.groupBy(BUCKET).agg(F.max(day).alias("d")).collect()
+    found = fresh.groupBy(BUCKET).agg(F.max(day).alias("d"), F.count(F.lit(1)).alias("n")).collect()
     if not found:
         return []
     touched, newest = sorted(r[BUCKET] for r in found), max(r["d"] for r in found)
-    sums = [ROWS, FAILURES]
+    sums, most = [ROWS, FAILURES], Counter({r[BUCKET]: r["n"] for r in found})
     kept = None
     if exists(spark, path) and not rebuild:
         kept = touched_state(spark, path, touched)
+        most.update({r[BUCKET]: r["count"] for r in kept.groupBy(BUCKET).count().collect()})  # from the footers
         until = kept.groupBy(BUCKET).agg(F.max(UNTIL).alias("_u"))  # a row a bucket
         fresh = fresh.join(F.broadcast(until), BUCKET, "left").where(F.col("_u").isNull() | (day > F.col("_u"))).drop("_u")
+    slices = -(-max(most.values()) // ROWS_A_SLICE)
     # a hot key of the day is one row before it meets the state
     merged = dedupe_latest(fresh, [BUCKET, key], order_by, sums=sums)
     if kept is not None:
-        merged = merged.unionByName(kept.drop(UNTIL), allowMissingColumns=True).repartition(len(touched), BUCKET)
-        merged = dedupe_latest(merged, [BUCKET, key], order_by, sums=sums)
-    else:
-        merged = merged.repartition(len(touched), BUCKET)
+        merged = merged.unionByName(kept.drop(UNTIL), allowMissingColumns=True)
+    merged = merged.withColumn(SLICE, slice_of(key, slices)).repartition(len(touched) * slices, BUCKET, SLICE)
+    if kept is not None:
+        merged = dedupe_latest(merged, [BUCKET, SLICE, key], order_by, sums=sums)
+    merged = merged.drop(SLICE)
     out = reliable_checkpoint(merged.withColumn(UNTIL, F.lit(newest)))  # the folders it was read from are overwritten next
     mode = "static" if rebuild else "dynamic"
     out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BUCKET).parquet(path)

@@ -91,6 +91,21 @@ def test_a_second_day_reads_its_rows_and_the_buckets_it_touches(spark, tmp_path)
     assert rebuilt.exceptAll(whole).isEmpty() and rebuilt.count() == whole.count()
 
 
+def test_a_large_bucket_is_merged_and_written_in_slices(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "ROWS_A_SLICE", 25)
+    root, n = str(tmp_path), 2
+    path = incremental.state_path(root, "MSTR_TIENDAS", n)
+    write(spark, root, [(i, f"a{i}", i) for i in range(300)] + [(7, "a7", 7), (None, "sin", 1)], D1)
+    incremental.refresh(spark, root, "MSTR_TIENDAS", since=D1, buckets=n)
+    write(spark, root, [(i, f"b{i}", i) for i in range(200, 400)] + [(None, "sin2", 2)] * 3, D2)
+    kept = incremental.refresh(spark, root, "MSTR_TIENDAS", since=D2, buckets=n)
+    files = [len([f for f in os.listdir(f"{path}/{b}") if f.endswith(".parquet")]) for b in os.listdir(path) if b.startswith("_bucket=")]
+    assert len(files) == n and min(files) >= 4  # a task a slice, or a few slices
+    whole = silver.counted_unique(bronze.read_days(spark, root, "MSTR_TIENDAS", S.STORES), "MSTR_TIENDAS")
+    columns = ["id_tienda", "nom_tienda", "metros_cuadrados", ROWS, FAILURES]
+    assert kept.select(columns).exceptAll(whole.select(columns)).isEmpty() and kept.count() == whole.count() == 401
+
+
 def test_medallion_with_kept_states_equals_a_full_rebuild(spark, tmp_path, monkeypatch):
     from almacen.plans import pipeline
     from almacen.plans.pipeline import LOADS_TABLE, QUALITY_TABLE, Store, run_medallion
