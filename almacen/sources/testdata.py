@@ -135,8 +135,9 @@ def members(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def _order_lines(t: dict[str, DataFrame]) -> DataFrame:
+    """Lines with their order and customer; orders meet the customers first, so the lines, the largest table, move once."""
     li, o, c = t["lineitem"], t["orders"], t["customer"]
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").join(c, o.o_custkey == c.c_custkey, "inner")
+    return li.join(o.join(c, o.o_custkey == c.c_custkey, "inner"), li.l_orderkey == o.o_orderkey, "inner")
 
 
 def sales(t: dict[str, DataFrame], helpers: bool = True) -> DataFrame:

@@ -26,6 +26,13 @@ def test_active_loads_and_extract(spark):
     assert bronze.extract(src["MSTR_TIENDAS"], no_filter, RUN).count() == src["MSTR_TIENDAS"].count()
 
 
+def test_orders_meet_customers_before_the_lines(spark):
+    for table in ("TRANS_VENTAS", "INV_STOCK_DIARIO"):
+        plan = source_tables(spark, SF)[table]._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join Inner" in line]
+        assert "l_orderkey" in joins[0] and "c_custkey" in joins[1], table  # the lines are in one join, so they move once
+
+
 def test_load_all_writes_days_and_audits_failures(spark):
     root = tempfile.mkdtemp(prefix="almacen-bronze-")
     src = source_tables(spark, SF)
