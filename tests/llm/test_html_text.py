@@ -85,3 +85,56 @@ def test_repeats_equal_brute_force(spark):
             gone = {k + d for k, g in enumerate(grams(b)) if g in others for d in range(size)}
             left += [w for k, w in enumerate(b.split()) if k not in gone]
         assert got[i] == " ".join(left), i
+
+
+def test_slots_that_a_host_repeats_inside_articles(spark):
+    import random
+
+    rnd = random.Random(5)
+    words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    shared = words(30)
+    rows, want = [], {}
+    for i in range(6):
+        own, item = words(40), words(9)
+        more = f"Our little paper asks all its friends to tell others {words(2)}"
+        body = f"<h1>The same title on every page of it</h1><p>{own}</p><p>{shared}</p><ul><li>{item}</ul>"
+        rows.append((i, "http://h.x/", f'<article class="post-{i}">{body}<div class="x{i}">{more}</div></article>'))
+        want[i] = f"The same title on every page of it {own} {shared} {item}"
+    # the same text on a host where too few articles have the slot, and one article under many addresses
+    rows += [(10 + i, "http://few.x/", f"<article><p>{words(20)}</p><div>{more}</div></article>") for i in range(2)]
+    rows += [(20 + i, "http://copies.x/", f"<article><p>{shared}</p><div>{more}</div></article>") for i in range(6)]
+    rows += [(30 + i, "http://rare.x/", f"<article><p>{words(20)}</p>{'<div>' + more + '</div>' if i < 2 else ''}</article>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for i, _, page in rows[6:]:
+        want[i] = " ".join(html_text.page_blocks(page)[0])
+    assert {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()} == want
+
+
+def test_common_prefixes_equal_brute_force(spark):
+    import random
+
+    rnd = random.Random(3)
+    pages = [[" ".join(rnd.choice("ab") for _ in range(rnd.randrange(1, 40))) for _ in range(4)] for _ in range(30)]
+    rows = [(f"h{i % 2}", "<article>" + "".join(f"<p>{b}</p>" for b in p) + "</article>") for i, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "host string, html string")
+    blocks = html_text.evidence(df).where("marks IS NOT NULL")
+    order = blocks.select("host", "slot", "marks", "tokens", "lo", "hi").coalesce(1).sortWithinPartitions("host", "marks")
+    run = order.mapInArrow(html_text._prefixes(html_text.REPEAT), "host string, slot string, covered long")
+    got = {r["host"]: r["n"] for r in run.groupBy("host").sum("covered").toDF("host", "n").collect()}
+    for h in (0, 1):
+        mine = pages[h::2]
+        total = 0
+        for b in {b for p in mine for b in p}:
+            t, best = b.split(), 0
+            for n in html_text.lengths(len(t), html_text.REPEAT):
+                holders = {i for i, p in enumerate(mine) for o in p if o.split()[:n] == t[:n] and n in html_text.lengths(len(o.split()), html_text.REPEAT)}
+                best = n if len(holders) > 1 else best
+            total += best
+        assert got[f"h{h}"] == total
+
+
+def test_suffixes_of_a_long_block_carry_no_text(spark):
+    block = " ".join(f"w{i}" for i in range(150_000))  # over 1 MB
+    df = spark.createDataFrame([(1, "http://h.x/1", f"<p>{block}</p>"), (2, "http://h.x/2", "<p>a</p>")], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()}
+    assert got == {1: block, 2: "a"}
